@@ -16,6 +16,7 @@ BOOST_ABOVE = 0.7
 NORM_FLOOR = 1e-12
 
 _CELLS = 2_000_000  # character cells compared per numpy step
+_LONG = 64           # longer strings are matched one pair at a time, on bit sets
 
 
 def _code_matrix(strings: list[str], width: int) -> np.ndarray:
@@ -68,6 +69,40 @@ def _jaro_winkler_chunk(a: list[str], b: list[str], la: np.ndarray, lb: np.ndarr
     return out
 
 
+def _jaro_winkler_long(a: str, b: str) -> float:
+    """One pair of long strings; positions of a character form one integer bit set."""
+    if not a or not b:
+        return 1.0 if a == b else 0.0
+    where: dict[str, int] = {}
+    for i, c in enumerate(a):
+        where[c] = where.get(c, 0) | (1 << i)
+    reach = max(max(len(a), len(b)) // 2 - 1, 0)
+    window = (1 << (reach + 1)) - 1
+    free = (1 << len(a)) - 1
+    taken, given = [], []
+    for j, c in enumerate(b):
+        near = where.get(c, 0) & window & free
+        if near:
+            first = near & -near
+            free ^= first
+            taken.append(first.bit_length() - 1)
+            given.append(c)
+        window = (window << 1) | 1 if j < reach else window << 1
+    m = len(given)
+    if m == 0:
+        return 0.0
+    swapped = sum(a[i] != c for i, c in zip(sorted(taken), given)) // 2
+    jaro = (m / len(a) + m / len(b) + (m - swapped) / m) / 3.0
+    if jaro <= BOOST_ABOVE:
+        return jaro
+    prefix = 0
+    for x, y in zip(a[:PREFIX_CHARS], b[:PREFIX_CHARS]):
+        if x != y:
+            break
+        prefix += 1
+    return jaro + PREFIX_WEIGHT * prefix * (1.0 - jaro)
+
+
 def jaro_winkler_arrays(a, b) -> np.ndarray:
     """Jaro-Winkler of aligned string sequences, vectorised over pairs.
 
@@ -83,8 +118,12 @@ def jaro_winkler_arrays(a, b) -> np.ndarray:
     sa, sb = uniq_a[pair // len(uniq_b)], uniq_b[pair % len(uniq_b)]
     la = np.fromiter((len(s) for s in sa), dtype=np.int64, count=len(sa))
     lb = np.fromiter((len(s) for s in sb), dtype=np.int64, count=len(sb))
-    order = np.lexsort((la, lb))
     scores = np.empty(len(pair))
+    long = np.maximum(la, lb) > _LONG
+    for at in np.flatnonzero(long):
+        scores[at] = _jaro_winkler_long(sa[at], sb[at])
+    order = np.flatnonzero(~long)
+    order = order[np.lexsort((la[order], lb[order]))]
     start = 0
     while start < len(order):
         # grow the chunk while the padded comparison window stays in budget

@@ -39,15 +39,10 @@ def unordered(pairs: DataFrame, a: str = "source_id", b: str = "target_id") -> D
     return pairs.select(F.least(a, b).alias("i"), F.greatest(a, b).alias("j")).where("i < j").distinct()
 
 
-def negative_candidates(labels: DataFrame, positives: DataFrame) -> DataFrame:
-    """All i < j over dense positions, minus positives as unordered pairs.
-
-    Pair number k decodes to (i, j) arithmetically, so no join builds the
-    pairs. The result is quadratic by nature; use :func:`sample_negatives`
-    for more than a few thousand labels.
-    """
-    n = labels.count()
-    return _minus_positives(_numbered_pairs(labels, n, n * (n - 1) // 2), positives)
+def negative_candidates(candidates: DataFrame, positives: DataFrame) -> DataFrame:
+    """Candidate (i, j) pairs that are no positive, whichever way round."""
+    pairs = candidates.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
+    return pairs.where("i < j").join(unordered(positives), ["i", "j"], "left_anti")
 
 
 def _positions(labels: DataFrame, n: int) -> DataFrame | None:
@@ -70,6 +65,7 @@ def _to_row_ids(pairs: DataFrame, positions: DataFrame | None) -> DataFrame:
 
 
 def _numbered_pairs(labels: DataFrame, n: int, total: int) -> DataFrame:
+    """Pair number k decodes to (i, j) arithmetically, so no join builds the pairs."""
     k = F.col("id")
     guess = F.floor((1 + F.sqrt(1 + 8 * k.cast("double"))) / 2).cast("bigint")
     fixed = F.when(guess * (guess - 1) / 2 > k, guess - 1).when(
@@ -79,10 +75,6 @@ def _numbered_pairs(labels: DataFrame, n: int, total: int) -> DataFrame:
     return _to_row_ids(pairs, _positions(labels, n))
 
 
-def _minus_positives(pairs: DataFrame, positives: DataFrame) -> DataFrame:
-    return pairs.join(unordered(positives), ["i", "j"], "left_anti")
-
-
 def sample_negatives(labels: DataFrame, positives: DataFrame, n: int = NEGATIVE_SAMPLE,
                      seed: int = 42, enumerate_below: int = ENUMERATE_BELOW) -> DataFrame:
     """min(n, available) random non-positive pairs, i < j, in seeded hash order.
@@ -100,7 +92,7 @@ def sample_negatives(labels: DataFrame, positives: DataFrame, n: int = NEGATIVE_
             _uniform(seed, "a", size).alias("a"), _uniform(seed, "b", size).alias("b"))
         drawn = draws.where("a <> b").select(F.least("a", "b").alias("pi"), F.greatest("a", "b").alias("pj"))
         pairs = _to_row_ids(drawn.distinct(), _positions(labels, size))
-    free = _minus_positives(pairs, positives)
+    free = negative_candidates(pairs, positives)
     return free.orderBy(_hash(seed, "i", "j"), "i", "j").limit(n)
 
 
