@@ -15,54 +15,68 @@ PREFIX_WEIGHT = 0.1
 BOOST_ABOVE = 0.7
 NORM_FLOOR = 1e-12
 
-_CELLS = 2_000_000  # character cells compared per numpy step
+_CHUNK = 16_384      # pairs compared per numpy step
 _LONG = 64           # longer strings are matched one pair at a time, on bit sets
 
 
-def _code_matrix(strings: list[str], width: int) -> np.ndarray:
-    flat = np.array(strings, dtype=f"<U{max(width, 1)}")
-    return flat.view(np.uint32).reshape(len(strings), -1)
+def _codes_by_position(strings: list[str], width: int) -> np.ndarray:
+    """Character codes, one row per position; one byte each when they fit."""
+    flat = np.array(strings, dtype=f"<U{max(width, 1)}").view(np.uint32)
+    by_position = flat.reshape(len(strings), -1).T
+    small = np.uint8 if flat.size == 0 or flat.max() < 256 else np.uint32
+    return np.ascontiguousarray(by_position, dtype=small)
+
+
+def _in_order(codes: np.ndarray, hit: np.ndarray, depth: int) -> np.ndarray:
+    """The matched characters of every string, packed to the front."""
+    out = np.zeros((depth, codes.shape[1]), dtype=codes.dtype)
+    at = np.zeros(codes.shape[1], dtype=np.int64)
+    for position in range(len(codes)):
+        rows = np.flatnonzero(hit[position])
+        out[at[rows], rows] = codes[position, rows]
+        at[rows] += 1
+    return out
 
 
 def _jaro_winkler_chunk(a: list[str], b: list[str], la: np.ndarray, lb: np.ndarray) -> np.ndarray:
+    """Pairs side by side: every step handles one position pair of all strings."""
     n, wa, wb = len(a), int(la.max()), int(lb.max())
     out = np.zeros(n)
     if wa == 0 or wb == 0:
         out[(la == 0) & (lb == 0)] = 1.0
         return out
-    A, B = _code_matrix(a, wa), _code_matrix(b, wb)
+    A, B = _codes_by_position(a, wa), _codes_by_position(b, wb)
+    if A.dtype != B.dtype:
+        A, B = A.astype(np.uint32), B.astype(np.uint32)
     reach = np.maximum(np.maximum(la, lb) // 2 - 1, 0)
     widest = int(reach.max())
-    rows = np.arange(n)
-    free = np.arange(wa)[None, :] < la[:, None]
-    hit_a = np.zeros((n, wa), dtype=bool)
-    hit_b = np.zeros((n, wb), dtype=bool)
+    within = [reach >= distance for distance in range(widest + 1)]
+    free = np.arange(wa)[:, None] < la[None, :]
+    hit_a = np.zeros((wa, n), dtype=bool)
+    hit_b = np.zeros((wb, n), dtype=bool)
     for j in range(wb):
-        lo, hi = max(0, j - widest), min(wa, j + widest + 1)
-        if lo >= hi:
-            break
-        near = np.abs(np.arange(lo, hi) - j)[None, :] <= reach[:, None]
-        ok = (A[:, lo:hi] == B[:, j][:, None]) & free[:, lo:hi] & near
-        if wb > 1:
-            ok &= (j < lb)[:, None]
-        at = ok.argmax(axis=1)
-        found = ok[rows, at]
-        r, c = rows[found], lo + at[found]
-        free[r, c] = False
-        hit_a[r, c] = True
-        hit_b[r, j] = True
-    m = hit_a.sum(axis=1)
-    k = int(m.max())
-    if k:
-        seq_a = np.take_along_axis(A, np.argsort(~hit_a, axis=1, kind="stable")[:, :k], axis=1)
-        seq_b = np.take_along_axis(B, np.argsort(~hit_b, axis=1, kind="stable")[:, :k], axis=1)
-        swapped = ((seq_a != seq_b) & (np.arange(k)[None, :] < m[:, None])).sum(axis=1) // 2
+        open_ = j < lb
+        for i in range(max(0, j - widest), min(wa, j + widest + 1)):
+            ok = A[i] == B[j]
+            ok &= free[i]
+            ok &= open_
+            ok &= within[abs(i - j)]
+            free[i] ^= ok
+            open_ ^= ok
+            hit_a[i] |= ok
+            hit_b[j] |= ok
+    m = hit_a.sum(axis=0)
+    depth = int(m.max())
+    if depth:
+        other = _in_order(A, hit_a, depth) != _in_order(B, hit_b, depth)
+        swapped = other.sum(axis=0) // 2
         has = m > 0
         mm, l1, l2 = m[has].astype(float), la[has], lb[has]
         out[has] = (mm / l1 + mm / l2 + (mm - swapped[has]) / mm) / 3.0
-    p = min(PREFIX_CHARS, wa, wb)
-    same = (A[:, :p] == B[:, :p]) & (np.arange(p)[None, :] < np.minimum(la, lb)[:, None])
-    prefix = np.cumprod(same, axis=1).sum(axis=1)
+    prefix, same = np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
+    for position in range(min(PREFIX_CHARS, wa, wb)):
+        same &= (A[position] == B[position]) & (position < la) & (position < lb)
+        prefix += same
     boost = out > BOOST_ABOVE
     out[boost] += PREFIX_WEIGHT * prefix[boost] * (1.0 - out[boost])
     out[(la == 0) & (lb == 0)] = 1.0
@@ -124,18 +138,9 @@ def jaro_winkler_arrays(a, b) -> np.ndarray:
         scores[at] = _jaro_winkler_long(sa[at], sb[at])
     order = np.flatnonzero(~long)
     order = order[np.lexsort((la[order], lb[order]))]
-    start = 0
-    while start < len(order):
-        # grow the chunk while the padded comparison window stays in budget
-        stop = min(len(order), start + 8192)
-        while stop - start > 1:
-            part = order[start:stop]
-            if len(part) * max(int(la[part].max()), int(lb[part].max()), 1) <= _CELLS:
-                break
-            stop = start + (stop - start + 1) // 2
-        part = order[start:stop]
+    for start in range(0, len(order), _CHUNK):
+        part = order[start:start + _CHUNK]
         scores[part] = _jaro_winkler_chunk(list(sa[part]), list(sb[part]), la[part], lb[part])
-        start = stop
     return scores[inverse]
 
 

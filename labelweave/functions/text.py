@@ -22,6 +22,7 @@ ASCII_SPELLINGS = {
     "‑": "-", "‒": "-", "–": "-", "—": "--", "―": "--", "†": "+",
     "•": "*", "⁄": "/", "€": "EUR", "×": "x", "÷": "/", "¿": "?",
     "¡": "!", "°": "deg", "©": "(c)", "®": "(r)", "·": "*",
+    "\u2028": "\n", "\u2029": "\n",
 }
 
 # Code-point ranges covered by the transliteration table.
@@ -74,31 +75,30 @@ def transliteration() -> tuple[str, str, dict[str, str]]:
     return "".join(single) + "".join(deleted), "".join(single.values()), expanded
 
 
-_FREQUENT = "ßæœÆŒ«»—…"
-
-
 def _is_ascii(col: Column) -> Column:
     return F.octet_length(col) == F.char_length(col)
 
 
-def _expand(col: Column, chars: dict[str, str]) -> Column:
-    """One-to-many replacements, folded over a literal list of character + spelling."""
-    pairs = F.split(F.lit(" ".join(k + v for k, v in chars.items())), " ")
-    return F.aggregate(pairs, col, lambda acc, p: F.replace(
-        acc, F.substring(p, 1, 1), F.substring(p, 2, 8)))
+_COVERED = "".join(f"\\u{low:04X}-\\u{high:04X}" for low, high in LATIN_RANGES)
 
 
-def _to_ascii(col: Column) -> Column:
-    """Cheapest step first; each next one only runs while non-ASCII text is left."""
+def _spelling(char: Column) -> Column:
+    """ASCII form of a one-character string."""
     source, target, expanded = transliteration()
-    frequent = {k: v for k, v in expanded.items() if k in _FREQUENT}
-    rare = {k: v for k, v in expanded.items() if k not in _FREQUENT}
+    listed = F.lit(" " + " ".join(k + v for k, v in expanded.items()))
+    longer = F.split_part(F.split_part(listed, F.concat(F.lit(" "), char), F.lit(2)), F.lit(" "), F.lit(1))
+    short = F.translate(char, source, target)
+    return F.when(short != char, short).when(longer != "", longer).otherwise(char)
 
-    def done_or(text, step):
-        return F.when(_is_ascii(text), text).otherwise(step)
 
-    return let(F.translate(col, source, target), lambda t: done_or(t, let(
-        _expand(t, frequent), lambda u: done_or(u, _expand(u, rare)))))
+def _to_ascii(col: Column) -> Column:
+    """Replace each distinct covered character of the text in one pass per character.
+
+    A text holds few distinct accented characters, and a byte-wise replace is
+    far cheaper than looking up every character.
+    """
+    special = F.array_distinct(F.split(F.regexp_replace(col, rf"[\x00-\x7F]+|[^{_COVERED}]", ""), ""))
+    return F.aggregate(F.filter(special, lambda c: c != ""), col, lambda acc, c: F.replace(acc, c, _spelling(c)))
 
 
 def normalize_text(col: Column | str, on_null: str = "keep") -> Column:
@@ -152,14 +152,30 @@ def hierarchy_label(levels: Column | str | list, mode: str = "joined") -> Column
     raise ValueError(f"unknown label mode {mode!r}")
 
 
+# White space of normalised text, besides the blank, and of any text.
+ASCII_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+ANY_SPACE = ASCII_SPACE + "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    chr(c) for c in range(0x2000, 0x200B))
+
+
 def strip(col: Column) -> Column:
     """Trim any white space, not only blanks."""
-    return F.regexp_replace(col, r"^[\s\x1c-\x1f ]+|[\s\x1c-\x1f ]+$", "")
+    return F.btrim(col, F.lit(" " + ANY_SPACE))
+
 
+def blanks(col: Column, space: str = ASCII_SPACE) -> Column:
+    """White space turned into blanks, by byte-wise replaces."""
+    for char in space:
+        col = F.replace(col, F.lit(char), F.lit(" "))
+    return col
 
-def words(col: Column) -> Column:
-    """White-space separated tokens, without empty ones."""
-    return F.filter(F.split(col, r"[\s\x1c-\x1f]+"), lambda w: w != "")
+
+def words(col: Column, space: str = ASCII_SPACE) -> Column:
+    """White-space separated tokens, without empty ones.
+
+    Splitting on one literal character avoids a regular expression per text.
+    """
+    return F.array_remove(F.split(blanks(col, space), " "), "")
 
 
 def capitalize(col: Column) -> Column:
@@ -167,7 +183,11 @@ def capitalize(col: Column) -> Column:
 
 
 def let(value: Column, body) -> Column:
-    """Evaluate *value* once and hand it to *body*; keeps lambdas from recomputing it."""
+    """Evaluate *value* once and hand it to *body*.
+
+    *body* must not use a variable of an enclosing lambda: Spark does not
+    extract Python UDFs whose input captures one.
+    """
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 

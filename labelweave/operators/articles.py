@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelweave.functions.similarity import blend, jaro_winkler_arrays
-from labelweave.functions.text import LEVEL_SEPARATOR, let, normalize_text, sheet_key, strip, words
+from labelweave.functions.text import (
+    ANY_SPACE, LEVEL_SEPARATOR, blanks, let, normalize_text, sheet_key, strip, words)
 from labelweave.operators.blocks import Side, block_join
-from labelweave.operators.embed import Encoder, embed
+from labelweave.operators.embed import Encoder, embed_blend
 from labelweave.operators.keyed import top_n_per_group
 from labelweave.operators.records import plain_name
 
@@ -23,6 +24,7 @@ KEYWORDS = 15
 PHRASES = 5
 PHRASE_WORDS = 10
 MIN_SENTENCE = 11
+SENTENCE_ENDS = ".!?"
 BLEND = (0.4, 0.3, 0.3)
 SCORE_WEIGHTS = (0.15, 0.65, 0.2)
 SIZE_WEIGHT = 0.1
@@ -47,65 +49,83 @@ STOP_WORDS = (
 
 # --- extraction -------------------------------------------------------------
 
-def _runs(tokens: Column) -> Column:
-    """(-count, first position, word) per distinct token."""
-    placed = F.sort_array(F.transform(tokens, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+# A run of one repeated word in a blank-joined sorted word list.
+_REPEATS = r"(?<![^ ])([^ ]++)(?: \1(?![^ ]))+"
 
-    def starts(s):
-        every = F.when(F.size(s) > 0, F.sequence(F.lit(0), F.size(s) - 1)).otherwise(F.array().cast("array<int>"))
-        return F.filter(every, lambda k: (k == 0) | (F.get(s, k)["w"] != F.get(s, k - 1)["w"]))
 
-    return let(placed, lambda s: let(starts(s), lambda b: F.transform(b, lambda at, n: F.struct(
-        (at - F.coalesce(F.get(b, n + 1), F.size(s))).alias("neg"),
-        F.get(s, at)["i"].alias("i"), F.get(s, at)["w"].alias("w")))))
+def add_keywords(df: DataFrame, text: str = "text", n: int = KEYWORDS, out: str = "keywords") -> DataFrame:
+    """Add the *n* most frequent content words of each text, first seen first on ties.
 
-
-def keywords(text: Column | str, n: int = KEYWORDS) -> Column:
-    """The *n* most frequent content words of a text, first seen first on ties."""
-    c = F.col(text) if isinstance(text, str) else text
+    Most words of a text occur once. Sorting the words makes repeats adjacent,
+    so only repeated words are counted and ranked; the rest follow in reading
+    order. Steps are separate projections so that none is evaluated twice.
+    """
     stop = [w for w in STOP_WORDS if len(w) > 3]
-    tokens = F.filter(words(normalize_text(c, "empty")), lambda w: (F.char_length(w) > 3) & ~w.isin(stop))
-    return F.transform(F.slice(F.sort_array(_runs(tokens)), 1, n), lambda r: r["w"])
+    plain = normalize_text(F.col(text), "empty")
+    tokens = F.filter(words(plain), lambda w: (F.char_length(w) > 3) & ~w.isin(stop))
+    step = df.withColumn("_tokens", tokens)
+    step = step.withColumn("_runs", F.regexp_extract_all(
+        F.array_join(F.sort_array("_tokens"), " "), F.lit(_REPEATS), F.lit(0)))
+    ranked = F.sort_array(F.transform("_runs", lambda r: F.struct(
+        (-F.size(F.split(r, " "))).alias("neg"),
+        F.array_position(F.col("_tokens"), F.substring_index(r, " ", 1)).alias("at"),
+        F.substring_index(r, " ", 1).alias("w"))))
+    step = step.withColumn("_repeated", F.transform(ranked, lambda x: x["w"]))
+    once = F.array_except("_tokens", "_repeated")
+    return step.withColumn(out, F.slice(F.concat("_repeated", once), 1, n)).drop("_tokens", "_runs", "_repeated")
 
 
-def key_phrases(text: Column | str, keyword_list: Column | str, n: int = PHRASES,
-                max_words: int = PHRASE_WORDS) -> Column:
-    """The *n* sentences densest in keywords, cut to *max_words* words."""
-    c = F.col(text) if isinstance(text, str) else text
-    found = F.col(keyword_list) if isinstance(keyword_list, str) else keyword_list
-    sentences = F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), "[.!?]"), strip),
-                         lambda s: F.char_length(s) >= MIN_SENTENCE)
-    ranked = let(found, lambda kw: F.transform(sentences, lambda s, i: F.struct(
-        let(words(normalize_text(s)),
-            lambda t: -F.size(F.array_intersect(kw, t)) / (F.size(t) + 1)).alias("neg"),
-        i.alias("i"), s.alias("s"))))
+_END = "\u0001"
+
+
+def _marked(col: Column) -> Column:
+    """Sentence ends as one control character, which normalisation leaves alone."""
+    for char in SENTENCE_ENDS:
+        col = F.replace(col, F.lit(char), F.lit(_END))
+    return col
+
+
+def add_key_phrases(df: DataFrame, text: str = "text", keywords: str = "keywords", n: int = PHRASES,
+                    max_words: int = PHRASE_WORDS, out: str = "key_phrases") -> DataFrame:
+    """Add the *n* sentences densest in keywords, cut to *max_words* words.
+
+    The text is normalised once; its sentences stay aligned with the raw ones.
+    """
+    raw = _marked(F.coalesce(F.col(text), F.lit("")))
+    density = F.transform(F.split(blanks(normalize_text(raw)), _END), lambda s: let(
+        F.array_remove(F.split(s, " "), ""),
+        lambda t: -F.size(F.array_intersect(F.col(keywords), t)) / (F.size(t) + 1)))
+    step = df.withColumn("_density", density).withColumn("_sentences", F.transform(F.split(raw, _END), strip))
+    paired = F.zip_with("_density", "_sentences", lambda d, s: F.struct(d.alias("d"), s.alias("s")))
+    ranked = F.filter(F.transform(paired, lambda x, i: F.struct(x["d"].alias("d"), i.alias("i"), x["s"].alias("s"))),
+                      lambda x: F.char_length(x["s"]) >= MIN_SENTENCE)
 
     def cut(s):
-        return let(words(s), lambda w: F.when(
-            F.size(w) > max_words, F.concat(F.array_join(F.slice(w, 1, max_words), " "), F.lit("..."))).otherwise(s))
-    return F.transform(F.slice(F.sort_array(ranked), 1, n), lambda r: cut(r["s"]))
+        return F.when(F.size(words(s, ANY_SPACE)) > max_words, F.concat(
+            F.array_join(F.slice(words(s, ANY_SPACE), 1, max_words), " "), F.lit("..."))).otherwise(s)
+    return step.withColumn(out, F.transform(F.slice(F.sort_array(ranked), 1, n), lambda x: cut(x["s"]))).drop(
+        "_density", "_sentences")
 
 
 def extract_keywords(articles: DataFrame, n: int = KEYWORDS) -> DataFrame:
-    return articles.select("article_id", keywords("text", n).alias("keywords"))
+    return add_keywords(articles.select("article_id", "text"), n=n).select("article_id", "keywords")
 
 
 def extract_key_phrases(articles: DataFrame, n: int = PHRASES, max_words: int = PHRASE_WORDS) -> DataFrame:
-    found = articles.withColumn("_kw", keywords("text"))
-    return found.select("article_id", key_phrases("text", "_kw", n, max_words).alias("key_phrases"))
+    found = add_keywords(articles.select("article_id", "text"))
+    return add_key_phrases(found, n=n, max_words=max_words).select("article_id", "key_phrases")
 
 
 def describe_articles(articles: DataFrame, encoder: str | Encoder = "trigrams") -> DataFrame:
     """article_id, preview, keywords, key_phrases and the blended vector. Narrow."""
-    found = articles.where(F.coalesce("text", F.lit("")) != "").withColumn("keywords", keywords("text"))
-    found = found.withColumn("key_phrases", key_phrases("text", "keywords"))
+    found = add_key_phrases(add_keywords(articles.where(F.coalesce("text", F.lit("")) != "")))
     parts = (F.col("text"), F.array_join("keywords", " "), F.array_join("key_phrases", " "))
-    vectors = [(w, embed(p, encoder)) for w, p in zip(BLEND, parts)]
     return found.select("article_id", preview("text").alias("article_text"), "keywords", "key_phrases",
-                        composite_embedding(*[v for _, v in vectors]).alias("embedding"))
+                        embed_blend(list(zip(BLEND, parts)), encoder).alias("embedding"))
 
 
 def composite_embedding(full: Column | str, by_keywords: Column | str, by_phrases: Column | str) -> Column:
+    """Weighted sum of three stored vectors."""
     cols = [F.col(c) if isinstance(c, str) else c for c in (full, by_keywords, by_phrases)]
     return blend(list(zip(BLEND, cols)))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,7 +40,7 @@ _REGISTRY: dict[str, Callable[[], Encoder]] = {"trigrams": hashed_trigrams}
 
 
 def register_encoder(name: str, factory: Callable[[], Encoder]) -> None:
-    """Add an encoder; the factory runs once per Python worker batch stream."""
+    """Add an encoder; the factory runs once per task."""
     _REGISTRY[name] = factory
 
 
@@ -50,6 +50,14 @@ def encoder_names() -> list[str]:
 
 def embed(text: Column | str, encoder: str | Encoder = "trigrams") -> Column:
     """Vector column for a text column; null text gives null."""
+    return embed_blend([(1.0, text)], encoder)
+
+
+def embed_blend(parts: list[tuple[float, Column | str]], encoder: str | Encoder = "trigrams") -> Column:
+    """Weighted sum of the vectors of several texts, encoded in one pass over the batch.
+
+    A row is null when one of its texts is.
+    """
     if isinstance(encoder, str):
         if encoder not in _REGISTRY:
             raise ValueError(f"unknown encoder {encoder!r}; known: {encoder_names()}")
@@ -57,19 +65,20 @@ def embed(text: Column | str, encoder: str | Encoder = "trigrams") -> Column:
     else:
         def factory(fn=encoder):
             return fn
-    state: dict = {}
-
-    def run(texts: pd.Series) -> pd.Series:
-        if "encode" not in state:
-            state["encode"] = factory()
-        known = texts.notna().to_numpy()
-        out = np.empty(len(texts), dtype=object)
-        if known.any():
-            vectors = np.asarray(state["encode"](texts[known].tolist()), dtype=np.float32)
-            for at, vector in zip(np.flatnonzero(known), vectors):
-                out[at] = vector
-        return pd.Series(out)
-    return F.pandas_udf(run, "array<float>")(text)
+    weights = [w for w, _ in parts]
+
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        encode = factory()  # once per task, so a model loads once
+        for texts in batches:
+            texts = texts if isinstance(texts, tuple) else (texts,)
+            known = np.logical_and.reduce([t.notna().to_numpy() for t in texts])
+            out = np.empty(len(known), dtype=object)
+            if known.any():
+                vectors = sum(w * np.asarray(encode(t[known].tolist())) for w, t in zip(weights, texts))
+                for at, vector in zip(np.flatnonzero(known), vectors.astype(np.float32)):
+                    out[at] = vector
+            yield pd.Series(out)
+    return F.pandas_udf(run, "array<float>")(*[text for _, text in parts])
 
 
 def embed_text(df: DataFrame, text: str = "label", encoder: str | Encoder = "trigrams",

@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labelweave.functions.similarity import cosine, jaro_winkler
@@ -45,11 +45,8 @@ def negative_candidates(candidates: DataFrame, positives: DataFrame) -> DataFram
     return pairs.where("i < j").join(unordered(positives), ["i", "j"], "left_anti")
 
 
-def _positions(labels: DataFrame, n: int) -> DataFrame | None:
-    """Dense position to row id, or None when the ids are already 0..n-1."""
-    low, high = labels.agg(F.min("row_id"), F.max("row_id")).first()
-    if low == 0 and high == n - 1:
-        return None
+def _positions(labels: DataFrame) -> DataFrame:
+    """Dense position to row id, for ids with gaps."""
     ordered = (labels.select("row_id").repartitionByRange("row_id").sortWithinPartitions("row_id")
                .withColumn("_part", F.spark_partition_id()))
     return dense_row_ids(ordered, ["_part"], "position").select("position", "row_id")
@@ -64,15 +61,14 @@ def _to_row_ids(pairs: DataFrame, positions: DataFrame | None) -> DataFrame:
         F.least("ri", "rj").alias("i"), F.greatest("ri", "rj").alias("j"))
 
 
-def _numbered_pairs(labels: DataFrame, n: int, total: int) -> DataFrame:
+def _numbered_pairs(spark: SparkSession, total: int) -> DataFrame:
     """Pair number k decodes to (i, j) arithmetically, so no join builds the pairs."""
     k = F.col("id")
     guess = F.floor((1 + F.sqrt(1 + 8 * k.cast("double"))) / 2).cast("bigint")
     fixed = F.when(guess * (guess - 1) / 2 > k, guess - 1).when(
         guess * (guess + 1) / 2 <= k, guess + 1).otherwise(guess)
-    pairs = labels.sparkSession.range(total).withColumn("pj", fixed).select(
+    return spark.range(total).withColumn("pj", fixed).select(
         (k - (F.col("pj") * (F.col("pj") - 1) / 2).cast("bigint")).alias("pi"), "pj")
-    return _to_row_ids(pairs, _positions(labels, n))
 
 
 def sample_negatives(labels: DataFrame, positives: DataFrame, n: int = NEGATIVE_SAMPLE,
@@ -83,24 +79,26 @@ def sample_negatives(labels: DataFrame, positives: DataFrame, n: int = NEGATIVE_
     from a space at least four times the sample plus the positives, which
     leaves n distinct non-positive pairs except with negligible probability.
     """
-    size, positive = labels.count(), positives.count()
+    size, low, high = labels.agg(F.count("row_id"), F.min("row_id"), F.max("row_id")).first()
     total = size * (size - 1) // 2
-    if total <= max(enumerate_below, 4 * (n + positive)):
-        pairs = _numbered_pairs(labels, size, total)
+    positions = None if total == 0 or (low == 0 and high == size - 1) else _positions(labels)
+    if total <= enumerate_below or total <= 4 * (n + positives.count()):
+        pairs = _to_row_ids(_numbered_pairs(labels.sparkSession, total), positions)
     else:
         draws = labels.sparkSession.range(2 * n + 1000).select(
             _uniform(seed, "a", size).alias("a"), _uniform(seed, "b", size).alias("b"))
         drawn = draws.where("a <> b").select(F.least("a", "b").alias("pi"), F.greatest("a", "b").alias("pj"))
-        pairs = _to_row_ids(drawn.distinct(), _positions(labels, size))
+        pairs = _to_row_ids(drawn.distinct(), positions)
     free = negative_candidates(pairs, positives)
     return free.orderBy(_hash(seed, "i", "j"), "i", "j").limit(n)
 
 
-def union_examples(positives: DataFrame, negatives: DataFrame, seed: int = 42) -> DataFrame:
-    """Labelled examples in seeded hash order."""
+def union_examples(positives: DataFrame, negatives: DataFrame, seed: int = 42, shuffled: bool = True) -> DataFrame:
+    """Labelled examples, in seeded hash order unless the consumer needs none."""
     pos = positives.select(F.col("source_id").alias("i"), F.col("target_id").alias("j"), F.lit(1).alias("label"))
     neg = negatives.select("i", "j", F.lit(0).alias("label"))
-    return pos.unionByName(neg).orderBy(_hash(seed, "i", "j"), "i", "j")
+    both = pos.unionByName(neg)
+    return both.orderBy(_hash(seed, "i", "j"), "i", "j") if shuffled else both
 
 
 def pair_features(examples: DataFrame, labels: DataFrame, label: str = "label") -> DataFrame:

@@ -26,7 +26,7 @@ class Trained:
 def build_features(labels: DataFrame, positives: DataFrame, negatives: int = NEGATIVE_SAMPLE,
                    seed: int = 42) -> DataFrame:
     """Features of all positives and a sample of non-merges, with their split."""
-    examples = union_examples(positives, sample_negatives(labels, positives, negatives, seed), seed)
+    examples = union_examples(positives, sample_negatives(labels, positives, negatives, seed), seed, shuffled=False)
     return stratified_split(pair_features(examples, labels), TEST_FRACTION, seed)
 
 
