@@ -191,6 +191,16 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def pin(col: Column) -> Column:
+    """Compute *col* where it is defined.
+
+    Catalyst inlines a column into filters and lambdas that use it, which for
+    an array per text would mean once per element. It leaves alone whatever it
+    cannot prove deterministic.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, col)
+
+
 def char_overlap(a: Column | str, b: Column | str) -> Column:
     """Shared characters over all characters (sets); two empty strings give 0."""
     def chars(c):

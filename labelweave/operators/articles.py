@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from labelweave.functions.similarity import blend, jaro_winkler_arrays
 from labelweave.functions.text import (
-    ANY_SPACE, LEVEL_SEPARATOR, blanks, let, normalize_text, sheet_key, strip, words)
+    ANY_SPACE, LEVEL_SEPARATOR, blanks, let, normalize_text, pin, sheet_key, strip, words)
 from labelweave.operators.blocks import Side, block_join
 from labelweave.operators.embed import Encoder, embed_blend
 from labelweave.operators.keyed import top_n_per_group
@@ -49,8 +49,10 @@ STOP_WORDS = (
 
 # --- extraction -------------------------------------------------------------
 
-# A run of one repeated word in a blank-joined sorted word list.
-_REPEATS = r"(?<![^ ])([^ ]++)(?: \1(?![^ ]))+"
+_END = "\u0001"
+
+# A run of one repeated word in a blank-joined sorted list of word, \u0001, position.
+_REPEATS = r"(?<![^ ])([^ \u0001]++)\u0001[0-9]++(?: \1\u0001[0-9]++)+"
 
 
 def add_keywords(df: DataFrame, text: str = "text", n: int = KEYWORDS, out: str = "keywords") -> DataFrame:
@@ -58,24 +60,22 @@ def add_keywords(df: DataFrame, text: str = "text", n: int = KEYWORDS, out: str
 
     Most words of a text occur once. Sorting the words makes repeats adjacent,
     so only repeated words are counted and ranked; the rest follow in reading
-    order. Steps are separate projections so that none is evaluated twice.
+    order. Steps are pinned, separate projections so that none is evaluated twice.
     """
     stop = [w for w in STOP_WORDS if len(w) > 3]
     plain = normalize_text(F.col(text), "empty")
     tokens = F.filter(words(plain), lambda w: (F.char_length(w) > 3) & ~w.isin(stop))
-    step = df.withColumn("_tokens", tokens)
+    step = df.withColumn("_tokens", pin(tokens))
+    placed = F.transform("_tokens", lambda w, i: F.concat(w, F.lit(_END), F.lpad(i.cast("string"), 10, "0")))
     step = step.withColumn("_runs", F.regexp_extract_all(
-        F.array_join(F.sort_array("_tokens"), " "), F.lit(_REPEATS), F.lit(0)))
+        F.array_join(F.sort_array(placed), " "), F.lit(_REPEATS), F.lit(0)))
     ranked = F.sort_array(F.transform("_runs", lambda r: F.struct(
         (-F.size(F.split(r, " "))).alias("neg"),
-        F.array_position(F.col("_tokens"), F.substring_index(r, " ", 1)).alias("at"),
-        F.substring_index(r, " ", 1).alias("w"))))
+        F.substring_index(F.substring_index(r, " ", 1), _END, -1).alias("at"),
+        F.substring_index(r, _END, 1).alias("w"))))
     step = step.withColumn("_repeated", F.transform(ranked, lambda x: x["w"]))
     once = F.array_except("_tokens", "_repeated")
-    return step.withColumn(out, F.slice(F.concat("_repeated", once), 1, n)).drop("_tokens", "_runs", "_repeated")
-
-
-_END = "\u0001"
+    return step.withColumn(out, pin(F.slice(F.concat("_repeated", once), 1, n))).drop("_tokens", "_runs", "_repeated")
 
 
 def _marked(col: Column) -> Column:
@@ -95,7 +95,7 @@ def add_key_phrases(df: DataFrame, text: str = "text", keywords: str = "keywords
     density = F.transform(F.split(blanks(normalize_text(raw)), _END), lambda s: let(
         F.array_remove(F.split(s, " "), ""),
         lambda t: -F.size(F.array_intersect(F.col(keywords), t)) / (F.size(t) + 1)))
-    step = df.withColumn("_density", density).withColumn("_sentences", F.transform(F.split(raw, _END), strip))
+    step = df.withColumn("_density", pin(density)).withColumn("_sentences", F.transform(F.split(raw, _END), strip))
     paired = F.zip_with("_density", "_sentences", lambda d, s: F.struct(d.alias("d"), s.alias("s")))
     ranked = F.filter(F.transform(paired, lambda x, i: F.struct(x["d"].alias("d"), i.alias("i"), x["s"].alias("s"))),
                       lambda x: F.char_length(x["s"]) >= MIN_SENTENCE)
@@ -103,7 +103,7 @@ def add_key_phrases(df: DataFrame, text: str = "text", keywords: str = "keywords
     def cut(s):
         return F.when(F.size(words(s, ANY_SPACE)) > max_words, F.concat(
             F.array_join(F.slice(words(s, ANY_SPACE), 1, max_words), " "), F.lit("..."))).otherwise(s)
-    return step.withColumn(out, F.transform(F.slice(F.sort_array(ranked), 1, n), lambda x: cut(x["s"]))).drop(
+    return step.withColumn(out, pin(F.transform(F.slice(F.sort_array(ranked), 1, n), lambda x: cut(x["s"])))).drop(
         "_density", "_sentences")
 
 

@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def _blocks(rows: int, at_least: int, block_rows: int) -> int:
 
 def _shape(df: DataFrame, side: int, salt: int, blocks: int) -> DataFrame:
     grp = F.col("grp") if "grp" in df.columns else F.lit(None).cast("string")
-    return df.where(F.col("vec").isNotNull() & F.col("text").isNotNull()).select(
+    return df.select(
         F.lit(side).alias("side"), F.col("id").cast("bigint").alias("id"), F.col("text"), grp.alias("grp"),
         F.col("vec").cast("array<float>").alias("vec"),
         F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(blocks)).alias("blk"))
@@ -67,6 +68,7 @@ def _run(keyed: DataFrame, groups: int, scorer: Scorer, schema: str, same: Calla
 
     def score(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
+        table = table.filter(pc.and_(pc.is_valid(table.column("vec")), pc.is_valid(table.column("text"))))
         side = table.column("side").to_numpy()
         left = Side(table.filter(pa.array(side == 0)))
         diagonal = same(key[0].as_py())
