@@ -42,9 +42,8 @@ def read_taxonomy(spark: SparkSession, paths: list[str], header: bool = False) -
     frames = []
     for ord_, path in enumerate(paths):
         raw = spark.read.csv(path, sep=sniff_delimiter(spark, path), header=header, inferSchema=False,
-                             quote='"', escape='"', nullValue="\u0001", emptyValue="")
-        names = raw.columns
-        levels = F.array(*[F.col(f"`{c}`") for c in names]).alias("levels")
+                             quote='"', escape='"')
+        levels = F.array(*[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in raw.columns]).alias("levels")
         frames.append(_located(raw, ord_).select(F.lit(path).alias("source"), levels, *_SPLIT))
     numbered = dense_row_ids(union_sources(frames), _SPLIT)
     width = numbered.agg(F.max(F.size("levels"))).first()[0] or 0
@@ -107,26 +106,43 @@ def read_articles(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.xxhash64("path").alias("article_id"), "text", "path")
 
 
+_PAIR = r"([\w.\-:]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+_CHILD = r"<([A-Za-z_][\w.\-:]*)((?:\s+[\w.\-:]+\s*=\s*(?:\"[^\"]*\"|'[^']*'))*)\s*/?>"
+
+
+def _attributes(element):
+    """Attributes of one element text, in document order."""
+    def group(n):
+        return F.regexp_extract_all(element, F.lit(_PAIR), F.lit(n))
+    values = F.zip_with(group(2), group(3), lambda a, b: F.concat(a, b))
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        values = _replace_each(values, entity, char)
+    return F.map_from_arrays(group(1), values)
+
+
+def _replace_each(values, entity, char):
+    return F.transform(values, lambda v: F.replace(v, F.lit(entity), F.lit(char)))
+
+
 def read_rules(spark: SparkSession, path: str, row_tag: str = RULE_TAG) -> DataFrame:
-    """Nested rule rows from an XML catalogue, condition children in document order."""
-    schema = "_id string, _priority string, description string, condition string, action string"
-    raw = spark.read.format("xml").option("rowTag", row_tag).schema(
-        schema.replace("action string", "action map<string,string>")).load(path)
-    child = r"<([A-Za-z_][\w.\-:]*)((?:\s+[\w.\-:]+\s*=\s*(?:\"[^\"]*\"|'[^']*'))*)\s*/?>"
-    found = F.regexp_extract_all("condition", F.lit(child), F.lit(0))
-    pair = r"([\w.\-:]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
-
-    def attrs(element):
-        names = F.regexp_extract_all(element, F.lit(pair), F.lit(1))
-        values = F.zip_with(F.regexp_extract_all(element, F.lit(pair), F.lit(2)),
-                            F.regexp_extract_all(element, F.lit(pair), F.lit(3)),
-                            lambda a, b: F.concat(a, b))
-        return F.map_from_arrays(names, values)
-    condition = F.transform(found, lambda e: F.struct(
-        F.regexp_extract(e, r"^<([A-Za-z_][\w.\-:]*)", 1).alias("tag"), attrs(e).alias("attrs")))
-    action = F.transform_keys("action", lambda k, v: F.regexp_replace(k, "^_", ""))
-    return raw.select(F.col("_id").alias("id"), F.col("_priority").alias("priority"), "description",
-                      condition.alias("condition"), action.alias("action"))
+    """Nested rule rows from XML catalogues (one small file each).
+
+    Scalar fields go through the XML parser; condition children and attributes
+    are taken from the element text, because their document order counts.
+    """
+    text = F.regexp_replace("value", "(?s)<!--.*?-->", "")
+    rules = spark.read.text(path, wholetext=True).select(F.explode(F.regexp_extract_all(
+        text, F.lit(rf"(?s)<{row_tag}\b[^>]*(?:/>|>.*?</{row_tag}>)"), F.lit(0))).alias("rule"))
+    parsed = rules.select("rule", F.from_xml(
+        "rule", "_id string, _priority string, description string", {"rowTag": row_tag}).alias("x"))
+    inner = F.regexp_extract("rule", r"(?s)<condition\b[^>]*>(.*?)</condition>", 1)
+    condition = F.transform(F.regexp_extract_all(inner, F.lit(_CHILD), F.lit(0)), lambda e: F.struct(
+        F.regexp_extract(e, r"^<([A-Za-z_][\w.\-:]*)", 1).alias("tag"), _attributes(e).alias("attrs")))
+    action = F.regexp_extract("rule", r"(?s)<action\b([^>]*)>", 1)
+    return parsed.select(
+        F.col("x._id").alias("id"), F.col("x._priority").alias("priority"), F.col("x.description").alias("description"),
+        condition.alias("condition"),
+        F.when(F.contains("rule", F.lit("<action")), _attributes(action)).alias("action"))
 
 
 def load_model(path: str) -> PipelineModel:

@@ -132,3 +132,9 @@ def trigram_sql(name: str, source: str, key: str, text: str) -> str:
 def r6(col, name: str | None = None):
     c = F.col(col) if isinstance(col, str) else col
     return F.round(c, 6).alias(name or (col if isinstance(col, str) else "value"))
+
+
+def themed_input(spark, d) -> DataFrame:
+    """(label_id, label, theme): the given clusters as themes."""
+    return vectors(spark, d).select(F.col("row_id").alias("label_id"), "label",
+                                    F.concat(F.lit("Theme "), F.col("cluster").cast("string")).alias("theme"))
