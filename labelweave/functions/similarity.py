@@ -154,26 +154,54 @@ def jaro_winkler(a: Column | str, b: Column | str) -> Column:
     return F.pandas_udf(score, "double")(a, b)
 
 
-def lexical_bound(la: np.ndarray, lb: np.ndarray, shared: np.ndarray | None = None) -> np.ndarray:
-    """Largest Jaro-Winkler two strings of these lengths can reach.
-
-    *shared* is the multiset character overlap when it is known; otherwise the
-    shorter length bounds it.
-    """
-    m = np.minimum(la, lb) if shared is None else shared
+def lexical_bound(la: np.ndarray, lb: np.ndarray) -> np.ndarray:
+    """Largest Jaro-Winkler two strings of these lengths can reach."""
+    m = np.minimum(la, lb)
     with np.errstate(divide="ignore", invalid="ignore"):
         jaro = np.where(m > 0, (m / la + m / lb + 1.0) / 3.0, 0.0)
     top = np.where(jaro > BOOST_ABOVE, jaro + PREFIX_CHARS * PREFIX_WEIGHT * (1.0 - jaro), jaro)
     return np.where((la == 0) & (lb == 0), 1.0, top)
 
 
-def char_histogram(strings, classes: int = 32) -> np.ndarray:
-    """Counts per character class; min-sums over it bound the character overlap."""
-    out = np.zeros((len(strings), classes), dtype=np.int16)
-    for i, s in enumerate(strings):
-        codes = np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32) % classes
-        out[i] = np.minimum(np.bincount(codes, minlength=classes), 32767)
-    return out
+class Lexicon:
+    """What bounds the lexical score of a block of strings: lengths, character
+    counts (hashed into classes) and first characters."""
+
+    CLASSES = 32
+
+    def __init__(self, strings):
+        n = len(strings)
+        self.length = np.fromiter((len(s) for s in strings), dtype=np.float32, count=n)
+        self.counts = np.zeros((n, self.CLASSES), dtype=np.uint16)
+        self.head = np.zeros((n, PREFIX_CHARS), dtype=np.uint32)
+        for i, s in enumerate(strings):
+            codes = np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32)
+            self.counts[i] = np.minimum(np.bincount(codes % self.CLASSES, minlength=self.CLASSES), 65535)
+            self.head[i, :len(codes[:PREFIX_CHARS])] = codes[:PREFIX_CHARS]
+        if n == 0 or self.counts.max() < 256:
+            self.counts = self.counts.astype(np.uint8)
+
+    def ceiling(self, rows: slice, other: "Lexicon") -> np.ndarray:
+        """Upper bound of the Jaro-Winkler of every (row, other) pair.
+
+        Strings share at most the class-wise minimum of their counts, and the
+        prefix bonus follows from the first characters.
+        """
+        shared = np.zeros((rows.stop - rows.start, len(other.length)), dtype=np.float32)
+        for a, b in zip(self.counts[rows].T, other.counts.T):
+            if a.any() and b.any():
+                shared += np.minimum(a[:, None], b[None, :])
+        la, lb = self.length[rows][:, None], other.length[None, :]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            bound = np.where(shared > 0, (shared / la + shared / lb + 1) / 3, np.float32(0))
+        prefix = np.zeros(shared.shape, dtype=np.float32)
+        same = np.ones(shared.shape, dtype=bool)
+        for a, b in zip(self.head[rows].T, other.head.T):
+            same &= a[:, None] == b[None, :]
+            prefix += same
+        bound += np.where(bound > BOOST_ABOVE - 1e-4, PREFIX_WEIGHT * prefix * (1 - bound), 0)
+        bound[(la == 0) & (lb == 0)] = 1.0
+        return bound + np.float32(1e-5)
 
 
 def _dot(a: Column, b: Column) -> Column:

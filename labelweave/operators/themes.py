@@ -33,8 +33,11 @@ def cluster_keywords(clustered: DataFrame, n: int = NAME_WORDS, label: str = "la
     its own best before the ranking shuffle.
     """
     tokens = clustered.select("cluster", "row_id", F.posexplode(words(normalize_text(label))).alias("pos", "word"))
-    counts = (tokens.where(F.char_length("word") >= MIN_WORD_CHARS).groupBy("cluster", "word")
-              .agg(F.count(F.lit(1)).alias("count"), F.min(F.struct("row_id", "pos")).alias("_seen")))
+    # place of a word as one number: a struct would force a sort-based aggregate
+    place = F.col("row_id").cast("decimal(20,0)") * F.lit(10 ** 10).cast("decimal(11,0)") + F.col("pos")
+    counts = (tokens.where(F.char_length("word") >= MIN_WORD_CHARS)
+              .select("cluster", "word", place.cast("decimal(38,0)").alias("place")).groupBy("cluster", "word")
+              .agg(F.count(F.lit(1)).alias("count"), F.min("place").alias("_seen")))
     return top_n_per_group(counts, ["cluster"], [F.desc("count"), F.col("_seen")], n, "rank").drop("_seen")
 
 

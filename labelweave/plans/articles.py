@@ -12,6 +12,10 @@ from labelweave.operators.articles import (
     article_entry_similarity, article_result, combined_score, describe_articles, theme_entries, type_entries,
     type_lookup)
 from labelweave.operators.embed import Encoder, embed_text
+from labelweave.session import cut_lineage
+
+
+_STATS = ["avg_similarity", "max_similarity", "top_entries", "top_scores", "keyword_similarity"]
 
 
 @dataclass
@@ -38,19 +42,33 @@ def prepare_categories(themed: DataFrame, type_sheets: DataFrame, type_totals: D
         F.col("sheet").alias("category"), "veille_type", "count")
     types = type_entries(keyed, columns, order, "sheet").join(
         sizes.select("category", F.col("veille_type").alias("name")), "category")
-    return Categories(embed_text(theme_entries(themed), "entry", encoder),
-                      embed_text(types, "entry", encoder), sizes)
+    # a bounded number of rows per category, reused by every classification
+    return Categories(*(cut_lineage(df) for df in (
+        embed_text(theme_entries(themed), "entry", encoder), embed_text(types, "entry", encoder), sizes)))
+
+
+_KINDS = ("theme", "type")
 
 
 def classify_articles(articles: DataFrame, categories: Categories,
                       encoder: str | Encoder = "trigrams") -> Classified:
-    """(article_id, text) to best theme and type, with all category scores."""
-    described = describe_articles(articles, encoder)
-    stats = ["avg_similarity", "max_similarity", "top_entries", "top_scores", "keyword_similarity"]
-    themes = article_entry_similarity(described, categories.themes).select(
+    """(article_id, text) to best theme and type, with all category scores.
+
+    The descriptions (preview, keywords, phrases, vector) are far smaller than
+    the texts and are read three times, so they are written once to the
+    checkpoint folder. Themes and types meet the articles in one block join.
+    """
+    described = cut_lineage(describe_articles(articles, encoder))
+    theme, kind_type = (F.lit(f"{kind}\u0002") for kind in _KINDS)
+    entries = categories.themes.withColumn("category", F.concat(theme, "category")).unionByName(
+        categories.types.withColumn("category", F.concat(kind_type, "category")))
+    scored = article_entry_similarity(described, entries).select(
+        "article_id", F.split_part("category", F.lit("\u0002"), F.lit(1)).alias("kind"),
+        F.split_part("category", F.lit("\u0002"), F.lit(2)).alias("category"), *_STATS)
+    themes = scored.where(F.col("kind") == _KINDS[0]).select(
         "article_id", F.col("category").alias("theme"),
-        combined_score("avg_similarity", "max_similarity", "keyword_similarity").alias("score"), *stats)
-    types = article_entry_similarity(described, categories.types).join(categories.sizes, "category").select(
+        combined_score("avg_similarity", "max_similarity", "keyword_similarity").alias("score"), *_STATS)
+    types = scored.where(F.col("kind") == _KINDS[1]).join(categories.sizes, "category").select(
         "article_id", "veille_type", combined_score(
-            "avg_similarity", "max_similarity", "keyword_similarity", "count").alias("score"), *stats)
+            "avg_similarity", "max_similarity", "keyword_similarity", "count").alias("score"), *_STATS)
     return Classified(article_result(described, themes, types), themes, types)

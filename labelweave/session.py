@@ -35,6 +35,16 @@ def parallelism(spark: SparkSession) -> int:
     return max(spark.sparkContext.defaultParallelism, shuffle)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give heavy per-row work one task per core when the input has too few files.
+
+    A no-op for inputs of at least as many files as cores, so large inputs are
+    never shuffled for this. Select the needed columns first.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+
+
 def _checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()

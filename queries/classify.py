@@ -11,7 +11,7 @@ from labelweave.operators.embed import embed_text
 from labelweave.operators.keyed import argmax_per_group, top_n_per_group
 from labelweave.functions.text import normalize_text
 from labelweave.plans.classifier import train
-from labelweave.session import table
+from labelweave.session import cut_lineage, table
 from queries.common import (
     COS, COS_MIN, JW_MIN, LABEL_SQL, MODEL, PAIRS_SQL, TITLE_SQL, V_SQL, logit_sql, norm, probability_sql, query, r6,
     taxonomy, titles, trigram_sql, vectors)
@@ -20,7 +20,9 @@ NEGATIVES = 1000
 
 
 def positives(spark, d):
-    return m.similar_pairs(vectors(spark, d), cos_min=COS_MIN, jw_min=JW_MIN).select("source_id", "target_id")
+    """The merge pairs, written once as the jobs below read them several times."""
+    found = m.similar_pairs(vectors(spark, d), cos_min=COS_MIN, jw_min=JW_MIN)
+    return cut_lineage(found.select("source_id", "target_id"))
 
 
 # --- examples ---------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from labelweave.functions.text import hierarchy_label, normalize_text
 from labelweave.operators.embed import DEFAULT_DIM, TRIGRAM_MODULUS, TRIGRAM_WEIGHTS
 from labelweave.operators.model import MergeModel
-from labelweave.session import table
+from labelweave.session import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,11 +33,12 @@ def query(name: str, sql: str | None = None):
 
 def documents(spark, d) -> DataFrame:
     """(row_id, label): whole document texts."""
-    return table(spark, d, "documents").select(F.col("doc_id").alias("row_id"), F.col("text").alias("label"))
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("row_id"), F.col("text").alias("label"))
+    return spread(docs, "row_id")
 
 
 def articles(spark, d) -> DataFrame:
-    return table(spark, d, "documents").select(F.col("doc_id").alias("article_id"), "text")
+    return spread(table(spark, d, "documents").select(F.col("doc_id").alias("article_id"), "text"), "article_id")
 
 
 def taxonomy(spark, d) -> DataFrame:

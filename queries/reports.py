@@ -9,7 +9,7 @@ from labelweave.operators import records as rec
 from labelweave.operators import themes as th
 from labelweave.operators.keyed import share_of_total
 from labelweave.operators.rules import summarize_rules
-from labelweave.session import table
+from labelweave.session import spread, table
 from queries.common import V_SQL, norm, query, r6, records, vectors
 
 TERMS = ("red", "#7")
@@ -147,7 +147,7 @@ FROM cnt QUALIFY rank <= 5""")
 def _(spark, d):
     docs = table(spark, d, "documents").select(
         F.col("source").alias("cluster"), F.col("doc_id").alias("row_id"), F.col("text").alias("label"))
-    return th.cluster_keywords(docs)
+    return th.cluster_keywords(spread(docs, "row_id"))
 
 
 @query("name_clusters", f"WITH {_NAMES} SELECT cluster, theme FROM names")
