@@ -80,7 +80,10 @@ def _run(keyed: DataFrame, groups: int, scorer: Scorer, schema: str, same: Calla
 
     # One partition per group (up to a cap): groups are compute-heavy but small
     # in bytes, so partitions must not be merged by size.
-    spread = keyed.repartition(min(groups, MAX_PARTITIONS), "pair")
+    if groups <= MAX_PARTITIONS:
+        spread = keyed.withColumn("pair", F.col("pair").cast("int")).repartitionById(groups, "pair")
+    else:
+        spread = keyed.repartition(MAX_PARTITIONS, "pair")
     return spread.groupBy("pair").applyInArrow(score, schema=schema)
 
 

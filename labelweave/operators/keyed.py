@@ -54,6 +54,7 @@ def cap_rows(df: DataFrame, n: int, id_col: str = "row_id") -> DataFrame:
 
 
 def share_of_total(df: DataFrame, count: str, out: str, scale: float = 100.0) -> DataFrame:
-    """Each row's share of the summed *count* of an already reduced result."""
-    total = F.sum(count).over(Window.partitionBy())
-    return df.withColumn(out, F.try_divide(F.col(count) * F.lit(scale), total))
+    """Each row's share of the summed *count*; the total is one broadcast row."""
+    total = df.agg(F.sum(count).alias("_total"))
+    return df.crossJoin(F.broadcast(total)).withColumn(
+        out, F.try_divide(F.col(count) * F.lit(scale), F.col("_total"))).drop("_total")

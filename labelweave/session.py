@@ -36,13 +36,13 @@ def parallelism(spark: SparkSession) -> int:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give heavy per-row work one task per core when the input has too few files.
+    """Give heavy per-row work one task per core when a scan has fewer splits.
 
-    A no-op for inputs of at least as many files as cores, so large inputs are
-    never shuffled for this. Select the needed columns first.
+    A no-op for scans with at least as many splits as cores, so large inputs
+    are never shuffled for this. Select the needed columns first.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 def _checkpoint_dir(spark: SparkSession) -> str:
