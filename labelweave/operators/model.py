@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labelweave.functions.similarity import cosine, jaro_winkler
+from labelweave.functions.text import pin
 from labelweave.operators.ids import dense_row_ids
 
 # Training defaults.
@@ -67,7 +68,7 @@ def _numbered_pairs(spark: SparkSession, total: int) -> DataFrame:
     guess = F.floor((1 + F.sqrt(1 + 8 * k.cast("double"))) / 2).cast("bigint")
     fixed = F.when(guess * (guess - 1) / 2 > k, guess - 1).when(
         guess * (guess + 1) / 2 <= k, guess + 1).otherwise(guess)
-    return spark.range(total).withColumn("pj", fixed).select(
+    return spark.range(total).withColumn("pj", pin(fixed)).select(
         (k - (F.col("pj") * (F.col("pj") - 1) / 2).cast("bigint")).alias("pi"), "pj")
 
 
@@ -90,7 +91,8 @@ def sample_negatives(labels: DataFrame, positives: DataFrame, n: int = NEGATIVE_
         drawn = draws.where("a <> b").select(F.least("a", "b").alias("pi"), F.greatest("a", "b").alias("pj"))
         pairs = _to_row_ids(drawn.distinct(), positions)
     free = negative_candidates(pairs, positives)
-    return free.orderBy(_hash(seed, "i", "j"), "i", "j").limit(n)
+    # the hash is a column: a sort key expression would be computed per comparison
+    return free.withColumn("_h", _hash(seed, "i", "j")).orderBy("_h", "i", "j").limit(n).drop("_h")
 
 
 def union_examples(positives: DataFrame, negatives: DataFrame, seed: int = 42, shuffled: bool = True) -> DataFrame:
@@ -98,7 +100,9 @@ def union_examples(positives: DataFrame, negatives: DataFrame, seed: int = 42, s
     pos = positives.select(F.col("source_id").alias("i"), F.col("target_id").alias("j"), F.lit(1).alias("label"))
     neg = negatives.select("i", "j", F.lit(0).alias("label"))
     both = pos.unionByName(neg)
-    return both.orderBy(_hash(seed, "i", "j"), "i", "j") if shuffled else both
+    if not shuffled:
+        return both
+    return both.withColumn("_h", _hash(seed, "i", "j")).orderBy("_h", "i", "j").drop("_h")
 
 
 def pair_features(examples: DataFrame, labels: DataFrame, label: str = "label") -> DataFrame:
