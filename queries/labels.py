@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from labelweave.functions.similarity import cosine, jaro_winkler, l2_normalize
-from labelweave.functions.text import char_overlap, hierarchy_label, normalize_text
+from labelweave.functions.text import char_overlap, hierarchy_label, normalize_table, normalize_text
 from labelweave.operators.embed import embed_text
 from labelweave.operators.keyed import cap_rows
 from labelweave.operators import matching as m
@@ -18,8 +18,6 @@ from queries.common import (
     COS, COS_MIN, JW_MIN, LABEL_SQL, NEIGHBOURS_SQL, PAIRS_SQL, TITLE_SQL, V_SQL, documents, neighbours, norm, query,
     r6, taxonomy, titles, trigram_sql, vectors)
 
-from labelweave.operators.blocks import BLOCK_ROWS  # noqa: F401
-
 
 @query("normalize_text", f"SELECT doc_id, {norm('text')} AS norm FROM documents")
 def _(spark, d):
@@ -28,7 +26,6 @@ def _(spark, d):
 
 @query("normalize_table", f"SELECT page_id, {norm('url')} AS url, {norm('html')} AS html FROM pages")
 def _(spark, d):
-    from labelweave.functions.text import normalize_table
     return normalize_table(table(spark, d, "pages"))
 
 
