@@ -78,3 +78,8 @@ def documents(spark: SparkSession, directory: str) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """*df* written once to the shared checkpoint folder, so that a lost executor costs no recomputation."""
     return cut_lineage(df)
+
+
+def sized(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """*df* (stored, short rows) hinted for broadcast if it has at most *rows* rows; else Spark's own choice."""
+    return F.broadcast(df) if df.count() <= rows else df

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import encode_documents
 from .common import documents
+from .hyperminhash import near_duplicates
+from .positional_index import decontaminate
 from .quality import quality_rules
 from .secrets import find_secrets
+from .sql import DECONTAMINATION_SQL, NEAR_DUPLICATES_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,3 +40,13 @@ def op2_secret_scan(spark: SparkSession, d: str) -> DataFrame:
 @query("op4_byte_bpe")
 def op4_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     return encode_documents(documents(spark, d))
+
+
+@query("op3_near_duplicates", NEAR_DUPLICATES_SQL)
+def op3_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates(documents(spark, d))
+
+
+@query("op8_decontamination", DECONTAMINATION_SQL)
+def op8_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate(documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet"))
