@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .backoff_lm import language_model_scores
+from .boosted_trees import quality_scores
 from .bpe import encode_documents
 from .common import documents
+from .hyperdimensional import language_of_documents
 from .hyperminhash import near_duplicates
 from .positional_index import decontaminate
 from .quality import quality_rules
@@ -50,3 +53,18 @@ def op3_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
 @query("op8_decontamination", DECONTAMINATION_SQL)
 def op8_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate(documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet"))
+
+
+@query("op5_language_model")
+def op5_language_model(spark: SparkSession, d: str) -> DataFrame:
+    return language_model_scores(documents(spark, d))
+
+
+@query("op6_quality_classifier")
+def op6_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
+    return quality_scores(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet"))
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, d: str) -> DataFrame:
+    return language_of_documents(documents(spark, d))
