@@ -9,10 +9,11 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, Batch, kept_in_worker, map_batches, vocabulary_bytes
+from .common import BATCH_ROWS, WORD, Batch, kept_in_worker, map_batches, vocabulary_bytes
 
 SYMBOLS = "#*$%&|<>"
 BLANK = " \t\n\x0b\x0c\r"
@@ -167,6 +168,24 @@ def in_band(band: Band, chars_per_token: float, fallback_share: float, entropy:
     return n_tokens < band.entropy_from or entropy >= band.entropy_share_min * math.log2(n_tokens)
 
 
+def judged(texts: list[str | None], langs: list[str | None], fertility: Fertility, bands: dict[str, Band]) -> list[tuple]:
+    """The columns of SCHEMA but the id, for each text."""
+    rows = []
+    for text, lang in zip(texts, langs):
+        text = text or ""
+        words = WORD.findall(text)
+        n, counts = len(words), Counter(words)
+        fertility.learn(list(counts))
+        chars, symbols, dup_lines, repeated = base_statistics(text, words)
+        failed = n < 10 or 100 * repeated > 20 * n
+        script, n_tokens, n_bytes, entropy = fertility.measure(counts)
+        per_token, fallback = chars / max(n_tokens, 1), n_bytes / max(n_tokens, 1)
+        band = bands.get(lang) or bands.get(script) or bands["Other"]
+        kept = not failed and in_band(band, per_token, fallback, entropy, n_tokens)
+        rows.append((n, chars, symbols, dup_lines, repeated, failed, kept, script or None, per_token, fallback, entropy))
+    return rows
+
+
 def quality_rules(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", bands: dict[str, Band] | None = None,
                   id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = None) -> DataFrame:
     """One row per input row with the base statistics, the fertility measures and the verdict *kept*.
@@ -178,27 +197,31 @@ def quality_rules(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", band
     """
     model = docs.sparkSession.sparkContext.broadcast(vocabulary_bytes(vocabulary))
     chosen = dict(bands or BANDS)
+    names = [part.split()[0] for part in SCHEMA.split(", ")][1:]
 
     def work(batches: Iterator[Batch]) -> Iterator[Batch]:
         fertility = kept_in_worker(("fertility", vocabulary), lambda: Fertility(model.value))
-        names = [part.split()[0] for part in SCHEMA.split(", ")]
         for batch in batches:
-            rows = []
-            for doc_id, text, lang in zip(batch["doc_id"], batch["text"], batch["lang"]):
-                text = text or ""
-                words = WORD.findall(text)
-                n, counts = len(words), Counter(words)
-                fertility.learn(list(counts))
-                chars, symbols, dup_lines, repeated = base_statistics(text, words)
-                failed = n < 10 or 100 * repeated > 20 * n
-                script, n_tokens, n_bytes, entropy = fertility.measure(counts)
-                per_token, fallback = chars / max(n_tokens, 1), n_bytes / max(n_tokens, 1)
-                band = chosen.get(lang) or chosen.get(script) or chosen["Other"]
-                kept = not failed and in_band(band, per_token, fallback, entropy, n_tokens)
-                rows.append((doc_id, n, chars, symbols, dup_lines, repeated, failed, kept, script or None,
-                             per_token, fallback, entropy))
-            yield dict(zip(names, map(list, zip(*rows))))
+            rows = judged(batch["text"], batch["lang"], fertility, chosen)
+            yield {"doc_id": batch["doc_id"], **dict(zip(names, map(list, zip(*rows))))}
 
     lang = F.col(lang_col) if lang_col else F.lit(None).cast("string")
     return map_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                                    lang.alias("lang")), work, SCHEMA)
+
+
+def keep_by_rules(docs: DataFrame, vocabulary: str = "piece_bpe_32k.model", bands: dict[str, Band] | None = None,
+                  text_col: str = "text") -> DataFrame:
+    """The rows of *docs* with a true verdict, all columns as they are. Narrow: the verdict is found on the spot."""
+    spark = docs.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    model = spark.sparkContext.broadcast(vocabulary_bytes(vocabulary))
+    chosen = dict(bands or BANDS)
+
+    def verdicts(texts: pd.Series) -> pd.Series:
+        fertility = kept_in_worker(("fertility", vocabulary), lambda: Fertility(model.value))
+        rows = judged(texts.tolist(), [None] * len(texts), fertility, chosen)
+        return pd.Series([row[names.index("kept")] for row in rows], dtype=bool)
+
+    names = [part.split()[0] for part in SCHEMA.split(", ")][1:]
+    return docs.filter(F.pandas_udf(verdicts, "boolean")(F.col(text_col)))

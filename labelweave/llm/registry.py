@@ -14,8 +14,10 @@ from .hyperdimensional import language_of_documents
 from .hyperminhash import near_duplicates
 from .positional_index import decontaminate
 from .quality import quality_rules
+from .quotations import reply_order
 from .secrets import find_secrets
-from .sql import DECONTAMINATION_SQL, NEAR_DUPLICATES_SQL
+from .sql import DECONTAMINATION_SQL, NEAR_DUPLICATES_SQL, QUOTATIONS_SQL
+from .token_transducer import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -68,3 +70,13 @@ def op6_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
 @query("op7_language_id")
 def op7_language_id(spark: SparkSession, d: str) -> DataFrame:
     return language_of_documents(documents(spark, d))
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    return token_counts(documents(spark, d))
+
+
+@query("op10_quotation_linking", QUOTATIONS_SQL)
+def op10_quotation_linking(spark: SparkSession, d: str) -> DataFrame:
+    return reply_order(spark.read.parquet(f"{d}/conversations.parquet"))

@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Batch, map_batches
+from .common import BATCH_ROWS, Batch, map_batches
 
 # Fixed by the contract.
 ASSIGN = re.compile("(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
@@ -161,5 +161,6 @@ def masked(text: str, reach: int = REACH) -> str:
 
 def redact(docs: DataFrame, reach: int = REACH, text_col: str = "text") -> DataFrame:
     """*docs* with every span masked in *text_col*; all other columns and rows stay, a null text stays null."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     mask = F.pandas_udf(lambda texts: texts.map(lambda t: t if t is None else masked(t, reach)), "string")
     return docs.withColumn(text_col, mask(F.col(text_col)))

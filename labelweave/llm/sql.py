@@ -36,3 +36,35 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT reach.a, link.b FR
 SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept
 FROM w JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
 LEFT JOIN n USING (doc_id)"""
+
+_MARKS = r"^[\x20\t]*((?:>[\x20\t]?)*)"
+_SAID = (f"trim(regexp_replace(translate(regexp_replace(x, '{_MARKS}', ''), '{UPPER}', '{LOWER}'), "
+         r"'[\x20\x09-\x0D]+', ' ', 'g'))")
+
+QUOTATIONS_SQL = rf"""
+WITH RECURSIVE lined AS (SELECT DISTINCT conv_id, turn, string_split(coalesce(text, ''), chr(10)) AS l FROM conversations
+                         WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+line AS (SELECT conv_id, turn, l, i, x, length(replace(replace(regexp_extract(x, '{_MARKS}', 1), ' ', ''), chr(9), '')) AS level,
+                {_SAID} AS said
+         FROM (SELECT conv_id, turn, l, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS x FROM lined)),
+mark AS (SELECT *, CASE WHEN level = lag(level) OVER w AND (said = '') = (lag(said) OVER w = '') THEN 0 ELSE 1 END AS new
+         FROM line WINDOW w AS (PARTITION BY conv_id, turn, l ORDER BY i)),
+run AS (SELECT *, sum(new) OVER (PARTITION BY conv_id, turn, l ORDER BY i) AS run FROM mark),
+unit AS (SELECT conv_id, turn, level, said FROM run WHERE said <> ''
+         UNION ALL SELECT conv_id, turn, any_value(level), string_agg(said, ' ' ORDER BY i) FROM run WHERE said <> ''
+         GROUP BY conv_id, turn, l, run),
+own AS (SELECT conv_id, said, min(turn) AS original FROM unit WHERE level = 0 GROUP BY conv_id, said),
+link AS (SELECT q.conv_id, q.turn, q.level, o.original, count(*) AS n
+         FROM (SELECT DISTINCT conv_id, turn, level, said FROM unit WHERE level > 0) q JOIN own o USING (conv_id, said)
+         WHERE o.original < q.turn GROUP BY ALL),
+parent AS (SELECT conv_id, turn, arg_max(original, (-level, n, original)) AS parent, sum(n) AS n_quoted FROM link
+           GROUP BY conv_id, turn),
+up AS (SELECT conv_id, turn, parent AS root, 1 AS depth FROM parent
+       UNION ALL SELECT up.conv_id, up.turn, p.parent, up.depth + 1 FROM up JOIN parent p
+       ON p.conv_id = up.conv_id AND p.turn = up.root),
+top AS (SELECT conv_id, turn, arg_max(root, depth) AS root, max(depth) AS depth FROM up GROUP BY conv_id, turn)
+SELECT c.conv_id, c.turn, c.role, p.parent, coalesce(t.root, c.turn) AS root, coalesce(t.depth, 0)::BIGINT AS depth,
+       coalesce(p.n_quoted, 0)::BIGINT AS n_quoted,
+       trim(array_to_string([x FOR x IN string_split(c.text, chr(10)) IF NOT regexp_matches(x, '^[\x20\t]*>')], chr(10)), ' ') AS text
+FROM conversations c LEFT JOIN parent p ON p.conv_id = c.conv_id AND p.turn = c.turn
+LEFT JOIN top t ON t.conv_id = c.conv_id AND t.turn = c.turn"""
