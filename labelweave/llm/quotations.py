@@ -82,9 +82,9 @@ def threads(parents: DataFrame) -> DataFrame:
 
 
 def without_quotes(text: Column) -> Column:
-    """The text's own lines; null stays null."""
+    """The text's own lines, without blank lines and spaces at either end; null stays null."""
     own = F.filter(F.split(text, "\n"), lambda x: ~x.rlike("^[\\x20\\t]*>"))
-    return F.trim(F.array_join(own, "\n"))
+    return F.btrim(F.array_join(own, "\n"), F.lit(" \n"))
 
 
 def reply_order(messages: DataFrame) -> DataFrame:

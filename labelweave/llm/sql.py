@@ -65,6 +65,6 @@ up AS (SELECT conv_id, turn, parent AS root, 1 AS depth FROM parent
 top AS (SELECT conv_id, turn, arg_max(root, depth) AS root, max(depth) AS depth FROM up GROUP BY conv_id, turn)
 SELECT c.conv_id, c.turn, c.role, p.parent, coalesce(t.root, c.turn) AS root, coalesce(t.depth, 0)::BIGINT AS depth,
        coalesce(p.n_quoted, 0)::BIGINT AS n_quoted,
-       trim(array_to_string([x FOR x IN string_split(c.text, chr(10)) IF NOT regexp_matches(x, '^[\x20\t]*>')], chr(10)), ' ') AS text
+       trim(array_to_string([x FOR x IN string_split(c.text, chr(10)) IF NOT regexp_matches(x, '^[\x20\t]*>')], chr(10)), ' ' || chr(10)) AS text
 FROM conversations c LEFT JOIN parent p ON p.conv_id = c.conv_id AND p.turn = c.turn
 LEFT JOIN top t ON t.conv_id = c.conv_id AND t.turn = c.turn"""
