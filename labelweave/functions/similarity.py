@@ -144,6 +144,48 @@ def jaro_winkler_arrays(a, b) -> np.ndarray:
     return scores[inverse]
 
 
+def one_to_many(name: str, texts) -> np.ndarray:
+    """Jaro-Winkler of each text to one *name*: the texts are a matrix of code points, and each character of
+    the name takes its first free match in all of them at once."""
+    n, wide = len(texts), max((len(t) for t in texts), default=0)
+    if n == 0 or wide > 4096:  # a matrix of huge texts would be mostly padding
+        return np.array([_jaro_winkler_long(t, name) for t in texts])
+    size = np.fromiter(map(len, texts), dtype=np.int64, count=n)
+    if not name or wide == 0:
+        return np.where((size == 0) & (len(name) == 0), 1.0, 0.0)
+    cells = np.zeros((n, wide), dtype=np.uint32)
+    for row, text in enumerate(texts):
+        cells[row, :len(text)] = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    inside = np.arange(wide) < size[:, None]
+    reach = np.maximum(np.maximum(size, len(name)) // 2 - 1, 0)[:, None]
+    place, free, rows = np.arange(wide), inside.copy(), np.arange(n)
+    letters = np.frombuffer(name.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    taken = np.full((n, len(name)), wide, dtype=np.int64)
+    for j, letter in enumerate(letters):
+        low, high = max(0, j - int(reach.max())), j + int(reach.max()) + 1
+        near = free[:, low:high] & (cells[:, low:high] == letter) & (np.abs(place[low:high] - j) <= reach)
+        if near.shape[1]:
+            at = near.argmax(axis=1)
+            hit = near[rows, at]
+            taken[hit, j] = at[hit] + low
+            free[rows[hit], at[hit] + low] = False
+    m = (taken < wide).sum(axis=1)
+    in_text = np.sort(taken, axis=1)
+    in_name = np.argsort(taken == wide, axis=1, kind="stable")
+    match = np.arange(len(name)) < m[:, None]
+    said = np.take_along_axis(cells, np.minimum(in_text, wide - 1), axis=1)
+    swapped = ((said != letters[in_name]) & match).sum(axis=1) // 2
+    out = np.zeros(n)
+    has = m > 0
+    mm = m[has].astype(np.float64)
+    out[has] = (mm / size[has] + mm / len(name) + (mm - swapped[has]) / mm) / 3.0
+    head = min(PREFIX_CHARS, len(name), wide)
+    prefix = np.logical_and.accumulate((cells[:, :head] == letters[:head]) & inside[:, :head], axis=1).sum(axis=1)
+    boost = out > BOOST_ABOVE
+    out[boost] += PREFIX_WEIGHT * prefix[boost] * (1.0 - out[boost])
+    return out
+
+
 def jaro_winkler(a: Column | str, b: Column | str) -> Column:
     """Jaro-Winkler similarity as an Arrow-batched column; null in, null out."""
     def score(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -172,11 +214,11 @@ class Lexicon:
     def __init__(self, strings):
         n = len(strings)
         self.length = np.fromiter((len(s) for s in strings), dtype=np.float32, count=n)
-        self.counts = np.zeros((n, self.CLASSES), dtype=np.uint16)
+        self.counts = np.zeros((n, self.CLASSES), dtype=np.uint32)
         self.head = np.zeros((n, PREFIX_CHARS), dtype=np.uint32)
         for i, s in enumerate(strings):
             codes = np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32)
-            self.counts[i] = np.minimum(np.bincount(codes % self.CLASSES, minlength=self.CLASSES), 65535)
+            self.counts[i] = np.bincount(codes % self.CLASSES, minlength=self.CLASSES)
             self.head[i, :len(codes[:PREFIX_CHARS])] = codes[:PREFIX_CHARS]
         if n == 0 or self.counts.max() < 256:
             self.counts = self.counts.astype(np.uint8)

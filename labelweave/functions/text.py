@@ -23,7 +23,21 @@ ASCII_SPELLINGS = {
     "•": "*", "⁄": "/", "€": "EUR", "×": "x", "÷": "/", "¿": "?",
     "¡": "!", "°": "deg", "©": "(c)", "®": "(r)", "·": "*",
     "\u2028": "\n", "\u2029": "\n",
+    "£": "GBP", "¥": "JPY", "¢": "c", "§": "SS", "¶": "P", "±": "+-", "¬": "!", "¦": "|", "¤": "$",
+    # Greek
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k",
+    "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "ς": "s", "σ": "s", "τ": "t",
+    "υ": "u", "φ": "ph", "χ": "kh", "ψ": "ps", "ω": "o",
+    # Cyrillic
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "й": "i",
+    "к": "k", "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u",
+    "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "'", "ы": "y", "ь": "'",
+    "э": "e", "ю": "iu", "я": "ia", "ё": "io", "є": "ie", "і": "i", "ї": "yi", "ґ": "g", "ђ": "dj",
+    "ј": "j", "љ": "lj", "њ": "nj", "ћ": "c", "ќ": "k", "ў": "u", "џ": "dz", "ѓ": "gj", "ѕ": "dz",
 }
+# Capitals of the letters above are spelled alike with a capital first letter.
+ASCII_SPELLINGS.update({k.upper(): v.capitalize() for k, v in list(ASCII_SPELLINGS.items())
+                        if k.islower() and k.upper() not in ASCII_SPELLINGS and len(k.upper()) == 1})
 
 # Code-point ranges covered by the transliteration table.
 LATIN_RANGES = (
@@ -33,15 +47,25 @@ LATIN_RANGES = (
     (0x2000, 0x20BF),  # punctuation, super- and subscripts, currency
     (0x2100, 0x218F),  # letter-like forms, fractions, Roman numerals
     (0x2460, 0x24FF),  # enclosed alphanumerics
-    (0x3000, 0x3000),
-    (0xFB00, 0xFB06),  # ligatures
-    (0xFF01, 0xFF5E),  # full-width forms
+    (0x0370, 0x03FF),  # Greek
+    (0x0400, 0x04FF),  # Cyrillic
+    (0x1F00, 0x1FFF),  # Greek extended
+    (0x2190, 0x245F),  # symbols
+    (0x3000, 0x303F),
+    (0x3130, 0x33FF),  # compatibility letters, enclosed and squared forms
+    (0xF900, 0xFAFF),  # compatibility ideographs
+    (0xFB00, 0xFDFF),  # ligatures and presentation forms
+    (0xFE10, 0xFE6F),  # small and vertical forms
+    (0xFE70, 0xFEFC),
+    (0xFF01, 0xFFEE),  # half- and full-width forms
 )
 
 
 def _ascii_form(char: str) -> str | None:
+    """ASCII spelling, else the compatibility form if it differs, else None."""
     out = []
-    for c in unicodedata.normalize("NFKC", char):
+    whole = unicodedata.normalize("NFKC", char)
+    for c in whole:
         if c in ASCII_SPELLINGS:
             out.append(ASCII_SPELLINGS[c])
             continue
@@ -49,7 +73,9 @@ def _ascii_form(char: str) -> str | None:
             if not unicodedata.combining(d):
                 out.append(ASCII_SPELLINGS.get(d, d))
     text = "".join(out)
-    return text if text.isascii() else None
+    if text.isascii():
+        return text
+    return whole if whole != char else None
 
 
 @lru_cache(maxsize=1)
@@ -85,8 +111,8 @@ _COVERED = "".join(f"\\u{low:04X}-\\u{high:04X}" for low, high in LATIN_RANGES)
 def _spelling(char: Column) -> Column:
     """ASCII form of a one-character string."""
     source, target, expanded = transliteration()
-    listed = F.lit(" " + " ".join(k + v for k, v in expanded.items()))
-    longer = F.split_part(F.split_part(listed, F.concat(F.lit(" "), char), F.lit(2)), F.lit(" "), F.lit(1))
+    listed = F.lit("\x00" + "\x00".join(k + v for k, v in expanded.items()))
+    longer = F.split_part(F.split_part(listed, F.concat(F.lit("\x00"), char), F.lit(2)), F.lit("\x00"), F.lit(1))
     short = F.translate(char, source, target)
     return F.when(short != char, short).when(longer != "", longer).otherwise(char)
 
@@ -105,8 +131,8 @@ def normalize_text(col: Column | str, on_null: str = "keep") -> Column:
     """Compatibility-normalised, accent-free, lower-cased text.
 
     ``on_null``: ``keep`` passes null on, ``empty`` yields ``""``, ``fail``
-    raises at run time. ASCII rows skip the transliteration entirely. Scripts
-    outside the Latin ranges pass through lower-cased.
+    raises at run time. ASCII rows skip the transliteration entirely. Latin,
+    Greek and Cyrillic letters and common symbols become ASCII; other characters take their compatibility form.
     """
     c = F.col(col) if isinstance(col, str) else col
     out = F.lower(F.when(_is_ascii(c), c).otherwise(_to_ascii(c)))

@@ -6,12 +6,14 @@ shuffles nothing. Only ids and vectors move when articles meet categories.
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelweave.functions.similarity import blend, jaro_winkler_arrays
+from labelweave.functions.similarity import blend, one_to_many
 from labelweave.functions.text import (
     ANY_SPACE, LEVEL_SEPARATOR, blanks, let, normalize_text, pin, sheet_key, strip, words)
 from labelweave.operators.blocks import Side, block_join
@@ -49,42 +51,45 @@ STOP_WORDS = (
 
 # --- extraction -------------------------------------------------------------
 
-_END = "\u0001"
-
-# A run of one repeated word in a blank-joined sorted list of word, \u0001, position.
-_REPEATS = r"(?<![^ ])([^ \u0001]++)\u0001[0-9]++(?: \1\u0001[0-9]++)+"
-
-
 def add_keywords(df: DataFrame, text: str = "text", n: int = KEYWORDS, out: str = "keywords") -> DataFrame:
     """Add the *n* most frequent content words of each text, first seen first on ties.
 
-    Most words of a text occur once. Sorting the words makes repeats adjacent,
-    so only repeated words are counted and ranked; the rest follow in reading
-    order. Steps are pinned, separate projections so that none is evaluated twice.
+    Sorting (word, position) makes repeats adjacent: a word's count is the distance between the places where
+    the sorted words change, and its first position stands at the earlier one. Steps are pinned, separate
+    projections so that none is evaluated twice; their cost is that of the sort, however often a word repeats.
     """
     stop = [w for w in STOP_WORDS if len(w) > 3]
     plain = normalize_text(F.col(text), "empty")
     tokens = F.filter(words(plain), lambda w: (F.char_length(w) > 3) & ~w.isin(stop))
-    step = df.withColumn("_tokens", pin(tokens))
-    placed = F.transform("_tokens", lambda w, i: F.concat(w, F.lit(_END), F.lpad(i.cast("string"), 10, "0")))
-    step = step.withColumn("_runs", F.regexp_extract_all(
-        F.array_join(F.sort_array(placed), " "), F.lit(_REPEATS), F.lit(0)))
-    ranked = F.sort_array(F.transform("_runs", lambda r: F.struct(
-        (-F.size(F.split(r, " "))).alias("neg"),
-        F.substring_index(F.substring_index(r, " ", 1), _END, -1).alias("at"),
-        F.substring_index(r, _END, 1).alias("w"))))
-    step = step.withColumn("_repeated", F.transform(ranked, lambda x: x["w"]))
-    once = F.array_except("_tokens", "_repeated")
-    return step.withColumn(out, pin(F.slice(F.concat("_repeated", once), 1, n))).drop("_tokens", "_runs", "_repeated")
+    placed = F.transform(tokens, lambda w, i: F.struct(w.alias("w"), i.alias("at")))
+    step = df.withColumn("_sorted", pin(F.sort_array(placed)))
+    last = F.get("_sorted", F.size("_sorted") - 1)
+    change = F.filter(F.transform("_sorted", lambda x, i: i), lambda i: (i == 0) | (
+        F.get("_sorted", i)["w"] != F.get("_sorted", F.greatest(i - 1, F.lit(0)))["w"]))
+    step = step.withColumn("_starts", pin(F.when(last.isNull(), F.array().cast("array<int>")).otherwise(change)))
+    runs = F.transform("_starts", lambda at, k: F.struct(
+        (at - F.coalesce(F.get("_starts", k + 1), F.size("_sorted"))).alias("neg"),
+        F.get("_sorted", at)["at"].alias("at"), F.get("_sorted", at)["w"].alias("w")))
+    step = step.withColumn("_ranked", pin(F.slice(F.sort_array(runs), 1, n)))
+    return step.withColumn(out, pin(F.transform("_ranked", lambda x: x["w"]))).drop("_sorted", "_starts", "_ranked")
+
+
+# Sentence ends travel through the normalisation, which leaves control characters and a-z alone, as a
+# control character and a letter; the same character in a text is written with another letter meanwhile.
+_MARK, _END, _ITSELF = "\u0001", "\u0001e", "\u0001i"
 
 
 def _marked(col: Column) -> Column:
-    """Sentence ends as one control character, which normalisation leaves alone."""
+    col = F.replace(col, F.lit(_MARK), F.lit(_ITSELF))
     for char in SENTENCE_ENDS:
         col = F.replace(col, F.lit(char), F.lit(_END))
     return col
 
 
+def _unmarked(sentence: Column) -> Column:
+    return F.replace(sentence, F.lit(_ITSELF), F.lit(_MARK))
+
+
 def add_key_phrases(df: DataFrame, text: str = "text", keywords: str = "keywords", n: int = PHRASES,
                     max_words: int = PHRASE_WORDS, out: str = "key_phrases") -> DataFrame:
     """Add the *n* sentences densest in keywords, cut to *max_words* words.
@@ -93,9 +98,9 @@ def add_key_phrases(df: DataFrame, text: str = "text", keywords: str = "keywords
     """
     raw = _marked(F.coalesce(F.col(text), F.lit("")))
     density = F.transform(F.split(blanks(normalize_text(raw)), _END), lambda s: let(
-        F.array_remove(F.split(s, " "), ""),
+        F.array_remove(F.split(_unmarked(s), " "), ""),
         lambda t: -F.size(F.array_intersect(F.col(keywords), t)) / (F.size(t) + 1)))
-    step = df.withColumn("_density", pin(density)).withColumn("_sentences", F.transform(F.split(raw, _END), strip))
+    step = df.withColumn("_density", pin(density)).withColumn("_sentences", F.transform(F.split(raw, _END), lambda s: strip(_unmarked(s))))
     paired = F.zip_with("_density", "_sentences", lambda d, s: F.struct(d.alias("d"), s.alias("s")))
     ranked = F.filter(F.transform(paired, lambda x, i: F.struct(x["d"].alias("d"), i.alias("i"), x["s"].alias("s"))),
                       lambda x: F.char_length(x["s"]) >= MIN_SENTENCE)
@@ -117,11 +122,15 @@ def extract_key_phrases(articles: DataFrame, n: int = PHRASES, max_words: int =
 
 
 def describe_articles(articles: DataFrame, encoder: str | Encoder = "trigrams") -> DataFrame:
-    """article_id, preview, keywords, key_phrases and the blended vector. Narrow."""
-    found = add_key_phrases(add_keywords(articles.where(F.coalesce("text", F.lit("")) != "")))
+    """article_id, preview, keywords, key_phrases and the blended vector. Narrow.
+
+    An empty or null text has no keywords, phrases or vector; its row stays.
+    """
+    found = add_key_phrases(add_keywords(articles))
     parts = (F.col("text"), F.array_join("keywords", " "), F.array_join("key_phrases", " "))
     return found.select("article_id", preview("text").alias("article_text"), "keywords", "key_phrases",
-                        embed_blend(list(zip(BLEND, parts)), encoder).alias("embedding"))
+                        F.when(F.coalesce("text", F.lit("")) != "", embed_blend(list(zip(BLEND, parts)), encoder))
+                        .alias("embedding"))
 
 
 def composite_embedding(full: Column | str, by_keywords: Column | str, by_phrases: Column | str) -> Column:
@@ -143,8 +152,12 @@ def sample_head(df: DataFrame, keys: list[str], order: list, n: int, rank_col: s
 
 
 def theme_entries(themed: DataFrame, n: int = THEME_SAMPLE) -> DataFrame:
-    """(category, name, ord, entry): the first labels of each theme in label order."""
-    rows = themed.select(sheet_key("theme", F.col("theme")).alias("category"), "label", "label_id")
+    """(category, name, ord, entry): the first *n* labels of each theme in label order; -1 takes all.
+
+    Themes are told apart by their whole name.
+    """
+    rows = themed.select(F.col("theme").alias("category"), "label", "label_id")
+    n = 2 ** 31 - 1 if n < 0 else n
     head = sample_head(rows, ["category"], [F.col("label"), F.col("label_id")], n)
     return head.select("category", F.col("category").alias("name"), (F.col("rank") - 1).alias("ord"),
                        F.col("label").alias("entry"))
@@ -155,116 +168,106 @@ def text_columns(columns: list[str]) -> list[str]:
     return [c for c in columns if not any(skip in plain_name(c) for skip in SKIPPED_NAMES)]
 
 
-def type_entries(sheets: DataFrame, columns: list[str], order: list, category: str = "type") -> DataFrame:
+def type_entries(sheets: DataFrame, columns: list[str], order: list, category: str = "type",
+                 sample: int = TYPE_SAMPLE, text_limit: int = TYPE_COLUMNS, fallback_sample: int = TYPE_FALLBACK) -> DataFrame:
     """(category, ord, entry): sampled cells of the text columns of each type sheet.
 
     A column counts as text for a type when the type's first value is long
-    enough. The first two text columns give up to 15 values each; a type
-    without any gives up to 30 of its second column.
+    enough. The first *text_limit* text columns give up to *sample* values each; a type
+    without any gives up to *fallback_sample* of its second column.
     """
     usable = text_columns(columns)
     head = sample_head(sheets.select(category, *columns, *[o for o in order if isinstance(o, str) and o not in columns]),
-                       [category], order, TYPE_FALLBACK)
+                       [category], order, max(sample, fallback_sample))
     cells = F.array(*[F.col(c).cast("string") for c in usable]) if usable else F.array().cast("array<string>")
     is_text = F.filter(F.transform(cells, lambda v, i: F.struct(i.alias("i"), v.alias("v"))),
                        lambda x: F.char_length(x["v"]) >= MIN_ENTRY)
-    picked = F.slice(F.transform(is_text, lambda x: x["i"]), 1, TYPE_COLUMNS)
-    # at most 30 rows per type are left here
+    picked = F.slice(F.transform(is_text, lambda x: x["i"]), 1, text_limit)
+    # a bounded number of rows per type is left here
     first = F.first("_picked").over(Window.partitionBy(category).orderBy("rank"))
     known = head.withColumn("_cells", cells).withColumn("_picked", picked).withColumn("_use", first)
     fallback = F.col(columns[1]).cast("string") if len(columns) > 1 else F.lit(None).cast("string")
-    chosen = F.when(F.size("_use") > 0, F.when(F.col("rank") <= TYPE_SAMPLE, F.transform(
-        "_use", lambda i, n: F.struct((n * 1000 + F.col("rank")).alias("ord"), F.get("_cells", i).alias("entry"))
-    ))).otherwise(F.array(F.struct(F.col("rank").alias("ord"), fallback.alias("entry"))))
+    chosen = F.when(F.size("_use") > 0, F.when(F.col("rank") <= sample, F.transform(
+        "_use", lambda i, n: F.struct((n * max(1000, sample) + F.col("rank")).alias("ord"), F.get("_cells", i).alias("entry"))
+    ))).otherwise(F.when(F.col("rank") <= fallback_sample, F.array(
+        F.struct(F.col("rank").alias("ord"), fallback.alias("entry")))))
     out = known.select(F.col(category).alias("category"), F.explode(chosen).alias("e"))
     return out.select("category", F.col("e.ord").alias("ord"), F.col("e.entry").alias("entry")).where(
         F.char_length("entry") >= MIN_ENTRY)
 
 
-def type_lookup(sheets: DataFrame, summary: DataFrame, sheet: str = "sheet") -> DataFrame:
+def type_lookup(sheets: DataFrame, summary: DataFrame, sheet: str = "sheet", order: str | None = None) -> DataFrame:
     """(sheet, veille_type, count): the first summary type whose name contains the sheet name.
 
-    Containment is met by equality on the substrings of the type name, so no
-    nested loop is needed; sheet names have at most 31 characters.
+    The summary's order is that of :func:`type_summary`: largest first, then by *order* (default: its column
+    ``first_row`` if there is one, else the name). Containment is met by equality on the substrings of the type
+    name that are as long as some sheet name, so no nested loop is needed.
     """
-    width = 31
+    order = order or ("first_row" if "first_row" in summary.columns else "Type")
+    names = sheets.select(sheet).distinct()
+    lengths = [r[0] for r in names.select(F.char_length(sheet).alias("n")).where("n > 0").distinct().orderBy("n").collect()]
     length = F.char_length("Type")
-    ends = F.transform(F.sequence(F.lit(1), F.greatest(length, F.lit(1))), lambda at: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(width), length - at + 1)), lambda n: F.substr(F.col("Type"), at, n)))
-    parts = summary.where(length > 0).select("Type", "Count", F.explode(F.array_distinct(F.flatten(ends))).alias("_part"))
-    best = parts.groupBy("_part").agg(
-        F.max_by(F.struct("Type", "Count"), F.struct("Count", "Type")).alias("_hit"))
-    return sheets.select(sheet).distinct().join(best, F.col(sheet) == F.col("_part"), "left").select(
+    at = F.sequence(F.lit(1), F.greatest(length, F.lit(1)))
+
+    def cut(n: int) -> Column:
+        starts = F.filter(at, lambda p: p + (n - 1) <= length)
+        return F.transform(starts, lambda p: F.substr(F.col("Type"), p, F.lit(n)))
+    parts = F.array_distinct(F.flatten(F.array(*(cut(n) for n in lengths))))
+    rank = F.struct(-F.col("Count"), F.col(order))
+    if not lengths:
+        parts = F.array().cast("array<string>")
+    best = summary.select("Type", "Count", rank.alias("_rank"), F.explode(parts).alias("_part")).groupBy("_part").agg(
+        F.min_by(F.struct("Type", "Count"), "_rank").alias("_hit"))
+    return names.join(best, F.col(sheet) == F.col("_part"), "left").select(
         F.col(sheet), F.coalesce("_hit.Type", sheet).alias("veille_type"),
         F.coalesce("_hit.Count", F.lit(0)).alias("count"))
 
 
 # --- similarity and scores --------------------------------------------------
 
-def article_entry_pairs(articles: DataFrame, entries: DataFrame) -> DataFrame:
-    """(article_id, category, ord, entry, similarity) for every article and sampled entry."""
-    def score(left: Side, right: Side, diagonal: bool):
-        for rows in left.chunks(right):
-            sims = left.unit[rows] @ right.unit.T
-            n = rows.stop - rows.start
-            yield {"article_id": np.repeat(left.ids[rows], len(right)), "category": np.tile(right.group, n),
-                   "ord": np.tile(right.ids, n), "entry": np.tile(right.text, n), "similarity": sims.ravel()}
-    lhs = articles.select(F.col("article_id").alias("id"), F.lit("").alias("text"), F.col("embedding").alias("vec"))
-    rhs = entries.select(F.col("ord").alias("id"), F.col("entry").alias("text"), F.col("category").alias("grp"),
-                         F.col("embedding").alias("vec"))
-    return block_join(lhs, rhs, score,
-                      "article_id bigint, category string, ord bigint, entry string, similarity double")
-
-
-def similarity_stats(pairs: DataFrame, n: int = TOP_ENTRIES) -> DataFrame:
+def similarity_stats(articles: DataFrame, entries: DataFrame) -> DataFrame:
     """Mean, maximum and the best entries per (article, category)."""
-    keys = ["article_id", "category"]
-    stats = pairs.groupBy(*keys).agg(F.avg("similarity").alias("avg_similarity"),
-                                     F.max("similarity").alias("max_similarity"))
-    lead = top_n_per_group(pairs, keys, [F.desc("similarity"), F.col("ord")], n, "_rank")
-    # at most n rows per key are left to collect
-    best = lead.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_rank", "entry", "similarity"))).alias("_top"))
-    return stats.join(best, keys).select(
-        *keys, "avg_similarity", "max_similarity",
-        F.array_join(F.transform("_top", lambda x: x["entry"]), ", ").alias("top_entries"),
-        F.array_join(F.transform("_top", lambda x: F.format_string("%.3f", x["similarity"])), ", ").alias("top_scores"))
-
-
-_NAME = "\u0001"
+    bare = articles.select("article_id", "embedding", F.array().cast("array<string>").alias("keywords"))
+    return article_entry_similarity(bare, entries, lexical=False)
 
 
-def article_entry_similarity(articles: DataFrame, entries: DataFrame) -> DataFrame:
-    """The statistics of :func:`similarity_stats` and the lexical similarity of the
+def article_entry_similarity(articles: DataFrame, entries: DataFrame, lexical: bool = True) -> DataFrame:
+    """Mean, maximum and the best entries per (article, category), and the lexical similarity of the
     article's keywords to the category name, reduced where the product is made.
 
     *entries* hold a bounded sample per category, so a category stays in one
-    block and one row per (article, category) leaves the task.
+    block and one row per (article, category) leaves the task. Equal similarities show the lowest position
+    first. Articles without a vector have no row.
     """
     def score(left: Side, right: Side, diagonal: bool):
         order = np.lexsort((right.ids, right.group))
         group, entry, unit = right.group[order], right.text[order], right.unit[order]
         edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True])
-        names = [group[a].split(_NAME) for a in edge[:-1]]
+        names = [json.loads(group[a]) for a in edge[:-1]]
         for rows in left.chunks(right):
             sims = left.unit[rows] @ unit.T
+            texts, which = np.unique(left.text[rows].astype(str), return_inverse=True)
             for (category, name), a, b in zip(names, edge[:-1], edge[1:]):
                 part = sims[:, a:b]
                 top = np.argsort(-np.round(part, 12), axis=1, kind="stable")[:, :TOP_ENTRIES]
                 best = np.take_along_axis(part, top, axis=1)
                 n = len(part)
-                yield {
+                out = {
                     "article_id": left.ids[rows], "category": pa.array([category] * n),
                     "avg_similarity": part.mean(axis=1), "max_similarity": part.max(axis=1),
                     "top_entries": [", ".join(entry[a + t]) for t in top],
-                    "top_scores": [", ".join(f"{s:.3f}" for s in row) for row in best],
-                    "keyword_similarity": jaro_winkler_arrays(left.text[rows], np.array([name] * n, dtype=object))}
-    lhs = articles.select(F.col("article_id").alias("id"), F.array_join("keywords", " ").alias("text"),
-                          F.col("embedding").alias("vec"))
+                    "top_scores": [", ".join(f"{s:.3f}" for s in row) for row in best]}
+                if lexical:
+                    out["keyword_similarity"] = one_to_many(name or "", texts)[which]
+                yield out
+    lhs = articles.where(F.col("embedding").isNotNull()).select(
+        F.col("article_id").alias("id"), F.array_join("keywords", " ").alias("text"), F.col("embedding").alias("vec"))
+    key = F.to_json(F.array(F.col("category"), normalize_text("name")), {"ignoreNullFields": "false"})
     rhs = entries.select(F.col("ord").alias("id"), F.col("entry").alias("text"), F.col("embedding").alias("vec"),
-                         F.concat("category", F.lit(_NAME), normalize_text("name")).alias("grp"))
+                         key.alias("grp"))
     return block_join(lhs, rhs, score, (
         "article_id bigint, category string, avg_similarity double, max_similarity double, "
-        "top_entries string, top_scores string, keyword_similarity double"), whole_groups=True)
+        "top_entries string, top_scores string" + (", keyword_similarity double" if lexical else "")), whole_groups=True)
 
 
 def combined_score(avg: Column | str, top: Column | str, kw: Column | str,

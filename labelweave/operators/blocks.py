@@ -23,7 +23,7 @@ from labelweave.session import parallelism
 BLOCK_ROWS = 8192       # most rows in one block
 SMALL_BLOCK_ROWS = 128  # below this a block is not worth its own group
 CHUNK_CELLS = 4_000_000  # score-matrix cells held at a time inside a group
-MAX_PARTITIONS = 50_000
+MAX_PARTITIONS = 50_000  # groups are dealt to so many partitions in turn
 
 
 class Side:
@@ -33,7 +33,12 @@ class Side:
         self.ids = table.column("id").to_numpy()
         self.text = np.array(table.column("text").to_pylist(), dtype=object)
         self.group = np.array(table.column("grp").to_pylist(), dtype=object)
-        flat = table.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        lists = table.column("vec").combine_chunks()
+        if lists.null_count:
+            raise ValueError(f"{lists.null_count} rows have a text and no vector; check that ids are aligned")
+        if len(pc.unique(pc.list_value_length(lists))) > 1:
+            raise ValueError("vectors differ in length")
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
         raw = flat.reshape(len(self.ids), -1) if len(self.ids) else np.zeros((0, 1))
         norms = np.linalg.norm(raw.astype(np.float64), axis=1, keepdims=True)
         self.unit = raw / np.maximum(norms, 1e-12)
@@ -57,7 +62,8 @@ def _blocks(rows: int, at_least: int, block_rows: int) -> int:
 
 def _shape(df: DataFrame, side: int, salt: int, blocks: int) -> DataFrame:
     grp = F.col("grp") if "grp" in df.columns else F.lit(None).cast("string")
-    return df.select(
+    # a row without a text has nothing to compare
+    return df.where(F.col("text").isNotNull()).select(
         F.lit(side).alias("side"), F.col("id").cast("bigint").alias("id"), F.col("text"), grp.alias("grp"),
         F.col("vec").cast("array<float>").alias("vec"),
         F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(blocks)).alias("blk"))
@@ -68,23 +74,20 @@ def _run(keyed: DataFrame, groups: int, scorer: Scorer, schema: str, same: Calla
 
     def score(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
-        table = table.filter(pc.and_(pc.is_valid(table.column("vec")), pc.is_valid(table.column("text"))))
         side = table.column("side").to_numpy()
         left = Side(table.filter(pa.array(side == 0)))
-        diagonal = same(key[0].as_py())
+        diagonal = same(key[1].as_py())
         right = left if diagonal else Side(table.filter(pa.array(side == 1)))
         if len(left) == 0 or len(right) == 0:
             return
         for part in scorer(left, right, diagonal):
             yield pa.RecordBatch.from_pydict(part, schema=arrow)
 
-    # One partition per group (up to a cap): groups are compute-heavy but small
-    # in bytes, so partitions must not be merged by size.
-    if groups <= MAX_PARTITIONS:
-        spread = keyed.withColumn("pair", F.col("pair").cast("int")).repartitionById(groups, "pair")
-    else:
-        spread = keyed.repartition(MAX_PARTITIONS, "pair")
-    return spread.groupBy("pair").applyInArrow(score, schema=schema)
+    # Groups are compute-heavy but small in bytes, so partitions must not be merged by size: each group has
+    # its own, or, with very many groups, they are dealt to the partitions in turn.
+    slots = min(groups, MAX_PARTITIONS)
+    spread = keyed.withColumn("slot", F.pmod("pair", F.lit(slots)).cast("int")).repartitionById(slots, "slot")
+    return spread.groupBy("slot", "pair").applyInArrow(score, schema=schema)
 
 
 def _arrow_schema(ddl: str) -> pa.Schema:

@@ -44,8 +44,13 @@ def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int,
 def argmax_per_group(df: DataFrame, keys: list[str], score: str, tie_id: str) -> DataFrame:
     """Best row per key; equal scores go to the lowest *tie_id*."""
     others = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*others), F.struct(F.col(score), -F.col(tie_id)))
-    return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*")
+    # numbers aggregate by hash over all rows; whole rows are compared among the best only
+    top = df.groupBy(*keys).agg(F.max(score).alias("_top"))
+    met = F.col(f"l.{score}").eqNullSafe(F.col("r._top"))
+    for key in keys:
+        met = met & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
+    best = df.alias("l").join(top.alias("r"), met, "left_semi")
+    return best.groupBy(*keys).agg(F.min_by(F.struct(*others), tie_id).alias("_best")).select(*keys, "_best.*")
 
 
 def cap_rows(df: DataFrame, n: int, id_col: str = "row_id") -> DataFrame:

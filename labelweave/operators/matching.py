@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelweave.functions.similarity import jaro_winkler, jaro_winkler_arrays, lexical_bound
-from labelweave.functions.text import let, normalize_text
+from labelweave.functions.text import normalize_text
 from labelweave.operators.blocks import BLOCK_ROWS, Side, block_self_join
 from labelweave.operators.keyed import HOT_ROWS, lookup_unique, top_n_per_group
 
@@ -32,35 +32,36 @@ def filter_labels(df: DataFrame, pattern: str, label: str = "label") -> DataFram
 # --- exact duplicates -------------------------------------------------------
 
 def match_key(norm: Column) -> Column:
-    """Grouping key for a normalised text: long texts travel as a digest.
-
-    Never null, so the optimizer adds no null filter that would normalise twice.
-    """
-    key = let(norm, lambda n: F.when(F.char_length(n) <= 64, n).otherwise(
-        F.concat(F.lit("sha256:"), F.sha2(n, 256))))
-    return F.coalesce(key, F.lit(""))
+    """Private join key of a normalised text: its digest, at every length; nulls count as empty."""
+    return F.sha2(F.coalesce(norm, F.lit("")), 256)
 
 
 def first_occurrence(df: DataFrame, key: str, order: str = "row_id") -> DataFrame:
-    """The first row per key (by *order*), all columns kept."""
-    others = [c for c in df.columns if c != key]
-    first = F.min_by(F.struct(*others), F.col(order))
-    return df.groupBy(key).agg(first.alias("_row")).select(key, "_row.*").select(*df.columns)
+    """The first row per key (by *order*, unique within a key), all columns kept.
+
+    The minimum is found on keys alone; whole rows meet it in a semi-join.
+    """
+    first = df.groupBy(key).agg(F.min(order).alias("_first")).withColumnRenamed(key, "_key")
+    met = F.col(key).eqNullSafe(F.col("_key")) & F.col(order).eqNullSafe(F.col("_first"))
+    return df.join(first, met, "left_semi")
 
 
 def exact_duplicates(labels: DataFrame, label: str = "label", hot_rows: int = HOT_ROWS) -> DataFrame:
     """(source_id, target_id, norm_key) for every repeat of an earlier label.
 
     The first row per key comes from a pre-aggregated minimum; repeats then
-    look it up, hot keys map-side.
+    look it up, hot keys map-side. Only digests travel; the normalised text is
+    taken afterwards, for the rows that repeat.
     """
-    keyed = labels.where(F.col(label).isNotNull()).select(
-        F.col("row_id").alias("source_id"), match_key(normalize_text(label)).alias("norm_key"))
-    groups = (keyed.groupBy("norm_key")
+    known = labels.where(F.col(label).isNotNull())
+    keyed = known.select(F.col("row_id").alias("source_id"), match_key(normalize_text(label)).alias("_key_of"))
+    groups = (keyed.groupBy("_key_of")
               .agg(F.min("source_id").alias("target_id"), F.count(F.lit(1)).alias("_rows"))
               .where(F.col("_rows") > 1))
-    found = lookup_unique(keyed, groups, "norm_key", "_rows", "target_id", hot_rows)
-    return found.where(F.col("source_id") > F.col("target_id")).select("source_id", "target_id", "norm_key")
+    found = lookup_unique(keyed, groups, "_key_of", "_rows", "target_id", hot_rows)
+    found = found.where(F.col("source_id") > F.col("target_id")).select("source_id", "target_id")
+    texts = known.select(F.col("row_id").alias("source_id"), F.col(label).alias("_text"))
+    return found.join(texts, "source_id").select("source_id", "target_id", normalize_text("_text").alias("norm_key"))
 
 
 # --- similar pairs ----------------------------------------------------------
@@ -114,7 +115,8 @@ def _both_rules(cos_min: float, jw_min: float):
 
 
 def _block_input(labels: DataFrame, emb: DataFrame | None, label: str) -> DataFrame:
-    df = labels if emb is None else labels.join(emb.select("row_id", "embedding"), "row_id")
+    # a label without a vector is an error there, not a loss here
+    df = labels if emb is None else labels.join(emb.select("row_id", "embedding"), "row_id", "left")
     return df.select(F.col("row_id").alias("id"), F.col(label).alias("text"), F.col("embedding").alias("vec"))
 
 
@@ -132,17 +134,15 @@ def similar_pairs(labels: DataFrame, emb: DataFrame | None = None, cos_min: floa
 
 
 def representatives(labels: DataFrame, label: str = "label") -> DataFrame:
-    """One row per distinct (normalised label, vector): the lowest id, with the group size.
+    """One row per distinct (label, vector): the lowest id, with the group size.
 
     Copies add nothing to which rows merge: the exact rule already removes
     them, and they are similar to exactly what their first occurrence is
-    similar to. Similarity work on the result is free of copy groups.
+    similar to. Similarity work on the result is free of copy groups. Labels that
+    differ in case or accents only are kept apart, as similarity compares them as written.
     """
-    keyed = labels.where(F.col(label).isNotNull()).select(
-        "row_id", label, "embedding", match_key(normalize_text(label)).alias("norm_key"))
-    return (keyed.groupBy("norm_key", "embedding")
-            .agg(F.min("row_id").alias("row_id"), F.min_by(label, "row_id").alias(label),
-                 F.count(F.lit(1)).alias("copies"))
+    return (labels.where(F.col(label).isNotNull()).groupBy(label, "embedding")
+            .agg(F.min("row_id").alias("row_id"), F.count(F.lit(1)).alias("copies"))
             .select("row_id", label, "embedding", "copies"))
 
 

@@ -15,26 +15,21 @@ from pyspark.sql import functions as F
 
 from labelweave.functions.similarity import cosine, jaro_winkler
 from labelweave.functions.text import pin
-from labelweave.operators.ids import dense_row_ids
 
 # Training defaults.
 NEGATIVE_SAMPLE = 10_000
 TEST_FRACTION = 0.2
 MAX_ITERATIONS = 1000
 
-ENUMERATE_BELOW = 1_000_000  # list all pairs when there are this few
+FIT_ROWS_PER_TASK = 50_000
+
+ROUNDS = 4  # of the permutation of pair numbers
 
 
 def _hash(seed: int, *cols) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols]))
 
 
-def _uniform(seed: int, tag: str, n: int) -> Column:
-    """A hashed draw from [0, n) per row of ``id``."""
-    digest = F.md5(F.concat_ws(":", F.lit(f"{seed}{tag}"), F.col("id").cast("string")))
-    return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"), F.lit(n))
-
-
 def unordered(pairs: DataFrame, a: str = "source_id", b: str = "target_id") -> DataFrame:
     """Distinct (i, j) with i < j."""
     return pairs.select(F.least(a, b).alias("i"), F.greatest(a, b).alias("j")).where("i < j").distinct()
@@ -47,52 +42,76 @@ def negative_candidates(candidates: DataFrame, positives: DataFrame) -> DataFram
 
 
 def _positions(labels: DataFrame) -> DataFrame:
-    """Dense position to row id, for ids with gaps."""
-    ordered = (labels.select("row_id").repartitionByRange("row_id").sortWithinPartitions("row_id")
-               .withColumn("_part", F.spark_partition_id()))
-    return dense_row_ids(ordered, ["_part"], "position").select("position", "row_id")
+    """Dense position to row id, for ids with gaps: by rank within ranges of ids and the sizes of the ranges before."""
+    ids = labels.select("row_id").where(F.col("row_id").isNotNull()).distinct()
+    low, high, size = ids.agg(F.min("row_id"), F.max("row_id"), F.count(F.lit(1))).first()
+    width = max(1, math.ceil((high - low + 1) / max(1, math.ceil(size / 4096))))
+    ranged = ids.withColumn("_range", F.expr(f"(row_id - {low}L) DIV {width}L"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range of ids
+    offsets = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy("row_id"))
+    return ranged.withColumn("_rank", rank).join(offsets, "_range").select(
+        (F.col("_offset") + F.col("_rank") - 1).alias("position"), "row_id")
 
 
 def _to_row_ids(pairs: DataFrame, positions: DataFrame | None) -> DataFrame:
     if positions is None:
-        return pairs.select(F.col("pi").alias("i"), F.col("pj").alias("j"))
+        return pairs.select("draw", F.col("pi").alias("i"), F.col("pj").alias("j"))
     low = positions.select(F.col("position").alias("pi"), F.col("row_id").alias("ri"))
     high = positions.select(F.col("position").alias("pj"), F.col("row_id").alias("rj"))
     return pairs.join(low, "pi").join(high, "pj").select(
-        F.least("ri", "rj").alias("i"), F.greatest("ri", "rj").alias("j"))
+        "draw", F.least("ri", "rj").alias("i"), F.greatest("ri", "rj").alias("j"))
+
 
+def half_bits(total: int) -> int:
+    """Bits of each half of the smallest even-sized binary domain that holds *total* numbers."""
+    return max(1, math.ceil(max(total - 1, 1).bit_length() / 2))
 
-def _numbered_pairs(spark: SparkSession, total: int) -> DataFrame:
-    """Pair number k decodes to (i, j) arithmetically, so no join builds the pairs."""
-    k = F.col("id")
+
+def _drawn_pairs(spark: SparkSession, start: int, stop: int, total: int, seed: int) -> DataFrame:
+    """(draw, pi, pj): draws start..stop of a seeded permutation of the numbers of all pairs.
+
+    A Feistel network permutes the next larger binary domain; numbers beyond *total* are left out. The number
+    of a pair decodes to (i, j) arithmetically, so no join builds the pairs.
+    """
+    bits = half_bits(total)
+    mask = (1 << bits) - 1
+    halves = spark.range(start, stop).select(
+        F.col("id").alias("draw"), F.shiftright("id", bits).alias("l"), F.col("id").bitwiseAND(F.lit(mask)).alias("r"))
+    for turn in range(ROUNDS):
+        digest = F.md5(F.concat_ws(":", F.lit(f"{seed}:{turn}"), F.col("r").cast("string")))
+        mixed = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint").bitwiseAND(F.lit(mask))
+        halves = halves.select("draw", F.col("r").alias("l"), pin(F.col("l").bitwiseXOR(mixed)).alias("r"))
+    k = F.col("k")
     guess = F.floor((1 + F.sqrt(1 + 8 * k.cast("double"))) / 2).cast("bigint")
-    fixed = F.when(guess * (guess - 1) / 2 > k, guess - 1).when(
-        guess * (guess + 1) / 2 <= k, guess + 1).otherwise(guess)
-    return spark.range(total).withColumn("pj", pin(fixed)).select(
-        (k - (F.col("pj") * (F.col("pj") - 1) / 2).cast("bigint")).alias("pi"), "pj")
+    below = lambda j: F.expr("0L") + j * (j - 1) / 2
+    fixed = F.when(below(guess) > k, guess - 1).when(below(guess + 1) <= k, guess + 1).otherwise(guess)
+    numbered = halves.select("draw", (F.col("l") * F.lit(1 << bits) + F.col("r")).alias("k")).where(k < total)
+    return numbered.withColumn("pj", pin(fixed)).select(
+        "draw", (k - below(F.col("pj")).cast("bigint")).alias("pi"), "pj")
 
 
-def sample_negatives(labels: DataFrame, positives: DataFrame, n: int = NEGATIVE_SAMPLE,
-                     seed: int = 42, enumerate_below: int = ENUMERATE_BELOW) -> DataFrame:
-    """min(n, available) random non-positive pairs, i < j, in seeded hash order.
+def sample_negatives(labels: DataFrame, positives: DataFrame, n: int = NEGATIVE_SAMPLE, seed: int = 42) -> DataFrame:
+    """min(n, available) random non-positive pairs, i < j: the first of a seeded permutation of all pairs.
 
-    Few labels: every pair is numbered and ranked. Many labels: 2n hashed draws
-    from a space at least four times the sample plus the positives, which
-    leaves n distinct non-positive pairs except with negligible probability.
+    Draws are taken in growing runs until n pairs are left that are no positive, or all are drawn; how long the
+    runs are changes the work and never the sample. The work grows with n and the positives only.
     """
+    spark = labels.sparkSession
     size, low, high = labels.agg(F.count("row_id"), F.min("row_id"), F.max("row_id")).first()
     total = size * (size - 1) // 2
-    positions = None if total == 0 or (low == 0 and high == size - 1) else _positions(labels)
-    if total <= enumerate_below or total <= 4 * (n + positives.count()):
-        pairs = _to_row_ids(_numbered_pairs(labels.sparkSession, total), positions)
-    else:
-        draws = labels.sparkSession.range(2 * n + 1000).select(
-            _uniform(seed, "a", size).alias("a"), _uniform(seed, "b", size).alias("b"))
-        drawn = draws.where("a <> b").select(F.least("a", "b").alias("pi"), F.greatest("a", "b").alias("pj"))
-        pairs = _to_row_ids(drawn.distinct(), positions)
-    free = negative_candidates(pairs, positives)
-    # the hash is a column: a sort key expression would be computed per comparison
-    return free.withColumn("_h", _hash(seed, "i", "j")).orderBy("_h", "i", "j").limit(n).drop("_h")
+    if total == 0 or n <= 0:
+        return spark.createDataFrame([], "i bigint, j bigint")
+    positions = None if low == 0 and high == size - 1 else _positions(labels)
+    domain = 1 << 2 * half_bits(total)
+    stop = min(domain, 2 * n * math.ceil(domain / total))
+    while True:
+        drawn = _to_row_ids(_drawn_pairs(spark, 0, stop, total, seed), positions)
+        free = drawn.join(unordered(positives), ["i", "j"], "left_anti")
+        if stop == domain or free.count() >= n:
+            return free.orderBy("draw").limit(n).select("i", "j")
+        stop = min(domain, 4 * stop)
 
 
 def union_examples(positives: DataFrame, negatives: DataFrame, seed: int = 42, shuffled: bool = True) -> DataFrame:
@@ -106,7 +125,8 @@ def union_examples(positives: DataFrame, negatives: DataFrame, seed: int = 42, s
 
 
 def pair_features(examples: DataFrame, labels: DataFrame, label: str = "label") -> DataFrame:
-    """(i, j, lex, cos, label) for labelled id pairs."""
+    """(i, j, lex, cos, label) for labelled id pairs. A hot id is split by Spark's skew handling, as
+    the joins are inner and nothing above them needs the rows of an id together."""
     left = labels.select(F.col("row_id").alias("i"), F.col(label).alias("_a"), F.col("embedding").alias("_u"))
     right = labels.select(F.col("row_id").alias("j"), F.col(label).alias("_b"), F.col("embedding").alias("_v"))
     return examples.join(left, "i").join(right, "j").select(
@@ -167,7 +187,8 @@ def train_merge_classifier(features: DataFrame) -> PipelineModel:
     assemble = VectorAssembler(inputCols=["lex", "cos"], outputCol="features")
     fit = LogisticRegression(featuresCol="features", labelCol="label", maxIter=MAX_ITERATIONS, tol=1e-8,
                              standardization=False, elasticNetParam=0.0, regParam=1.0 / max(rows, 1))
-    return Pipeline(stages=[assemble, fit]).fit(features)
+    # every iteration is a job over all rows, so few rows must not be many tasks
+    return Pipeline(stages=[assemble, fit]).fit(features.coalesce(max(1, rows // FIT_ROWS_PER_TASK)))
 
 
 def coefficients(model: PipelineModel) -> MergeModel:

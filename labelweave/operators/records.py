@@ -7,7 +7,7 @@ import unicodedata
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelweave.functions.text import ASCII_SPELLINGS, contains_any, normalize_text, strip
+from labelweave.functions.text import ASCII_SPELLINGS, contains_any, let, normalize_text, strip
 from labelweave.operators.keyed import share_of_total
 
 # Quality, safety and environment terms, and default column names.
@@ -50,14 +50,18 @@ def extract_is_match(col: Column | str) -> Column:
     an unquoted ``isMatch: true|false`` in the text; otherwise false.
     """
     c = F.col(col) if isinstance(col, str) else col
-    parsed = F.try_parse_json(c)
-    is_object = F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT"))
-    value = F.to_json(F.try_variant_get(parsed, "$.isMatch", "variant"))
-    falsy = value.isin("null", "false", '""', "[]", "{}") | F.coalesce(
-        value.try_cast("double") == 0, F.lit(False))
     by_text = F.lower(F.regexp_extract(c, r"(?i)isMatch\s*:\s*(true|false)", 1)) == "true"
-    return F.when(c.isNull(), F.lit(False)).when(
-        F.coalesce(is_object, F.lit(False)), F.coalesce(~falsy, F.lit(False))).otherwise(by_text)
+
+    def truthy(value: Column) -> Column:
+        falsy = value.isin("null", "false", '""', "[]", "{}") | F.coalesce(value.try_cast("double") == 0, F.lit(False))
+        return F.coalesce(~falsy, F.lit(False))
+
+    # one parse: the reader takes the last of repeated keys, knows NaN, and says whether the text is sound
+    parsed = F.from_json(c, "isMatch VARIANT, _unsound STRING", {"columnNameOfCorruptRecord": "_unsound", "allowSingleQuotes": "false"})
+    answer = let(parsed, lambda p: F.when(p["_unsound"].isNull(), truthy(F.to_json(p["isMatch"]))))
+    bare = F.btrim(c, F.lit(" \t\r\n"))
+    is_object = F.startswith(bare, F.lit("{")) & F.endswith(bare, F.lit("}"))
+    return F.when(c.isNull(), F.lit(False)).when(is_object, F.coalesce(answer, by_text)).otherwise(by_text)
 
 
 def sort_by_match(records: DataFrame, enrichment: str | None = None, order: str | None = "row_id") -> DataFrame:
@@ -92,14 +96,25 @@ def distinct_types(records: DataFrame, type_col: str) -> DataFrame:
     return records.select(normalize_text(F.coalesce(F.col(type_col), F.lit(UNKNOWN_TYPE))).alias("type")).distinct()
 
 
-def type_summary(records: DataFrame, type_col: str, domain_col: str, subdomain_col: str,
-                 terms=QSE_TERMS) -> DataFrame:
-    """(Type, Count, QSE) per normalised type, largest first; shown as first written."""
+def _combinations(records: DataFrame, type_col: str, domain_col: str, subdomain_col: str, terms) -> DataFrame:
+    """Rows collapsed per (type, spelling, domain, subdomain) with counts; fixed-width sums, so a hash aggregate."""
     typed = _typed(records, type_col, domain_col, subdomain_col, terms)
-    summary = typed.groupBy("type_norm").agg(
-        F.min_by("raw", "row_id").alias("Type"), F.count(F.lit(1)).alias("Count"),
-        F.bool_or("qse").alias("_qse"), F.min("row_id").alias("_first"))
-    return summary.orderBy(F.desc("Count"), "_first").select("Type", "Count", _yes_no(F.col("_qse")).alias("QSE"))
+    return typed.groupBy("type_norm", "raw", "domain", "subdomain").agg(
+        F.min("row_id").alias("first_row"), F.count(F.lit(1)).alias("n"), F.bool_or("qse").alias("qse"))
+
+
+def type_summary(records: DataFrame, type_col: str, domain_col: str, subdomain_col: str,
+                 terms=QSE_TERMS, with_first: bool = False) -> DataFrame:
+    """(Type, Count, QSE) per normalised type, largest first; shown as first written.
+
+    *with_first* adds the first row of each type, the second part of the order.
+    """
+    summary = _combinations(records, type_col, domain_col, subdomain_col, terms).groupBy("type_norm").agg(
+        F.min_by("raw", "first_row").alias("Type"), F.sum("n").alias("Count"),
+        F.bool_or("qse").alias("_qse"), F.min("first_row").alias("first_row"))
+    shown = summary.select("Type", "Count", _yes_no(F.col("_qse")).alias("QSE"), "first_row")
+    return shown.orderBy(F.desc("Count"), "first_row") if with_first else shown.orderBy(
+        F.desc("Count"), "first_row").drop("first_row")
 
 
 def type_domain_pairs(records: DataFrame, type_col: str, domain_col: str, subdomain_col: str,
@@ -109,9 +124,9 @@ def type_domain_pairs(records: DataFrame, type_col: str, domain_col: str, subdom
     Rows collapse per (type, domain, subdomain) before anything is joined; the
     per-type figures come from that reduced table.
     """
-    typed = _typed(records, type_col, domain_col, subdomain_col, terms)
-    combos = typed.groupBy("type_norm", "domain", "subdomain").agg(
-        F.min("row_id").alias("first_row"), F.min_by("raw", "row_id").alias("raw"), F.bool_or("qse").alias("qse"))
+    combos = _combinations(records, type_col, domain_col, subdomain_col, terms).groupBy(
+        "type_norm", "domain", "subdomain").agg(
+        F.min_by("raw", "first_row").alias("raw"), F.min("first_row").alias("first_row"), F.bool_or("qse").alias("qse"))
     flags = combos.groupBy("type_norm").agg(
         F.min_by("raw", "first_row").alias("type"), F.bool_or("qse").alias("_qse"))
     return combos.select("type_norm", "domain", "subdomain", "first_row").join(flags, "type_norm").select(

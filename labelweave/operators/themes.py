@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelweave.functions.text import capitalize, normalize_text, words
+from labelweave.operators.matching import first_occurrence
 from labelweave.operators.keyed import top_n_per_group
 
 # Clustering and naming defaults.
@@ -49,7 +50,7 @@ def name_clusters(keywords: DataFrame, clustered: DataFrame, label: str = "label
     # at most NAME_WORDS words per cluster reach this list
     lists = keywords.groupBy("cluster").agg(F.transform(
         F.sort_array(F.collect_list(F.struct("rank", "word"))), lambda x: x["word"]).alias("_words"))
-    first = clustered.groupBy("cluster").agg(F.min_by(label, "row_id").alias("_label"))
+    first = first_occurrence(clustered.select("cluster", "row_id", F.col(label).alias("_label")), "cluster").drop("row_id")
     base = first.join(lists, "cluster", "left").select("cluster", capitalize(F.when(
         F.size(F.coalesce("_words", F.array())) >= 2,
         F.array_join(F.slice("_words", 1, 2), " / ")).otherwise(F.col("_label"))).alias("_name"))
@@ -97,5 +98,5 @@ def reassign_entries(themed: DataFrame, reassignments: DataFrame, mapping: DataF
 
 
 def sort_labels(themed: DataFrame) -> DataFrame:
-    """Rows of a theme together and in label order inside each task."""
-    return themed.sortWithinPartitions("theme", "label", "label_id")
+    """Rows of a theme together and in label order as a whole; a large theme spans neighbouring tasks."""
+    return themed.orderBy("theme", "label", "label_id")

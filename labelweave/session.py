@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "labelweave", master: str | None = None,
@@ -45,6 +46,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """*df* (short rows) hinted for broadcast if it has at most *rows* rows; else Spark's own choice."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def _checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()

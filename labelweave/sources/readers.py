@@ -100,10 +100,10 @@ def read_summary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    """(article_id, text, path): each file is one article."""
+    """(article_id, text, path): each file is one article. Ids are unique within the frame and set by the listing."""
     files = spark.read.text(path, wholetext=True).select(
         F.col("value").alias("text"), F.col("_metadata.file_path").alias("path"))
-    return files.select(F.xxhash64("path").alias("article_id"), "text", "path")
+    return files.select(F.monotonically_increasing_id().alias("article_id"), "text", "path")
 
 
 _PAIR = r"([\w.\-:]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"

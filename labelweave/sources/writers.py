@@ -38,7 +38,8 @@ def write_sheets(df: DataFrame, path: str, name: str, order: list, summary: Data
     if isinstance(fallback, str):
         fallback = F.concat(F.lit(f"{fallback}_"), F.hex(F.hash(name)))
     keyed = df.withColumn("sheet_key", sheet_key(name, fallback))
-    (keyed.sortWithinPartitions("sheet_key", *order).write.mode(mode)
+    # ranges of (sheet, order): a sheet lies in few neighbouring tasks, however many tasks there are
+    (keyed.repartitionByRange("sheet_key", *order).sortWithinPartitions("sheet_key", *order).write.mode(mode)
      .option("maxRecordsPerFile", MAX_FILE_ROWS).partitionBy("sheet_key").parquet(f"{path}/sheets"))
     if summary is not None:
         summary.write.mode(mode).parquet(f"{path}/summary")

@@ -23,6 +23,8 @@ def classify_stream(articles: DataFrame, categories: Categories, sink: Callable[
                     checkpoint: str, encoder: str | Encoder = "trigrams") -> StreamingQuery:
     """Classify every micro-batch with the batch plan; scoring keeps no state."""
     def handle(batch: DataFrame, batch_id: int) -> None:
-        sink(classify_articles(batch, categories, encoder), batch_id)
+        classified = classify_articles(batch, categories, encoder)
+        sink(classified, batch_id)
+        classified.described.unpersist()
     return (articles.writeStream.option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).foreachBatch(handle).start())

@@ -11,18 +11,18 @@ from labelweave.operators.embed import embed_text
 from labelweave.operators.keyed import argmax_per_group, top_n_per_group
 from labelweave.functions.text import normalize_text
 from labelweave.plans.classifier import train
-from labelweave.session import cut_lineage, table
+from labelweave.session import table
 from queries.common import (
-    COS, COS_MIN, JW_MIN, LABEL_SQL, MODEL, PAIRS_SQL, TITLE_SQL, V_SQL, logit_sql, norm, probability_sql, query, r6,
+    COS, COS_MIN, JW_MIN, LABEL_SQL, MODEL, PAIRS_SQL, TITLE_SQL, V_SQL, distinct_labels, logit_sql, norm, probability_sql, query, r6,
     taxonomy, titles, trigram_sql, vectors)
 
 NEGATIVES = 1000
 
 
 def positives(spark, d):
-    """The merge pairs, written once as the jobs below read them several times."""
-    found = m.similar_pairs(vectors(spark, d), cos_min=COS_MIN, jw_min=JW_MIN)
-    return cut_lineage(found.select("source_id", "target_id"))
+    """The merge pairs, kept by the executors as the jobs below read them several times."""
+    found = m.similar_pairs(distinct_labels(spark, d), cos_min=COS_MIN, jw_min=JW_MIN)
+    return found.select("source_id", "target_id").persist()
 
 
 # --- examples ---------------------------------------------------------------
@@ -38,15 +38,29 @@ def _(spark, d):
     return mo.negative_candidates(known, positives(spark, d)).select("i", "j")
 
 
-_NEG = f"""n_all AS (SELECT a.row_id AS i, b.row_id AS j FROM v a JOIN v b ON a.row_id < b.row_id
-WHERE NOT EXISTS (SELECT 1 FROM sim WHERE target_id = a.row_id AND source_id = b.row_id)),
-neg AS (SELECT i, j FROM n_all ORDER BY md5('42:' || i || ':' || j), i, j LIMIT {NEGATIVES}),
+def _round_sql(turn: int) -> str:
+    return (f"n{turn + 1} AS (SELECT draw, r AS l, xor(l, ('0x' || substr(md5('42:{turn}:' || r), 1, 15))::BIGINT "
+            f"& ((1::BIGINT << h) - 1)) AS r, h, total FROM n{turn})")
+
+
+# a run of draws that is long enough; longer ones give the same sample
+_NEG = f"""n_size AS (SELECT total, greatest(1, ceil((floor(log2(total - 1)) + 1) / 2))::BIGINT AS h
+           FROM (SELECT count(*) * (count(*) - 1) // 2 AS total FROM v)),
+n0 AS (SELECT id AS draw, id >> h AS l, id & ((1::BIGINT << h) - 1) AS r, h, total FROM range(0, 100000) t(id), n_size
+       WHERE id < (1::BIGINT << (2 * h))),
+{', '.join(_round_sql(turn) for turn in range(mo.ROUNDS))},
+n_k AS (SELECT draw, (l << h) + r AS k FROM n{mo.ROUNDS} WHERE (l << h) + r < total),
+n_j AS (SELECT draw, k, floor((1 + sqrt(1 + 8 * k::DOUBLE)) / 2)::BIGINT AS pj FROM n_k),
+n_pos AS (SELECT row_id, row_number() OVER (ORDER BY row_id) - 1 AS p FROM v),
+n_all AS (SELECT draw, a.row_id AS i, b.row_id AS j FROM n_j JOIN n_pos a ON a.p = k - pj * (pj - 1) // 2
+          JOIN n_pos b ON b.p = pj),
+neg AS (SELECT i, j FROM n_all WHERE NOT EXISTS (SELECT 1 FROM sim WHERE target_id = i AND source_id = j)
+        ORDER BY draw LIMIT {NEGATIVES}),
 ex AS (SELECT source_id AS i, target_id AS j, 1 AS label FROM sim UNION ALL SELECT i, j, 0 FROM neg)"""
 
 
 def sampled(spark, d, pos):
-    # listing all pairs is bounded by this parameter; larger label sets draw instead
-    return mo.sample_negatives(vectors(spark, d), pos, NEGATIVES, enumerate_below=5_000_000)
+    return mo.sample_negatives(vectors(spark, d), pos, NEGATIVES)
 
 
 def examples(spark, d):
@@ -99,6 +113,20 @@ def _(spark, d):
                                  "intercept double, lexical double, cosine double, auc double")
 
 
+@query("train_merge_classifier_check", f"""WITH {PAIRS_SQL}, {_NEG}
+SELECT count(*) AS examples, 0.0::DOUBLE AS by_intercept, 0.0::DOUBLE AS by_lexical, 0.0::DOUBLE AS by_cosine FROM ex""")
+def _(spark, d):
+    """The gradient of the penalised loss at the fitted coefficients, to four digits."""
+    features = mo.pair_features(examples(spark, d), vectors(spark, d)).persist()
+    c = mo.coefficients(mo.train_merge_classifier(features))
+    miss = mo.merge_probability(features, c, out="p").withColumn("miss", F.col("p") - F.col("label"))
+    n = F.count(F.lit(1))
+    zero = lambda g, name: (F.round(g, 4) + F.lit(0.0)).alias(name)
+    return miss.agg(n.alias("examples"), zero(F.avg("miss"), "by_intercept"),
+                    zero(F.avg(F.col("miss") * F.col("lex")) + F.lit(c.lexical) / n, "by_lexical"),
+                    zero(F.avg(F.col("miss") * F.col("cos")) + F.lit(c.cosine) / n, "by_cosine"))
+
+
 # --- metrics, on document quality predicted from length ---------------------
 
 _PRED = """p AS (SELECT quality AS label, 1.0 / (1.0 + exp(-(n_chars - 1500) / 1000.0)) AS probability,
@@ -208,7 +236,7 @@ r AS (SELECT page_id AS row_id, {TITLE_SQL} AS title, vec FROM pages JOIN rv ON
 l AS (SELECT min(p_partkey) AS lid, {norm(LABEL_SQL)} AS label, any_value(vec) AS vec FROM part JOIN lv ON id = p_partkey GROUP BY 2),
 s AS (SELECT row_id, title, lid, label, {logit_sql('jaro_winkler_similarity(title, label)', 'list_cosine_similarity(r.vec, l.vec)')} AS z
       FROM r, l),
-b AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY round(least(z, 36.7), 9) DESC, lid) AS n FROM s)
+b AS (SELECT *, row_number() OVER (PARTITION BY row_id ORDER BY round(1.0 / (1.0 + exp(-z)), 12) DESC, lid) AS n FROM s)
 SELECT row_id, title, lid AS assigned_taxo_id, label AS assigned_taxo_label,
        round(1.0 / (1.0 + exp(-z)), 6) AS merge_probability FROM b WHERE n = 1""")
 def _(spark, d):

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelweave.functions.text import hierarchy_label, normalize_text
-from labelweave.operators.embed import DEFAULT_DIM, TRIGRAM_MODULUS, TRIGRAM_WEIGHTS
+from labelweave.operators.embed import DEFAULT_DIM, TRIGRAM_MODULUS, TRIGRAM_WEIGHTS, embed
+from labelweave.operators.matching import representatives
 from labelweave.operators.model import MergeModel
 from labelweave.session import spread, table
 
@@ -49,11 +50,19 @@ def taxonomy(spark, d) -> DataFrame:
 
 
 def vectors(spark, d) -> DataFrame:
-    """(row_id, label, embedding, cluster): part names with the provided vectors."""
+    """(row_id, label, embedding, cluster): all part names with the provided vectors, else those of the default
+    encoder, which are as wide, and a cluster by id."""
     part = table(spark, d, "part").select(F.col("p_partkey").alias("row_id"), F.col("p_name").alias("label"))
     emb = table(spark, d, "embeddings").select(
         F.col("vec_id").alias("row_id"), "embedding", F.col("label").alias("cluster"))
-    return part.join(emb, "row_id")
+    return part.join(emb, "row_id", "left").select(
+        "row_id", "label", F.coalesce("embedding", embed("label")).alias("embedding"),
+        F.coalesce("cluster", (F.col("row_id") % 10).cast("int")).alias("cluster"))
+
+
+def distinct_labels(spark, d) -> DataFrame:
+    """vectors() without copies, as similarity is computed."""
+    return representatives(vectors(spark, d))
 
 
 def titles(spark, d) -> DataFrame:
@@ -87,26 +96,7 @@ def norm(x: str) -> str:
 
 LABEL_SQL = "concat_ws(' | ', p_type, p_brand, p_name)"
 TITLE_SQL = norm("regexp_extract(html, '<title>(.*?)</title>', 1, 's')")
-V_SQL = ("v AS (SELECT p_partkey AS row_id, p_name AS label, embedding, e.label AS cluster "
-         "FROM part JOIN embeddings e ON p_partkey = vec_id)")
 COS = "list_cosine_similarity({a}::DOUBLE[], {b}::DOUBLE[])"
-PAIRS_SQL = V_SQL + f""",
-scored AS (SELECT b.row_id AS source_id, a.row_id AS target_id, jaro_winkler_similarity(a.label, b.label) AS jw,
-                  {COS.format(a='a.embedding', b='b.embedding')} AS cos
-           FROM v a JOIN v b ON a.row_id < b.row_id),
-sim AS (SELECT * FROM scored WHERE cos >= {COS_MIN} AND jw >= {JW_MIN}),
-keyed AS (SELECT row_id AS source_id, {norm('label')} AS norm_key,
-                 min(row_id) OVER (PARTITION BY {norm('label')}) AS target_id FROM v),
-dup AS (SELECT source_id, target_id, norm_key FROM keyed WHERE source_id > target_id),
-pairs AS (SELECT source_id, target_id, 'dup-merge-5' AS rule, norm_key, NULL::DOUBLE AS jw, NULL::DOUBLE AS cos FROM dup
-          UNION ALL SELECT source_id, target_id, 'sim-merge-1', NULL, jw, cos FROM sim)"""
-NEIGHBOURS_SQL = f"""
-tax AS (SELECT p_partkey AS a, {norm(LABEL_SQL)} AS s FROM part),
-turns AS (SELECT conv_id * 1000 + turn AS a, {norm('text')} AS s FROM conversations),
-near AS (SELECT 'part' AS kind, x.a AS a, x.s AS s1, y.s AS s2 FROM tax x JOIN tax y ON y.a = x.a + 1
-         UNION ALL SELECT 'turn', x.a, x.s, y.s FROM turns x JOIN turns y ON y.a = x.a + 1)"""
-
-
 def logit_sql(lex: str, cos: str) -> str:
     return f"({MODEL.intercept} + {MODEL.lexical} * {lex} + {MODEL.cosine} * {cos})"
 
@@ -130,6 +120,28 @@ def trigram_sql(name: str, source: str, key: str, text: str) -> str:
            GROUP BY k.id)"""
 
 
+V_SQL = f"""vn AS (SELECT DISTINCT p_name FROM part), {trigram_sql('vt', 'vn', 'p_name', 'p_name')},
+v AS (SELECT p_partkey AS row_id, p_name AS label, coalesce(e.embedding::DOUBLE[], vt.vec) AS embedding,
+             coalesce(e.label, (p_partkey % 10)::INTEGER) AS cluster
+      FROM part LEFT JOIN embeddings e ON p_partkey = vec_id LEFT JOIN vt ON vt.id = p_name)"""
+PAIRS_SQL = V_SQL + f""",
+reps AS (SELECT min(row_id) AS row_id, label, embedding FROM v GROUP BY label, embedding),
+scored AS (SELECT b.row_id AS source_id, a.row_id AS target_id, jaro_winkler_similarity(a.label, b.label) AS jw,
+                  {COS.format(a='a.embedding', b='b.embedding')} AS cos
+           FROM reps a JOIN reps b ON a.row_id < b.row_id),
+sim AS (SELECT * FROM scored WHERE cos >= {COS_MIN} AND jw >= {JW_MIN}),
+keyed AS (SELECT row_id AS source_id, {norm('label')} AS norm_key,
+                 min(row_id) OVER (PARTITION BY {norm('label')}) AS target_id FROM v),
+dup AS (SELECT source_id, target_id, norm_key FROM keyed WHERE source_id > target_id),
+pairs AS (SELECT source_id, target_id, 'dup-merge-5' AS rule, norm_key, NULL::DOUBLE AS jw, NULL::DOUBLE AS cos FROM dup
+          UNION ALL SELECT source_id, target_id, 'sim-merge-1', NULL, jw, cos FROM sim)"""
+NEIGHBOURS_SQL = f"""
+tax AS (SELECT p_partkey AS a, {norm(LABEL_SQL)} AS s FROM part),
+turns AS (SELECT conv_id * 1000 + turn AS a, {norm('text')} AS s FROM conversations),
+near AS (SELECT 'part' AS kind, x.a AS a, x.s AS s1, y.s AS s2 FROM tax x JOIN tax y ON y.a = x.a + 1
+         UNION ALL SELECT 'turn', x.a, x.s, y.s FROM turns x JOIN turns y ON y.a = x.a + 1)"""
+
+
 def r6(col, name: str | None = None):
     c = F.col(col) if isinstance(col, str) else col
     return F.round(c, 6).alias(name or (col if isinstance(col, str) else "value"))

@@ -15,7 +15,7 @@ from labelweave.plans.alignment import align
 from labelweave.session import table
 from labelweave.sources.readers import union_sources
 from queries.common import (
-    COS, COS_MIN, JW_MIN, LABEL_SQL, NEIGHBOURS_SQL, PAIRS_SQL, TITLE_SQL, V_SQL, documents, neighbours, norm, query,
+    COS, COS_MIN, JW_MIN, LABEL_SQL, NEIGHBOURS_SQL, PAIRS_SQL, TITLE_SQL, V_SQL, distinct_labels, documents, neighbours, norm, query,
     r6, taxonomy, titles, trigram_sql, vectors)
 
 
@@ -71,9 +71,8 @@ def _(spark, d):
 SELECT p_partkey, row_number() OVER (ORDER BY p_type, p_partkey) - 1 AS row_id FROM part""")
 def _(spark, d):
     # a partitioned, locally sorted layout stands in for files read in order
-    laid = table(spark, d, "part").repartitionByRange(4, "p_type", "p_partkey").sortWithinPartitions(
-        "p_type", "p_partkey").withColumn("part_no", F.spark_partition_id())
-    return dense_row_ids(laid, ["part_no"]).select("p_partkey", "row_id")
+    laid = table(spark, d, "part").repartition("p_type").sortWithinPartitions("p_type", "p_partkey")
+    return dense_row_ids(laid, ["p_type"]).select("p_partkey", "row_id")
 
 
 @query("jaro_winkler", f"""WITH {NEIGHBOURS_SQL}
@@ -160,13 +159,13 @@ def _(spark, d):
 
 def pairs_of(spark, d):
     v = vectors(spark, d)
-    return m.union_rules(m.exact_duplicates(v), m.similar_pairs(v, cos_min=COS_MIN, jw_min=JW_MIN))
+    return m.union_rules(m.exact_duplicates(v), m.similar_pairs(m.representatives(v), cos_min=COS_MIN, jw_min=JW_MIN))
 
 
 @query("similar_pairs", f"""WITH {PAIRS_SQL}
 SELECT source_id, target_id, round(jw, 6) AS jw, round(cos, 6) AS cos FROM sim""")
 def _(spark, d):
-    out = m.similar_pairs(vectors(spark, d), cos_min=COS_MIN, jw_min=JW_MIN)
+    out = m.similar_pairs(distinct_labels(spark, d), cos_min=COS_MIN, jw_min=JW_MIN)
     return out.select("source_id", "target_id", r6("jw"), r6("cos"))
 
 
@@ -177,7 +176,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(cos, 12) D
 SELECT b AS source_id, a AS target_id, round(jw, 6) AS jw, round(cos, 6) AS cos FROM ranked
 WHERE r <= 7 AND b > a AND jw >= {JW_MIN}""")
 def _(spark, d):
-    out = m.similar_pairs_topk(vectors(spark, d), k=8, cos_min=COS_MIN, jw_min=JW_MIN)
+    out = m.similar_pairs_topk(distinct_labels(spark, d), k=8, cos_min=COS_MIN, jw_min=JW_MIN)
     return out.select("source_id", "target_id", r6("jw"), r6("cos"))
 
 
@@ -214,7 +213,7 @@ SELECT source_id, target_id, s.label AS source_label, t.label AS target_label
 FROM sim JOIN v s ON s.row_id = source_id JOIN v t ON t.row_id = target_id""")
 def _(spark, d):
     v = vectors(spark, d)
-    sim = m.similar_pairs(v, cos_min=COS_MIN, jw_min=JW_MIN).select("source_id", "target_id")
+    sim = m.similar_pairs(m.representatives(v), cos_min=COS_MIN, jw_min=JW_MIN).select("source_id", "target_id")
     return m.label_pairs(sim, v)
 
 
@@ -237,7 +236,7 @@ SELECT source_id, target_id, 'Should ''' || s.label || ''' be merged into ''' ||
 FROM sim JOIN v s ON s.row_id = source_id JOIN v t ON t.row_id = target_id""")
 def _(spark, d):
     v = vectors(spark, d)
-    return m.merge_prompts(m.similar_pairs(v, cos_min=COS_MIN, jw_min=JW_MIN), v)
+    return m.merge_prompts(m.similar_pairs(m.representatives(v), cos_min=COS_MIN, jw_min=JW_MIN), v)
 
 
 _YES = "starts_with(lower(ltrim(text, chr(10) || chr(9) || chr(13) || ' ')), 'yes')"
@@ -293,7 +292,6 @@ def _(spark, d):
 
 
 @query("representatives", f"""WITH {V_SQL}
-SELECT min(row_id) AS row_id, arg_min(label, row_id) AS label, count(*) AS copies FROM v
-GROUP BY {norm('label')}, embedding""")
+SELECT min(row_id) AS row_id, label, count(*) AS copies FROM v GROUP BY label, embedding""")
 def _(spark, d):
     return m.representatives(vectors(spark, d)).select("row_id", "label", "copies")

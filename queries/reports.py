@@ -19,7 +19,7 @@ TYPE_ARGS = ("typedeveille", "DOMAINE", "SOUSDOMAINE")
 
 _CELL = """CASE event_type
 WHEN 'click' THEN '{"isMatch": ' || CASE WHEN value > 20 THEN 'true' ELSE 'false' END || '}'
-WHEN 'view' THEN '{"isMatch": ' || (CASE WHEN value < 10 THEN 0 ELSE 1 END) || ', "p": ' || props || '}'
+WHEN 'view' THEN CASE WHEN value > 20 THEN '{"a": 1, "a": NaN, "isMatch": false, "isMatch": ' ELSE '{"isMatch": ' END || (CASE WHEN value < 10 THEN 0 ELSE 1 END) || ', "p": ' || props || '}'
 WHEN 'error' THEN 'broken {isMatch : ' || CASE WHEN value > 15 THEN 'TRUE' ELSE 'False' END || ', ' || props
 WHEN 'purchase' THEN CASE WHEN value > 30 THEN '{"isMatch": "false"}' WHEN value > 20 THEN '{"isMatch": ""}'
      WHEN value > 10 THEN '[1]' ELSE '{"isMatch": []}' END
@@ -50,7 +50,7 @@ coalesce(p_brand, '') AS domain, coalesce(p_name, '') AS subdomain,
 contains({norm('p_brand')}, 'red') OR contains({norm('p_brand')}, '#7') OR contains({norm('p_name')}, 'red')
 OR contains({norm('p_name')}, '#7') AS qse FROM part),
 summary AS (SELECT arg_min(raw, row_id) AS "Type", count(*) AS "Count",
-CASE WHEN bool_or(qse) THEN 'Yes' ELSE 'No' END AS "QSE", tn FROM r WHERE trim(tn) <> '' GROUP BY tn)"""
+CASE WHEN bool_or(qse) THEN 'Yes' ELSE 'No' END AS "QSE", min(row_id) AS first_row, tn FROM r WHERE trim(tn) <> '' GROUP BY tn)"""
 
 
 @query("type_summary", f'WITH {_REC} SELECT "Type", "Count", "QSE" FROM summary')
@@ -217,6 +217,28 @@ def _(spark, d):
     return th.theme_summary(th.theme_assignment(clustered))
 
 
+@query("cluster_themes_check", f"""WITH {V_SQL}
+SELECT count(*) AS rows_covered, 0::BIGINT AS nearer_elsewhere, count(*) AS in_themes FROM v""")
+def _(spark, d):
+    """What any right clustering fulfils: all rows covered, none nearer to another mean, theme sizes that add up."""
+    clustered = th.cluster_themes(vectors(spark, d).drop("cluster")).persist()
+    means = (clustered.select("cluster", F.posexplode("embedding").alias("pos", "x")).groupBy("cluster", "pos")
+             .agg(F.avg(F.col("x").cast("double")).alias("m"))
+             .groupBy("cluster").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "m"))), lambda e: e["m"]).alias("mean")))
+    all_means = means.agg(F.collect_list(F.struct("cluster", "mean")).alias("means"))  # as many as there are clusters
+
+    def distance(mean):
+        return F.aggregate(F.zip_with("embedding", mean, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    own = F.col("own")["mean"]
+    placed = clustered.crossJoin(F.broadcast(all_means)).withColumn(
+        "own", F.filter("means", lambda m: m["cluster"] == F.col("cluster"))[0])
+    nearest = F.array_min(F.transform("means", lambda m: distance(m["mean"])))
+    checked = placed.agg(F.count(F.lit(1)).alias("rows_covered"),
+                         F.count(F.when(distance(own) > nearest + 0.02, 1)).alias("nearer_elsewhere"))
+    sizes = th.theme_summary(th.theme_assignment(clustered)).agg(F.sum("Count").alias("in_themes"))
+    return checked.crossJoin(F.broadcast(sizes))
+
+
 # --- rule catalogue: one rule per part -------------------------------------
 
 @query("summarize_rules", """

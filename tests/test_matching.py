@@ -112,3 +112,44 @@ def test_compartments_metrics_and_export(spark):
 def test_argmax_tie_takes_the_lower_id(spark):
     df = spark.createDataFrame([(1, 5, 0.9), (1, 2, 0.9), (1, 9, 0.1)], "rec long, lid long, p double")
     assert tuple(argmax_per_group(df, ["rec"], "p", "lid").first()) == (1, 2, 0.9)
+
+
+def test_long_labels_report_their_normalised_text(spark):
+    label = "Énergie et développement durable | " * 3
+    df = spark.createDataFrame([(0, label), (1, label.upper()), (2, "x"), (3, None)], "row_id long, label string")
+    got = m.exact_duplicates(df).first()
+    assert (got.source_id, got.target_id, got.norm_key) == (1, 0, "energie et developpement durable | " * 3)
+    line = m.merge_audit(m.union_rules(m.exact_duplicates(df), m.exact_duplicates(df).limit(0))).first().line
+    assert line.endswith(f"norm='{got.norm_key}'")
+
+
+def test_representatives_keep_spellings_apart(spark):
+    v = [1.0, 0.0]
+    df = spark.createDataFrame([(0, "ABCDEFGH", v), (5, "abcdefgh", v), (9, "abcdefgz", v), (10, "abcdefgz", v)],
+                               "row_id long, label string, embedding array<float>")
+    kept = lambda whole: sorted(r.row_id for r in align(df, every_pair=whole).aligned.collect())
+    assert kept(False) == kept(True) == [0]
+    assert {(r.row_id, r.copies) for r in m.representatives(df).collect()} == {(0, 1), (5, 1), (9, 2)}
+
+
+@pytest.mark.parametrize("bad", [[1.0], None])
+def test_ragged_or_missing_vectors_are_errors(spark, bad):
+    df = spark.createDataFrame([(0, "a", [1.0, 0.0]), (1, "b", bad)], "row_id long, label string, embedding array<float>")
+    with pytest.raises(Exception, match="vector"):
+        m.similar_pairs(df).collect()
+
+
+def test_blocks_dealt_to_few_partitions(clustered, monkeypatch):
+    from labelweave.operators import blocks
+    rows, df = clustered
+    want = ids(m.similar_pairs(df, block_rows=7))
+    monkeypatch.setattr(blocks, "MAX_PARTITIONS", 3)
+    assert ids(m.similar_pairs(df, block_rows=7)) == want
+
+
+def test_one_target_with_most_pairs(spark):
+    labels = spark.range(3000).selectExpr("id AS row_id", "concat('l', id) AS label")
+    pairs = spark.range(1, 3000).selectExpr("id AS source_id", "0L AS target_id")
+    got = m.label_pairs(pairs, labels)
+    assert got.count() == 2999 and got.where("target_label <> 'l0' OR source_label <> concat('l', source_id)").count() == 0
+    assert m.compartments(pairs, labels).count() == 3000

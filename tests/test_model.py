@@ -34,15 +34,25 @@ def test_negatives_exclude_positives_whichever_way_round(spark):
     assert sorted(got) == [(0, 2), (0, 3), (1, 2), (1, 3), (2, 3)]
 
 
-@pytest.mark.parametrize("enumerate_below", [10**6, 0])
-def test_sample_is_exact_distinct_and_seeded_on_gapped_ids(spark, enumerate_below):
+def test_sample_is_exact_distinct_and_seeded_on_gapped_ids(spark):
     labels = spark.range(0, 3000, 7).withColumnRenamed("id", "row_id")
     pos = spark.createDataFrame([(14, 0), (21, 7)], "source_id long, target_id long")
     def draw(seed):
-        return [(r.i, r.j) for r in mo.sample_negatives(labels, pos, 200, seed, enumerate_below).collect()]
+        return [(r.i, r.j) for r in mo.sample_negatives(labels, pos, 200, seed).collect()]
     a, b = draw(1), draw(2)
     assert len(set(a)) == 200 and a == draw(1) and set(a) != set(b)
     assert all(i < j and i % 7 == 0 and j % 7 == 0 for i, j in a) and not {(0, 14), (7, 21)} & set(a)
+    # the first of a larger sample are the smaller sample
+    more = [(r.i, r.j) for r in mo.sample_negatives(labels, pos, 3000, 1).collect()]
+    assert more[:200] == a and len(set(more)) == 3000
+
+
+def test_sample_takes_all_pairs_when_there_are_fewer(spark):
+    labels = spark.createDataFrame([(3,), (10,), (11,), (500,)], "row_id long")
+    pos = spark.createDataFrame([(10, 3)], "source_id long, target_id long")
+    got = {(r.i, r.j) for r in mo.sample_negatives(labels, pos, 100).collect()}
+    assert got == {(3, 11), (3, 500), (10, 11), (10, 500), (11, 500)}
+    assert mo.sample_negatives(labels.limit(1), pos, 5).count() == 0
 
 
 def test_split_keeps_class_shares(spark):

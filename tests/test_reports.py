@@ -1,3 +1,5 @@
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from labelweave.operators import articles as a
@@ -38,10 +40,51 @@ def test_category_statistics_agree(spark):
     art = v.where("row_id < 40").select(F.col("row_id").alias("article_id"), "embedding", F.array(F.lit("hot")).alias("keywords"))
     entries = v.select(F.concat(F.lit("c"), F.col("cluster").cast("string")).alias("category"), F.lit("hot").alias("name"),
                        F.col("row_id").alias("ord"), F.col("label").alias("entry"), "embedding")
-    cols = ["article_id", "category", F.round("avg_similarity", 9), F.round("max_similarity", 9), "top_entries", "top_scores"]
-    fused = a.article_entry_similarity(art, entries)
-    loose = a.similarity_stats(a.article_entry_pairs(art, entries))
-    assert sorted(map(tuple, fused.select(*cols).collect())) == sorted(map(tuple, loose.select(*cols).collect()))
+    got = {(r.article_id, r.category): r for r in a.article_entry_similarity(art, entries).collect()}
+    plain = {(r.article_id, r.category): r.max_similarity for r in a.similarity_stats(art, entries).collect()}
+    rows = {r.row_id: r for r in v.collect()}
+    unit = lambda r: np.array(r.embedding) / np.linalg.norm(r.embedding)
+    assert len(got) == 40 * 10 and set(got) == set(plain)
+    for (article, category), r in list(got.items())[::17]:
+        group = [e for e in rows.values() if f"c{e.cluster}" == category]
+        sims = sorted(((-round(float(unit(rows[article]) @ unit(e)), 12), e.row_id, e.label) for e in group))
+        assert r.avg_similarity == pytest.approx(-np.mean([s[0] for s in sims])) and plain[article, category] == r.max_similarity
+        assert r.max_similarity == pytest.approx(-sims[0][0]) and r.top_entries == ", ".join(s[2] for s in sims[:3])
+        assert r.keyword_similarity == 1.0
+
+
+def test_articles_with_control_characters_repeats_and_no_text(spark):
+    df = spark.createDataFrame([
+        (1, "word " * 200_000), (2, "alpha\u0001beta gamma alpha\u0001beta gamma gamma"), (3, ""), (4, None),
+        (5, "One sentence with a \u0001e mark in it. Another sentence without it!")], "article_id long, text string")
+    got = {r.article_id: r.keywords for r in a.extract_keywords(df).collect()}
+    assert got[1] == ["word"] and got[2] == ["gamma", "alpha\u0001beta"] and got[3] == got[4] == []
+    phrases = {r.article_id: r.key_phrases for r in a.extract_key_phrases(df).collect()}
+    assert set(phrases[5]) == {"One sentence with a \u0001e mark in it", "Another sentence without it"}
+    entries = spark.createDataFrame([("x:\u0002\u0001y", "a", 0, "alpha beta")], "category string, name string, ord long, entry string")
+    from labelweave.operators.embed import embed_text
+    from labelweave.plans.articles import Categories, classify_articles
+    entries = embed_text(entries, "entry")
+    sizes = spark.createDataFrame([("x:\u0002\u0001y", "t", 5)], "category string, veille_type string, count long")
+    out = {r.article_id: r for r in classify_articles(df, Categories(entries, entries, sizes)).result.collect()}
+    assert set(out) == {1, 2, 3, 4, 5} and out[2].best_theme == "x:\u0002\u0001y" and out[2].best_veille_type == "t"
+    assert out[3].best_theme is None and out[4].best_veille_type is None
+
+
+def test_themes_that_share_31_characters_stay_apart(spark):
+    long = "A theme whose name is rather long and ends in "
+    df = spark.createDataFrame([(i, f"label {i}", long + "one" * (i % 2) + "two" * (1 - i % 2)) for i in range(8)],
+                               "label_id long, label string, theme string")
+    counts = a.theme_entries(df, n=3).groupBy("category").count().collect()
+    assert {(r.category, r["count"]) for r in counts} == {(long + "one", 3), (long + "two", 3)}
+    assert a.theme_entries(df, n=-1).count() == 8
+
+
+def test_sorted_labels_are_in_order_as_a_whole(spark):
+    df = spark.range(400).select(F.col("id").alias("label_id"), F.expr("concat('l', id % 37)").alias("label"),
+                                 F.expr("concat('t', id % 3)").alias("theme")).repartition(8)
+    rows = [(r.theme, r.label, r.label_id) for r in th.sort_labels(df).collect()]
+    assert rows == sorted(rows)
 
 
 def test_types(spark):
@@ -104,3 +147,7 @@ def test_type_lookup(spark):
     sheets = spark.createDataFrame([("légale",), ("sociale",), ("absent",)], "sheet string")
     got = {r.sheet: (r.veille_type, r["count"]) for r in a.type_lookup(sheets, summary).collect()}
     assert got == {"légale": ("Veille légale et sociale", 9), "sociale": ("Veille légale et sociale", 9), "absent": ("absent", 0)}
+    # equal counts: the first in the summary's order
+    tied = spark.createDataFrame([("b legal", 4, 1), ("z legal", 4, 0), ("a legal", 4, 2)], "Type string, Count long, first_row long")
+    assert a.type_lookup(spark.createDataFrame([("legal",)], "sheet string"), tied).first().veille_type == "z legal"
+    assert a.type_lookup(sheets, tied.limit(0)).count() == 3 and a.type_lookup(sheets.limit(0), tied).count() == 0

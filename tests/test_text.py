@@ -15,7 +15,7 @@ def rows(df):
 def test_normalize(spark):
     cases = [("Énergie", "energie"), ("Café", "cafe"), ("Déjà Vu", "deja vu"), ("Straße", "strasse"),
              ("é", "e"), ("œuvre ﬁn Ⅳ №", "oeuvre fin iv no"), ("«a»…", "<<a>>..."), ("plain", "plain"),
-             ("", ""), (None, None), ("ΑΒγ é", "αβγ e")]
+             ("", ""), (None, None), ("ΑΒγ é", "abg e")]
     df = spark.createDataFrame(cases, "i string, o string")
     assert all(r[0] == r[1] for r in rows(df.select(t.normalize_text("i"), "o")))
     empty = df.where("i is null").select(t.normalize_text("i", "empty"))
@@ -77,3 +77,10 @@ def test_rewards_and_names(spark):
     named = spark.createDataFrame([("securite / TRAVAIL",), ("***",)], "n string")
     got = rows(named.select(t.capitalize(F.col("n")), t.sheet_key("n", "Theme_1")))
     assert got[0] == ("Securite / travail", "securite  TRAVAIL") and got[1][1] == "Theme_1"
+
+
+def test_other_scripts_and_symbols(spark):
+    cases = {"Ελλάδα ψυχή": "ellada psukhe", "Москва Щёлково": "moskva shchiolkovo", "Київ": "kiyiv", "µ": "m", "5 £ ± §": "5 gbp +- ss",
+             "ｶﾀｶﾅ": "カタカナ", "㎏": "kg", "ﬁn": "fin", "①": "1", "東京": "東京"}
+    df = spark.createDataFrame(list(cases.items()), "x string, want string")
+    assert [r.x for r in df.where(t.normalize_text("x") != F.col("want")).collect()] == []
