@@ -31,10 +31,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the least id, of each group of near-duplicates; of repeated rows one stays.
 
-    A document without an id that no other resembles stays.
+    A document without an id that no other resembles stays. An id with several texts goes if none of them stays.
     """
     verdicts = stored(near_duplicates(docs))
-    left = without_ids(docs, verdicts.filter("NOT kept"))
+    left = without_ids(docs, verdicts.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter("NOT kept"))
     repeated = stored(verdicts.filter("kept").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
     if repeated.isEmpty():
         return left
