@@ -10,22 +10,25 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, Batch, ascii_lower, kept_in_worker, map_batches, stored
+from .common import WORD, Batch, ascii_lower, kept_in_worker, map_batches, sized, stored
 from .components import connected_components
 
 SHINGLE = 5
 #: Link: 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 85
-#: 252 registers in 42 bands of 6: two sets of similarity 0.85 miss every band with probability 2e-9.
-BANDS, ROWS = 42, 6
+#: 640 registers in 64 bands of 10: two sets of similarity 0.85 miss every band with probability 8e-7, while sets
+#: that only share a passage seldom meet (0.3: 4e-4).
+BANDS, ROWS = 64, 10
 REGISTERS = BANDS * ROWS
+#: Registers that travel with a node for the estimate.
+ESTIMATED = 256
 MANTISSA_BITS = 10
 #: A pair is checked exactly unless its estimate lies this many standard errors below the threshold.
 SIGMAS = 6
 #: Factor of the expected share of accidental register matches (Yu and Weber, "HyperMinHash", 2017).
 COLLISIONS = 0.169919487159739
 #: Cross pairs a bucket member may cost before hubs are tried again, and how often.
-PAIRS_PER_MEMBER, HUB_ROUNDS = 50, 6
+PAIRS_PER_MEMBER, HUB_ROUNDS = 50, 3
 KEPT_WORDS = 500_000
 
 _M1, _M2, _STEP = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53), np.uint64(0x9E3779B97F4A7C15)
@@ -108,7 +111,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, digest of the set, registers, band keys); the last three null for empty sets."""
+    """(doc_id, n_shingles, digest of the set, band keys of its registers); the last two null for empty sets."""
     def work(batches: Iterator[Batch]) -> Iterator[Batch]:
         hashes = kept_in_worker("word hashes", WordHashes)
         for batch in batches:
@@ -118,61 +121,68 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             full = [s for s in sets if len(s)]
             regs = registers(full) if full else np.empty((0, REGISTERS), dtype=np.uint16)
             keys = iter(band_keys(regs).tolist())
-            rows = iter(regs)
             yield {"doc_id": batch["doc_id"], "n_shingles": [len(s) for s in sets],
                    "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
-                   "registers": [next(rows).tobytes() if len(s) else None for s in sets],
                    "keys": [next(keys) if len(s) else None for s in sets]}
 
     return map_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), work,
-                       "doc_id long, n_shingles long, digest binary, registers binary, keys array<long>")
+                       "doc_id long, n_shingles long, digest binary, keys array<long>")
 
 
 def shingle_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(node, hashes): the full set of each document as sorted 64-bit numbers."""
+    """(node, n_shingles, registers, hashes): a document's set in full, as sorted 64-bit numbers, and its sketch."""
     def work(batches: Iterator[Batch]) -> Iterator[Batch]:
         hashes = kept_in_worker("word hashes", WordHashes)
         for batch in batches:
             if len(hashes) > KEPT_WORDS:
                 hashes.clear()
-            yield {"node": batch["doc_id"], "hashes": [shingles(t, hashes).tobytes() for t in batch["text"]]}
+            sets = [shingles(t, hashes) for t in batch["text"]]
+            full = [(i, s) for i, s in zip(batch["doc_id"], sets) if len(s)]
+            regs = registers([s for _, s in full])[:, :ESTIMATED] if full else []
+            yield {"node": [i for i, _ in full], "n_shingles": [len(s) for _, s in full],
+                   "registers": [r.tobytes() for r in regs], "hashes": [s.tobytes() for _, s in full]}
 
     return map_batches(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), work,
-                       "node long, hashes binary")
+                       "node long, n_shingles long, registers binary, hashes binary")
 
 
-def likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose registers do not rule the threshold out."""
+def unshared(sets: DataFrame) -> DataFrame:
+    """(node, unshared): how many of a node's shingles no other of the *sets* has; nodes without any have no row."""
     def work(batches: Iterator[Batch]) -> Iterator[Batch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch[c]), dtype=np.uint16).reshape(-1, REGISTERS) for c in ("ra", "rb"))
-            n_a, n_b = (np.array(batch[c], dtype=np.float64) for c in ("na", "nb"))
-            goal = THRESHOLD / 100
-            error = np.sqrt(goal * (1 - goal) / np.minimum(REGISTERS, np.minimum(n_a, n_b)))
-            # sizes alone bound the similarity
-            good = (estimate(x, y, n_a, n_b) >= goal - SIGMAS * error) & (np.minimum(n_a, n_b) >= goal * np.maximum(n_a, n_b))
-            yield {c: [v for v, g in zip(batch[c], good.tolist()) if g] for c in ("a", "b")}
+            for node, data in zip(batch["node"], batch["hashes"]):
+                found = np.frombuffer(data, dtype=np.int64).tolist()
+                yield {"node": [node] * len(found), "hash": found}
 
-    side = lambda s: nodes.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n{s}"),
-                                  F.col("registers").alias(f"r{s}"))
-    return map_batches(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ra", "rb"), work,
-                       "a long, b long")
+    single = (map_batches(sets, work, "node long, hash long").groupBy("hash")
+              .agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other"))
+    return single.groupBy("node").agg(F.count("*").alias("unshared"))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that meet the threshold on their full sets."""
+    """The pairs (a, b) that meet the threshold: sizes and registers rule most others out, full sets decide."""
+    goal = THRESHOLD / 100
+
     def work(batches: Iterator[Batch]) -> Iterator[Batch]:
         for batch in batches:
-            good = []
-            for x, y in zip(batch["ha"], batch["hb"]):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * shared >= THRESHOLD * (len(x) + len(y) - shared))
-            yield {c: [v for v, g in zip(batch[c], good) if g] for c in ("a", "b")}
-
-    side = lambda s: sets.select(F.col("node").alias(s), F.col("hashes").alias(f"h{s}"))
-    return map_batches(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ha", "hb"), work,
-                       "a long, b long")
+            x, y = (np.frombuffer(b"".join(batch[c]), dtype=np.uint16).reshape(-1, ESTIMATED) for c in ("ra", "rb"))
+            n_a, n_b = (np.array(batch[c], dtype=np.float64) for c in ("na", "nb"))
+            least, most = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
+            error = np.sqrt(goal * (1 - goal) / np.minimum(ESTIMATED, least))
+            open_ = (least * 100 >= THRESHOLD * most) & (estimate(x, y, n_a, n_b) >= goal - SIGMAS * error)
+            out: Batch = {"a": [], "b": []}
+            for at in np.flatnonzero(open_).tolist():
+                one, two = (np.frombuffer(batch[c][at], dtype=np.uint64) for c in ("ha", "hb"))
+                shared = len(np.intersect1d(one, two, assume_unique=True))
+                if 100 * shared >= THRESHOLD * (len(one) + len(two) - shared):
+                    out["a"].append(batch["a"][at])
+                    out["b"].append(batch["b"][at])
+            yield out
+
+    side = lambda s: sets.select(F.col("node").alias(s), F.col("n_shingles").alias(f"n{s}"),
+                                 F.col("registers").alias(f"r{s}"), F.col("hashes").alias(f"h{s}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return map_batches(both.select("a", "b", "na", "nb", "ra", "rb", "ha", "hb"), work, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -181,7 +191,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     1. Every text becomes a sketch; equal sets fall together under their least id (a *node*).
     2. Nodes meet in buckets of equal bands. In each bucket one hub is compared with all others: estimate
        from the registers, then the exact check on the full sets. Links join into components.
-    3. Only pairs of different components in one bucket are still open. While they are many, further hubs
+    3. Only pairs of different components in one bucket are still open. A node leaves a bucket if the shingles
+       that no other bucketed node has keep it from the threshold with any size that the bucket holds; this
+       settles crowds of copies that lie just below the threshold. While many pairs are open, further hubs
        are tried; what remains is compared in full. So no link is lost in a bucket, and a group of copies
        costs its size, not its square.
 
@@ -193,42 +205,58 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     full = sketch.filter("n_shingles > 0")
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("node"))
     chosen = full.join(classes.select("digest", F.col("node").alias("doc_id")), ["digest", "doc_id"], "left_semi")
-    nodes = chosen.dropDuplicates(["digest"]).select(F.col("doc_id").alias("node"), "n_shingles", "registers", "keys")
+    nodes = chosen.dropDuplicates(["digest"]).select(F.col("doc_id").alias("node"), "keys")
     banded = nodes.select("node", F.explode("keys").alias("key"))
     shared = banded.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).filter("x < y").select("key")
     members = stored(banded.join(shared, "key").select("key", "node"))
-    in_buckets = stored(nodes.drop("keys").join(members.select("node").distinct(), "node", "left_semi"))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    sets = stored(shingle_sets(texts.join(in_buckets.select(F.col("node").alias("doc_id")).distinct(), "doc_id",
-                                          "left_semi")).distinct())
+    wanted = sized(stored(members.select(F.col("node").alias("doc_id")).distinct()))
+    sets = stored(shingle_sets(texts.join(wanted, "doc_id", "left_semi")).distinct())
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return stored(confirmed(likely(pairs.distinct(), in_buckets), sets).distinct())
+        return stored(confirmed(pairs.distinct(), sets).distinct())
 
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     hubs = members.groupBy("key").agg(F.min("node").alias("hub"))
     links = linked(members.join(hubs, "key").filter("node > hub").select(*ordered("hub", "node")))
     labels = connected_components(links)
+    sizes = sets.groupBy("node").agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"),
+                                     F.count("*").alias("sets"))
+    # a repeated id may stand for sets of several sizes; nothing is then known of a single one
+    alone = F.when(F.col("sets") == 1, F.coalesce("unshared", F.lit(0))).otherwise(0)
+    own = stored(sizes.join(unshared(sets), "node", "left").select("node", "low", "high", alone.alias("own")))
+    # |x and y| <= |x| - own(x) and |x or y| >= |y| + own(x)
+    reaches = lambda x, low: F.col(f"{x}high") * 100 - F.col(f"{x}own") * 100 >= THRESHOLD * (low + F.col(f"{x}own"))
     for round_ in range(1, HUB_ROUNDS + 2):
-        labelled = stored(members.join(labels, "node", "left")
-                          .select("key", "node", F.coalesce("label", "node").alias("label")))
-        sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
-        open_ = (sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"))
+        known = own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        labelled = members.join(known, "node")
+        smallest = labelled.groupBy("key").agg(F.min("low").alias("least"), F.min("label").alias("x"),
+                                               F.max("label").alias("y")).filter("x < y").select("key", "least")
+        left = stored(labelled.join(smallest, "key").filter(reaches("", F.col("least"))).drop("least"))
+        parts = left.groupBy("key", "label").agg(F.count("*").alias("n"))
+        open_ = (parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"))
                  .filter("n * n > squares"))
         cost = open_.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2).alias("pairs"),
                          F.sum("n").alias("n")).first()
         if not cost["n"]:
             break
-        left = labelled.join(open_.select("key"), "key", "left_semi")
         last = cost["pairs"] <= PAIRS_PER_MEMBER * cost["n"] or round_ > HUB_ROUNDS
         if last:
-            other = left.select("key", F.col("node").alias("other"), F.col("label").alias("other_label"))
-            pairs = left.join(other, "key").filter("label < other_label").select(*ordered("node", "other"))
+            # a pair that meets in several buckets counts in that of its least common key only
+            keys = members.groupBy("node").agg(F.collect_set("key").alias("keys"))
+            left = left.join(open_.select("key"), "key", "left_semi").join(keys, "node")
+        one = left.select(*(F.col(c).alias(f"x_{c}") for c in left.columns))
+        if last:
+            other = left.select(*(F.col(c).alias(f"y_{c}") for c in left.columns))
+            met = ((F.col("x_key") == F.col("y_key")) & (F.col("x_label") < F.col("y_label"))
+                   & reaches("x_", F.col("y_low")) & reaches("y_", F.col("x_low"))
+                   & (F.array_min(F.array_intersect("x_keys", "y_keys")) == F.col("x_key")))
+            pairs = one.join(other, met).select(*ordered("x_node", "y_node"))
         else:
             draw = F.struct(F.xxhash64("node", F.lit(round_)).alias("draw"), "node", "label")
             hub = left.groupBy("key").agg(F.min(draw).alias("hub")).select(
-                "key", F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label"))
-            pairs = left.join(hub, "key").filter("label <> hub_label").select(*ordered("hub", "node"))
+                F.col("key").alias("x_key"), F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label"))
+            pairs = one.join(hub, "x_key").filter("x_label <> hub_label").select(*ordered("hub", "x_node"))
         labels = connected_components(linked(pairs), labels)
         if last:
             break
