@@ -42,11 +42,16 @@ def map_batches(df: DataFrame, work: Callable[[Iterator[Batch]], Iterator[Batch]
 
 
 def kept_in_worker(key, build):
-    """*build()* once per Python worker; workers outlive tasks, pickled globals do not."""
+    """*build()* once per Python worker; workers outlive tasks, pickled globals do not.
+
+    A worker keeps one thing: what another operator has left there goes first.
+    """
     home = sys.modules.setdefault("_labelweave_kept", types.ModuleType("_labelweave_kept"))
-    if key not in home.__dict__.setdefault("things", {}):
-        home.things[key] = build()
-    return home.things[key]
+    if home.__dict__.get("key") != key:
+        home.key, home.thing = None, None
+        home.thing = build()
+        home.key = key
+    return home.thing
 
 
 def vocabulary_bytes(path_or_name: str) -> bytes:
