@@ -144,3 +144,10 @@ def test_sql_at_the_smallest_size(spark, query, operator):
     for t in ("documents", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{base}/{t}.parquet'")
     same(operator(spark, docs, bench), con.sql(query))
+
+
+def test_stages_on_an_empty_table(spark, corpus):
+    docs = spark.createDataFrame([], DOCS)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, corpus)
+        assert docs.count() == 0 and (name == "byte_bpe" or docs.columns == corpus_pipeline.COLUMNS)

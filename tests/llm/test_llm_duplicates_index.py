@@ -180,3 +180,11 @@ def test_phrases_and_proximity(spark):
                                     "query_id long, terms array<string>")
     near = lambda slop: sorted(map(tuple, positional_index.proximity_matches(index, queries, slop).collect()))
     assert near(1) == [(0, 1, 1)] and near(2) == [(0, 1, 1), (0, 2, 1), (1, 1, 6)]
+
+
+def test_an_id_with_several_texts_links_by_any(spark):
+    words = [f"w{k}" for k in range(60)]
+    one, near, other = " ".join(words), " ".join(words[:-1]), " ".join(reversed(words))
+    df = spark.createDataFrame([(4, one, "", ""), (4, other, "", ""), (2, near, "", ""), (7, other + " x", "", "")], DOCS)
+    got = {(r.doc_id, r.component_id) for r in hyperminhash.near_duplicates(df).collect()}
+    assert got == {(4, 2), (2, 2), (7, 2)}
