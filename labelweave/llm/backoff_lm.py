@@ -1,28 +1,32 @@
-"""Language-model scores by a weighted backoff automaton: n-grams as states, failure arcs, one pass per text."""
+"""Language-model scores by weighted backoff: stored n-gram tables, a broadcast of their frequent part, joins for the rest."""
 
 from __future__ import annotations
 
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, Batch, ascii_lower, held_out, map_batches, stored
+from .common import WORD, Batch, ascii_lower, held_out, kept_in_worker, map_batches, stored
 
 #: Additive smoothing of the base distribution (fixed by the contract).
 ADD = 0.1
-ORDER = 3
-#: Words and n-grams of at least this share of all training tokens get states and arcs. Shares add up to 1, so
-#: there are at most 1 / share of them for each order, whatever the corpus.
+#: An n-gram is part of the model from this count up, whatever the size of the corpus.
+LEAST = 2
+#: Words and n-grams of at least this share of all training tokens go with the tasks, so that no join has a hot key.
+#: Shares add up to 1, so there are at most 1 / share of them for each order. They do not bound the model.
 WORD_SHARE, GRAM_SHARE = 1e-6, 1e-5
-#: Absolute discount of the counts that arcs carry.
+#: Absolute discount of the counts of n-grams.
 DISCOUNT = 0.5
 END = ""  # no word is empty, so the end of a text can stand as the empty string
 #: Distinct entries a counting task holds before it hands them on.
 HELD = 500_000
+KEPT_WORDS = 500_000
 
 
 def tokens(text: str | None) -> list[str]:
@@ -32,6 +36,22 @@ def tokens(text: str | None) -> list[str]:
     return found
 
 
+class SignedHashes(dict):
+    """Spark's xxhash64 of each word."""
+
+    def __missing__(self, word: str) -> int:
+        value = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), seed=42)
+        self[word] = value = value - (value >> 63 << 64)
+        return value
+
+
+def word_hashes() -> SignedHashes:
+    hashes = kept_in_worker("signed word hashes", SignedHashes)
+    if len(hashes) > KEPT_WORDS:
+        hashes.clear()
+    return hashes
+
+
 def flushed(counter: Counter, at_least: int) -> Iterator[Batch]:
     """The counter's entries once it holds more than *at_least*; it is empty afterwards."""
     if len(counter) > at_least:
@@ -54,194 +74,177 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("text"), work, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def gram_counts(docs: DataFrame, numbers: dict[str, int], n: int, parts: set[tuple[int, ...]] | None) -> DataFrame:
-    """(key, n) of the n-grams of numbered words whose two (n-1)-grams are in *parts* (None: all).
+def gram_counts(docs: DataFrame, names: str) -> DataFrame:
+    """(one column of word hashes for each letter of *names*, n) of all n-grams of *docs* (text)."""
+    n = len(names)
+
+    def work(batches: Iterator[Batch]) -> Iterator[Batch]:
+        for batch in batches:
+            hashes = word_hashes()
+            found = [tokens(t) for t in batch["text"]]
+            w = np.fromiter(map(hashes.__getitem__, chain.from_iterable(found)), dtype=np.int64)
+            text = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            whole = text[n - 1:] == text[:len(text) - n + 1]  # n-grams do not reach into the next text
+            yield {name: w[i:len(w) - n + 1 + i][whole] for i, name in enumerate(names)}
+
+    rows = map_batches(docs.select("text"), work, ", ".join(f"{name} long" for name in names))
+    return rows.groupBy(*names).agg(F.count("*").alias("n"))
+
+
+def looked_up(rows: DataFrame, needed: Column, table: DataFrame, keys: str, value: str) -> DataFrame:
+    """*rows* with *value* of *table* (keys, value), null where it has no such row or nothing is *needed*.
 
-    A frequent n-gram has frequent parts, so the next order is counted among few candidates. A key is the n-gram
-    in the number system of base len(numbers) + 1.
+    Rows that need nothing are spread over the shuffle by a hash of all they hold.
     """
-    spark = docs.sparkSession
-    base = len(numbers) + 1
-    if base ** n >= 2 ** 63:
-        raise ValueError("n-gram keys do not fit 64 bits; raise the shares or lower the order")
-    known = spark.sparkContext.broadcast(numbers)
-    sub = None if parts is None else spark.sparkContext.broadcast(
-        np.array(sorted(sum(w * base ** (n - 2 - i) for i, w in enumerate(p)) for p in parts), dtype=np.int64))
+    side = table.select(*(F.col(k).alias(f"_{k}") for k in keys), F.lit(True).alias("_found"), value)
+    spread = F.when(needed, F.col(keys[0])).otherwise(F.xxhash64(*rows.columns))
+    asking = rows.withColumn("_asked", F.coalesce(needed, F.lit(False))).withColumn("_first", spread)
+    match = (F.col("_first") == F.col(f"_{keys[0]}")) & (F.col("_asked") == F.col("_found"))
+    for k in keys[1:]:
+        match &= F.col(k) == F.col(f"_{k}")
+    return asking.join(side, match, "left").select(*rows.columns, value)
 
-    def work(batches: Iterator[Batch]) -> Iterator[Batch]:
-        number = known.value.get
-        held: list[np.ndarray] = []
-        size = 0
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            return np.unique(np.concatenate(held), return_counts=True)
+def with_count(grams: DataFrame, counts: DataFrame, often: Column, name: str) -> DataFrame:
+    """*grams* with the count of the word in column *name*: of frequent words by broadcast, of others by join."""
+    few = counts.filter(often).select(F.col("h").alias(name), F.col("n").alias("_few"))  # <= 1 / WORD_SHARE
+    some = counts.filter(~often).select(F.col("h").alias(name), F.col("n").alias("_some"))
+    known = grams.join(F.broadcast(few), name, "left")
+    both = looked_up(known, F.col("_few").isNull(), some, name, "_some")
+    return both.withColumn(f"n{name}", F.coalesce("_few", "_some")).drop("_few", "_some")
 
-        def out() -> Iterator[Batch]:
-            keys, counts = merged()
-            for i in range(0, len(keys), 50_000):
-                yield {"key": keys[i:i + 50_000].tolist(), "n": counts[i:i + 50_000].tolist()}
 
-        for batch in batches:
-            ids: list[int] = []
-            for text in batch["text"]:
-                ids.extend([number(t, 0) for t in tokens(text)])
-                ids.extend([0] * (n - 1))  # n-grams do not reach into the next text
-            w = np.array(ids, dtype=np.int64)
-            rows = np.stack([w[i:len(w) - n + 1 + i] for i in range(n)])
-            good = (rows > 0).all(axis=0)
-            key = np.zeros(rows.shape[1], dtype=np.int64)
-            for r in rows:
-                key = key * base + r
-            if sub is not None and len(key):
-                for half in (key // base, key % base ** (n - 1)):
-                    at = np.minimum(np.searchsorted(sub.value, half), max(len(sub.value) - 1, 0))
-                    good &= (sub.value[at] == half) if len(sub.value) else False
-            held.append(key[good])
-            size += int(good.sum())
-            if size > 4 * HELD:
-                yield from out()
-                held, size = [], 0
-        if held:
-            yield from out()
-
-    return map_batches(docs.select("text"), work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-class Automaton:
-    """States are n-grams that continue; an arc carries a probability, a failure arc the backoff weight.
-
-    State 0 is the root. ``arcs[(state, word)] = (next state, log10 p)``; ``fail[state] = (state of the longest
-    proper suffix, log10 weight)``. The root's own probabilities are the base distribution.
+def backoff(kept: Column, lower: Column) -> Column:
+    """log10 of the weight of what a history's own n-grams leave over."""
+    return F.log10(F.greatest(1 - kept, F.lit(1e-12)) / F.greatest(1 - lower, F.lit(1e-12)))
+
+
+class Model:
+    """Stored tables of all n-grams: counts (key, h, n), two (v, w, n, p2), three (u, v, w, n, p3), and backoff weights
+    after_one (v, b2), after_two (u, v, b3). All values but n are log10. Words stand by their 64-bit hashes.
+
+    p(w | u, v) is that of the 3-gram if the model has it, else the weight of (u, v), 1 if nothing follows it, times
+    p(w | v), which is found alike; the last resort is the base distribution.
     """
 
-    def __init__(self, totals: tuple[int, int], unigrams: dict[int, int], grams: list[dict[tuple[int, ...], int]]):
-        n_all, n_distinct = totals
-        self.unit = n_all + ADD * (n_distinct + 1)
-        counts: dict[tuple[int, ...], int] = {(w,): c for w, c in unigrams.items()}
-        for level in grams:
-            counts.update(level)
-        follow: dict[tuple[int, ...], list[int]] = {}
-        for gram in counts:
-            if len(gram) > 1:
-                follow.setdefault(gram[:-1], []).append(gram[-1])
-        state = {(): 0}
-        for history in sorted(follow, key=len):
-            state[history] = len(state)
-
-        def longest(gram: tuple[int, ...]) -> int:
-            while gram not in state:
-                gram = gram[1:]
-            return state[gram]
-
-        self.arcs: dict[tuple[int, int], tuple[int, float]] = {}
-        self.fail: list[tuple[int, float]] = [(0, 0.0)] * len(state)
-        for w, c in unigrams.items():
-            self.arcs[0, w] = longest((w,)), math.log10((c + ADD) / self.unit)
-        by_state = {s: h for h, s in state.items()}
-        for s in range(1, len(state)):  # shorter histories first: their probabilities are needed below
-            history = by_state[s]
-            suffix, total = longest(history[1:]), counts[history]
-            kept, lower = 0.0, 0.0
-            for w in follow[history]:
-                p = (counts[(*history, w)] - DISCOUNT) / total
-                kept += p
-                lower += 10 ** self.log_p(suffix, w)
-                self.arcs[s, w] = longest((*history, w)), math.log10(p)
-            self.fail[s] = suffix, math.log10(max(1 - kept, 1e-12) / max(1 - lower, 1e-12))
-
-    def log_p(self, state: int, word: int) -> float:
-        total = 0.0
-        while (state, word) not in self.arcs:
-            state, weight = self.fail[state]
-            total += weight
-        return total + self.arcs[state, word][1]
-
-
-def train(docs: DataFrame, order: int = ORDER, word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE):
-    """(counts of all tokens, tokens, distinct tokens, numbered frequent words, automaton) from *docs* (text)."""
-    counts = stored(word_counts(docs))
-    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    n_all, n_distinct = totals["n"], totals["v"]
-    frequent = counts.filter(F.col("n") >= word_share * n_all).orderBy(F.desc("n"), "key").collect()  # <= 1 / word_share
-    numbers = {r["key"]: i for i, r in enumerate(frequent, 1)}
-    unigrams = {numbers[r["key"]]: r["n"] for r in frequent}
-    # counting starts from the words that can be part of a frequent n-gram
-    dense = {r["key"]: numbers[r["key"]] for r in frequent if r["n"] >= gram_share * n_all}
-    grams: list[dict[tuple[int, ...], int]] = []
-    for n in range(2, order + 1):
-        base = len(dense) + 1
-        rows = (gram_counts(docs, dense, n, set(grams[-1]) if grams else None)
-                .filter(F.col("n") >= max(gram_share * n_all, 2)).collect())  # <= 1 / gram_share
-        grams.append({tuple(r["key"] // base ** i % base for i in range(n - 1, -1, -1)): r["n"] for r in rows})
-    return counts, n_all, n_distinct, numbers, Automaton((n_all, n_distinct), unigrams, grams)
-
-
-def score(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
-          word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE) -> DataFrame:
+    def __init__(self, docs: DataFrame, word_share: float, gram_share: float):
+        self.counts = stored(word_counts(docs).select("key", F.xxhash64("key").alias("h"), "n"))
+        totals = self.counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+        self.n_all, self.n_distinct = totals["n"], totals["v"]
+        self.unit = self.n_all + ADD * (self.n_distinct + 1)
+        self.often = F.col("n") >= WORD_SHARE * self.n_all
+        least, words = max(gram_share * self.n_all, LEAST), max(word_share, gram_share) * self.n_all
+        pairs = stored(gram_counts(docs, "vw").filter(F.col("n") >= least))
+        for name in "vw":
+            pairs = with_count(pairs, self.counts, self.often, name)
+        p = (F.col("n") - DISCOUNT) / F.col("nv")
+        two = stored(pairs.filter((F.col("nv") >= words) & (F.col("nw") >= words)).select(
+            "v", "w", "n", p.alias("p"), F.log10(p).alias("p2"), ((F.col("nw") + ADD) / self.unit).alias("p1")))
+        self.two = two.select("v", "w", "n", "p2")
+        self.after_one = stored(two.groupBy("v").agg(F.sum("p").alias("kept"), F.sum("p1").alias("lower"))
+                                .select("v", backoff(F.col("kept"), F.col("lower")).alias("b2")))
+        triples = stored(gram_counts(docs, "uvw").filter(F.col("n") >= least))
+        last = two.select("v", "w", F.col("p").alias("lower"))
+        first = two.select(F.col("v").alias("u"), F.col("w").alias("v"), F.col("n").alias("times"))
+        q = (F.col("n") - DISCOUNT) / F.col("times")
+        three = stored(triples.join(last, ["v", "w"]).join(first, ["u", "v"]).select(
+            "u", "v", "w", "n", q.alias("p"), F.log10(q).alias("p3"), "lower"))
+        self.three = three.select("u", "v", "w", "n", "p3")
+        self.after_two = stored(three.groupBy("u", "v").agg(F.sum("p").alias("kept"), F.sum("lower").alias("lower"))
+                                .select("u", "v", backoff(F.col("kept"), F.col("lower")).alias("b3")))
+
+    def frequent(self) -> tuple[dict, dict, dict, dict, dict]:
+        """What is frequent of the base distribution, two, three, after_one and after_two; bounded by the shares."""
+        share = F.col("n") >= GRAM_SHARE * self.n_all
+        words = self.counts.filter(self.often).select("h", "n").collect()
+        root = {h: math.log10((n + ADD) / self.unit) for h, n in words}
+        two = {(v, w): p for v, w, p in self.two.filter(share).select("v", "w", "p2").collect()}
+        three = {(u, v, w): p for u, v, w, p in self.three.filter(share).select("u", "v", "w", "p3").collect()}
+        listed = F.broadcast(self.counts.filter(self.often).select(F.col("h").alias("v")))
+        one = {v: b for v, b in self.after_one.join(listed, "v", "left_semi").collect()}
+        listed = F.broadcast(self.two.filter(share).select(F.col("v").alias("u"), F.col("w").alias("v")))
+        after = {(u, v): b for u, v, b in self.after_two.join(listed, ["u", "v"], "left_semi").collect()}
+        return root, two, three, one, after
+
+
+PARTS = {"row": "long", "doc_id": "long", "u": "long", "v": "long", "w": "long", "times": "long", "ask3": "boolean",
+         "ask2": "boolean", "rare": "boolean", "k3": "double", "low": "double", "k2": "double", "k1": "double",
+         "n_tokens": "long", "n_known": "long", "base": "double", "score": "double"}
+
+
+def score(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col: str = "text", word_share: float = 0.0,
+          gram_share: float = 0.0) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score): log10 probabilities of whole texts.
 
-    The automaton goes with the tasks (bounded by the shares). One traversal of a text scores all its frequent
-    words and every change of state; words below the share fall back to the root, and their counts come by a
-    join of (document, word) rows with the full count table, in which no word is frequent.
+    The model has every n-gram that occurs LEAST times; *word_share*, *gram_share* (shares of all tokens) can ask for a
+    coarser one. Its frequent part goes with the tasks and scores what it can. What it leaves open of a text becomes
+    one row per distinct n-gram and meets the stored tables in joins, in which no key of the model is frequent.
 
     A null text counts as empty: one end. Rows that share an id and nothing else are scored apart. With no
     training text, all tokens are unknown and the probability of each is 1. Other columns are ignored.
     """
-    counts, n_all, n_distinct, numbers, automaton = train(learn.select(F.col(text_col).alias("text")), order,
-                                                          word_share, gram_share)
-    model = docs.sparkSession.sparkContext.broadcast((numbers, automaton.arcs, automaton.fail))
+    model = Model(learn.select(F.col(text_col).alias("text")), word_share, gram_share)
+    frequent = docs.sparkSession.sparkContext.broadcast(model.frequent())
 
     def work(batches: Iterator[Batch]) -> Iterator[Batch]:
-        numbers, arcs, fail = model.value
-        number = numbers.get
-        root = {w: p for (s, w), (_, p) in arcs.items() if s == 0}
+        root, two, three, after_one, after_two = frequent.value
         for batch in batches:
-            out: Batch = {c: [] for c in ("row", "doc_id", "word", "times", "n_tokens", "n_known", "base", "score")}
+            hashes = word_hashes()
+            rows: list[tuple] = []
             for row, doc_id, text in zip(batch["row"], batch["doc_id"], batch["text"]):
-                rare: Counter[str] = Counter()
-                state, base, total, known = 0, 0.0, 0.0, 0
-                found = tokens(text)
-                for token in found:
-                    word = number(token)
-                    if word is None:
-                        while state:
-                            state, weight = fail[state]
-                            total += weight
-                        rare[token] += 1
+                ids = list(map(hashes.__getitem__, tokens(text)))
+                total = base = 0.0
+                known = 0
+                for w, times in Counter(ids).items():
+                    p = root.get(w)
+                    if p is None:
+                        rows.append((row, doc_id, 0, 0, w, times, False, False, True, None, None, None, None, 0, 0, 0.0, 0.0))
+                    else:
+                        base += times * p
+                        known += times
+                for gram, times in Counter(zip([None, None, *ids], [None, *ids], ids)).items():
+                    p = three.get(gram)
+                    if p is not None:
+                        total += times * p
+                        continue
+                    u, v, w = gram
+                    listed = (u, v) in two
+                    k3 = 0.0 if u is None else after_two.get((u, v), 0.0) if listed else None
+                    ask3 = u is not None and not (listed and (u, v) not in after_two)
+                    low = root.get(w) if v is None else two.get((v, w))
+                    if low is not None and not ask3:
+                        total += times * (k3 + low)
                         continue
-                    arc = arcs.get((state, word))
-                    while arc is None:
-                        state, weight = fail[state]
-                        total += weight
-                        arc = arcs.get((state, word))
-                    state, p = arc
-                    total += p
-                    base += root[word]
-                    known += 1
-                for name, values in (("row", [row]), ("doc_id", [doc_id]), ("word", [None]), ("times", [0]),
-                                     ("n_tokens", [len(found)]), ("n_known", [known]), ("base", [base]), ("score", [total])):
-                    out[name] += values
-                for word, times in rare.items():
-                    for name, value in (("row", row), ("doc_id", doc_id), ("word", word), ("times", times),
-                                        ("n_tokens", 0), ("n_known", 0), ("base", 0.0), ("score", 0.0)):
-                        out[name].append(value)
-            yield out
+                    k2 = 0.0 if v is None else after_one.get(v, 0.0) if v in root else None
+                    rows.append((row, doc_id, u or 0, v or 0, w, times, ask3, v is not None and low is None, False,
+                                 k3, low, k2, root.get(w), 0, 0, 0.0, 0.0))
+                rows.append((row, doc_id, 0, 0, 0, 0, False, False, False, 0.0, 0.0, 0.0, 0.0, len(ids), known, base, total))
+            for i in range(0, len(rows), 50_000):
+                yield dict(zip(PARTS, map(list, zip(*rows[i:i + 50_000]))))
 
     texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                         F.col(text_col).alias("text"))
-    parts = map_batches(texts, work, "row long, doc_id long, word string, times long, n_tokens long, n_known long, "
-                                     "base double, score double")
-    rare = parts.join(counts.filter(F.col("n") < word_share * n_all), F.col("word") == F.col("key"), "left")
-    unit = n_all + ADD * (n_distinct + 1)
-    tail = F.when(F.col("word").isNull(), 0.0).otherwise(
-        F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + ADD) / F.lit(unit)))
-    known = F.col("n_known") + F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)
-    return (rare.select("row", "doc_id", "n_tokens", known.alias("n_known"), "times", tail.alias("tail"), "base", "score")
-            .groupBy("row", "doc_id").agg(
-                F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
-                F.sum(F.col("base") + F.col("tail")).alias("base_score"),
-                F.sum(F.col("score") + F.col("tail")).alias("score"))
-            .select("doc_id", "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score"))
+    parts = map_batches(texts, work, ", ".join(f"{name} {kind}" for name, kind in PARTS.items()))
+    null = lambda *names: F.coalesce(*names).isNull()
+    parts = looked_up(parts, F.col("ask3"), model.three, "uvw", "p3")
+    parts = looked_up(parts, F.col("ask3") & null("p3", "k3"), model.after_two, "uv", "b3")
+    parts = looked_up(parts, F.col("ask2") & null("p3"), model.two, "vw", "p2")
+    parts = looked_up(parts, F.col("ask2") & null("p3", "p2", "k2"), model.after_one, "v", "b2")
+    seldom = model.counts.filter(~model.often).select(F.col("h").alias("w"), F.col("n").alias("n1"))
+    parts = looked_up(parts, F.col("rare") | null("p3", "low", "p2", "k1"), seldom, "w", "n1")
+    none = F.lit(0.0)
+    p1 = F.log10((F.coalesce("n1", F.lit(0)) + ADD) / F.lit(model.unit))
+    lower = F.coalesce("low", "p2", F.coalesce("k2", "b2", none) + F.coalesce("k1", p1))
+    gram = F.coalesce("p3", F.coalesce("k3", "b3", none) + lower)
+    return (parts.select("row", "doc_id", "n_tokens",
+                         (F.col("n_known") + F.when(F.col("rare") & F.col("n1").isNotNull(), F.col("times")).otherwise(0))
+                         .alias("n_known"),
+                         (F.col("base") + F.when(F.col("rare"), F.col("times") * p1).otherwise(none)).alias("base"),
+                         (F.col("score") + F.when(F.col("rare"), none).otherwise(F.col("times") * gram)).alias("score"))
+            .groupBy("row", "doc_id").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
+                                          F.sum("base").alias("base_score"), F.sum("score").alias("score"))
+            .select("doc_id", "n_tokens", "n_known", F.lit(model.n_all).cast("long").alias("train_tokens"), "base_score",
+                    "score"))
 
 
 def language_model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -79,6 +79,32 @@ def test_scores_match_the_recursive_model(spark, word_share):
         assert got[i].score == pytest.approx(total, abs=1e-9), text
 
 
+def test_the_model_keeps_every_repeated_ngram_at_any_share(spark, monkeypatch):
+    monkeypatch.setattr(backoff_lm, "WORD_SHARE", 1e-4)
+    monkeypatch.setattr(backoff_lm, "GRAM_SHARE", 1e-5)
+    draw = random.Random(4)
+    words = [f"w{k}" for k in range(60)] + ["é", "日本"]
+    rare = "one rare phrase"  # 4 of 500,000 tokens: below the share, and met by join
+    texts = [" ".join(draw.choices(words, [1 / (k + 1) for k in range(62)], k=draw.randint(0, 60))) for _ in range(80)]
+    texts += [f"w0 {rare} w1", f"w3 {rare} w1", f"w5 {rare}", rare, "unseen words w0 w1 unseen", "", None]
+    df = spark.createDataFrame([(i, t, "clash", "clash") for i, t in enumerate(texts)], SCHEMA)
+    filler = "w0 " * 500_000
+    learn = df.filter("doc_id < 84").unionByName(spark.createDataFrame([(99, filler, "", "")], SCHEMA))
+    got = {r.doc_id: r for r in backoff_lm.score(df, learn).collect()}
+    lists = [backoff_lm.tokens(t) for t in [*texts[:84], filler]]
+    counts = collections.Counter(w for x in lists for w in x)
+    n = sum(counts.values())
+    grams = {g: c for k in (2, 3) for g, c in collections.Counter(
+        tuple(x[i:i + k]) for x in lists for i in range(len(x) - k + 1)).items() if c >= 2}
+    assert grams["one", "rare", "phrase"] == 4 < 1e-5 * n
+    for i, text in enumerate(texts):
+        total, history = 0.0, ()
+        for w in backoff_lm.tokens(text):
+            total += math.log10(reference_backoff(grams, counts, n, len(counts), history, w))
+            history = (*history, w)[-2:]
+        assert got[i].score == pytest.approx(total, abs=1e-9), text
+
+
 def test_language_model_without_training_text_and_edge_rows(spark):
     df = spark.createDataFrame([(1, None, "", ""), (1, None, "", ""), (2, "a b", "", ""), (None, "a", "", "")], SCHEMA)
     rows = backoff_lm.score(df, df.limit(0)).collect()
