@@ -14,6 +14,9 @@ from labelweave.llm.positional_index import decontaminate
 from labelweave.llm.quality import keep_by_rules
 from labelweave.llm.secrets import redact
 
+#: Per cent of their five-word shingles that near-duplicates of the stage have in common.
+NEAR = 80
+
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -33,7 +36,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     A document without an id that no other resembles stays. An id with several texts goes if none of them stays.
     """
-    verdicts = stored(near_duplicates(docs))
+    verdicts = stored(near_duplicates(docs, threshold=NEAR))
     left = without_ids(docs, verdicts.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter("NOT kept"))
     repeated = stored(verdicts.filter("kept").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
     if repeated.isEmpty():

@@ -14,12 +14,14 @@ from .common import WORD, Batch, ascii_lower, kept_in_worker, map_batches, sized
 from .components import connected_components
 
 SHINGLE = 5
-#: Link: 100 * intersection >= THRESHOLD * union.
+#: Link: 100 * intersection >= threshold * union; this is the one that the query's contract fixes.
 THRESHOLD = 85
-#: 640 registers in 64 bands of 10: two sets of similarity 0.85 miss every band with probability 8e-7, while sets
-#: that only share a passage seldom meet (0.3: 4e-4).
-BANDS, ROWS = 64, 10
-REGISTERS = BANDS * ROWS
+#: 640 registers in bands: 64 of 10 if the threshold is 85 or more, where two sets of similarity 0.85 miss every band with
+#: probability 8e-7, while sets that only share a passage seldom meet (0.3: 4e-4).
+REGISTERS = 640
+BAND_ROWS = (10, 8, 5, 4, 2, 1)
+#: The chance to miss every band that a pair right at the threshold may have.
+MISSED = 1e-6
 #: Registers that travel with a node for the estimate.
 ESTIMATED = 256
 MANTISSA_BITS = 10
@@ -94,11 +96,18 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     return ((zeros << np.uint64(MANTISSA_BITS)) | mantissa).astype(np.uint16).reshape(rows, REGISTERS)
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    """A 64-bit key per row and band."""
-    acc = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(regs), BANDS))
-    for k in range(ROWS):
-        acc = mixed(acc * _STEP + regs[:, k::ROWS].astype(np.uint64))
+def rows_per_band(threshold: int) -> int:
+    """The most registers a band can have so that pairs at *threshold* miss every band with at most MISSED."""
+    missed = lambda rows: (1 - (threshold / 100) ** rows) ** (REGISTERS // rows)
+    return next((rows for rows in BAND_ROWS if missed(rows) <= MISSED), 1)
+
+
+def band_keys(regs: np.ndarray, rows: int = BAND_ROWS[0]) -> np.ndarray:
+    """A 64-bit key per set and band of *rows* registers."""
+    bands = REGISTERS // rows
+    acc = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(regs), bands))
+    for k in range(rows):
+        acc = mixed(acc * _STEP + regs[:, k::rows].astype(np.uint64))
     return acc.view(np.int64)
 
 
@@ -110,8 +119,10 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return (share - accident) / (1 - accident)
 
 
-def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, n_shingles, digest of the set, band keys of its registers); the last two null for empty sets."""
+    rows = rows_per_band(threshold)
+
     def work(batches: Iterator[Batch]) -> Iterator[Batch]:
         hashes = kept_in_worker("word hashes", WordHashes)
         for batch in batches:
@@ -120,7 +131,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             sets = [shingles(t, hashes) for t in batch["text"]]
             full = [s for s in sets if len(s)]
             regs = registers(full) if full else np.empty((0, REGISTERS), dtype=np.uint16)
-            keys = iter(band_keys(regs).tolist())
+            keys = iter(band_keys(regs, rows).tolist())
             yield {"doc_id": batch["doc_id"], "n_shingles": [len(s) for s in sets],
                    "digest": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                    "keys": [next(keys) if len(s) else None for s in sets]}
@@ -159,9 +170,9 @@ def unshared(sets: DataFrame) -> DataFrame:
     return single.groupBy("node").agg(F.count("*").alias("unshared"))
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that meet the threshold: sizes and registers rule most others out, full sets decide."""
-    goal = THRESHOLD / 100
+def confirmed(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """The pairs (a, b) that meet *threshold*: sizes and registers rule most others out, full sets decide."""
+    goal = threshold / 100
 
     def work(batches: Iterator[Batch]) -> Iterator[Batch]:
         for batch in batches:
@@ -169,12 +180,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             n_a, n_b = (np.array(batch[c], dtype=np.float64) for c in ("na", "nb"))
             least, most = np.minimum(n_a, n_b), np.maximum(n_a, n_b)
             error = np.sqrt(goal * (1 - goal) / np.minimum(ESTIMATED, least))
-            open_ = (least * 100 >= THRESHOLD * most) & (estimate(x, y, n_a, n_b) >= goal - SIGMAS * error)
+            open_ = (least * 100 >= threshold * most) & (estimate(x, y, n_a, n_b) >= goal - SIGMAS * error)
             out: Batch = {"a": [], "b": []}
             for at in np.flatnonzero(open_).tolist():
                 one, two = (np.frombuffer(batch[c][at], dtype=np.uint64) for c in ("ha", "hb"))
                 shared = len(np.intersect1d(one, two, assume_unique=True))
-                if 100 * shared >= THRESHOLD * (len(one) + len(two) - shared):
+                if 100 * shared >= threshold * (len(one) + len(two) - shared):
                     out["a"].append(batch["a"][at])
                     out["b"].append(batch["b"][at])
             yield out
@@ -185,8 +196,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_batches(both.select("a", "b", "na", "nb", "ra", "rb", "ha", "hb"), work, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per input row.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row per input row; links need *threshold* per cent in common.
 
     1. Every text becomes a sketch; equal sets fall together under their least id (a *node*).
     2. Nodes meet in buckets of equal bands. In each bucket one hub is compared with all others: estimate
@@ -201,7 +212,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     has another id, and stays its own document with a null component otherwise. Rows that repeat an
     id and a text give equal results. Other columns are ignored.
     """
-    sketch = stored(sketches(docs, id_col, text_col))
+    sketch = stored(sketches(docs, id_col, text_col, threshold))
     full = sketch.filter("n_shingles > 0")
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("node"))
     chosen = full.join(classes.select("digest", F.col("node").alias("doc_id")), ["digest", "doc_id"], "left_semi")
@@ -214,7 +225,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = stored(shingle_sets(texts.join(wanted, "doc_id", "left_semi")).distinct())
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return stored(confirmed(pairs.distinct(), sets).distinct())
+        return stored(confirmed(pairs.distinct(), sets, threshold).distinct())
 
     ordered = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     hubs = members.groupBy("key").agg(F.min("node").alias("hub"))
@@ -226,7 +237,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone = F.when(F.col("sets") == 1, F.coalesce("unshared", F.lit(0))).otherwise(0)
     own = stored(sizes.join(unshared(sets), "node", "left").select("node", "low", "high", alone.alias("own")))
     # |x and y| <= |x| - own(x) and |x or y| >= |y| + own(x)
-    reaches = lambda x, low: F.col(f"{x}high") * 100 - F.col(f"{x}own") * 100 >= THRESHOLD * (low + F.col(f"{x}own"))
+    reaches = lambda x, low: F.col(f"{x}high") * 100 - F.col(f"{x}own") * 100 >= threshold * (low + F.col(f"{x}own"))
     for round_ in range(1, HUB_ROUNDS + 2):
         known = own.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         labelled = members.join(known, "node")

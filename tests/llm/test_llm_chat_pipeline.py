@@ -151,3 +151,16 @@ def test_stages_on_an_empty_table(spark, corpus):
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, corpus)
         assert docs.count() == 0 and (name == "byte_bpe" or docs.columns == corpus_pipeline.COLUMNS)
+
+
+def test_stage_links_pairs_from_eighty_per_cent(spark):
+    rows = []
+    for k in range(12):
+        words = [f"t{k}w{i}" for i in range(104)]  # 100 shingles; a changed end of m words leaves (100-m)/(100+m)
+        rows += [(3 * k, " ".join(words)), (3 * k + 1, " ".join([*words[:-10], *(f"x{k}y{i}" for i in range(10))])),
+                 (3 * k + 2, " ".join([*words[:-12], *(f"u{k}v{i}" for i in range(12))]))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCS)
+    # 90 / 110 = 0.82 goes, 88 / 112 = 0.79 stays; the query's own threshold of 0.85 keeps all
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()}
+    assert kept == {i for i, _ in rows if i % 3 != 1}
+    assert hyperminhash.near_duplicates(docs).filter("kept").count() == len(rows)
