@@ -37,6 +37,7 @@ ROLE = {"assign": "secret", "hex": "secret", "secret": "secret", "access": "iden
         "endpoint": "endpoint"}
 #: A weak part is reported if a part of one of these roles lies in reach within its scope.
 NEEDS = {"identifier": ("secret",), "secret": ("identifier", "endpoint"), "endpoint": ("secret",)}
+#: Default of the look-up alone; scans and masking let parts meet anywhere in their scope.
 REACH = 400
 SECRET_BITS = 3.5
 
@@ -94,10 +95,11 @@ def weak_parts(text: str, base: list[Span]) -> list[Span]:
     return free
 
 
-def linked(text: str, base: list[Span], weak: list[Span], reach: int = REACH) -> list[Span]:
+def linked(text: str, base: list[Span], weak: list[Span], reach: int | None = REACH) -> list[Span]:
     """The weak parts that meet a complementary part: an interval join of sorted spans, without listing pairs.
 
-    Two parts meet if both lie in one scope (no blank line between them) and at most *reach* characters apart.
+    Two parts meet if both lie in one scope (no blank line between them) and at most *reach* characters apart (None: any
+    number).
     """
     if not weak:
         return []
@@ -111,6 +113,8 @@ def linked(text: str, base: list[Span], weak: list[Span], reach: int = REACH) ->
         key = (role, bisect_left(scope_ends, part.end))
         if key not in by_role:
             return False
+        if reach is None:
+            return True
         starts, longest = keys[key]
         low = bisect_left(starts, part.start - reach - longest)
         high = bisect_right(starts, part.end + reach)
@@ -123,7 +127,7 @@ def digest(spans: list[Span]) -> str:
     return ",".join(f"{s.kind}:{s.start}:{s.end}" for s in spans)
 
 
-def find_secrets(docs: DataFrame, reach: int = REACH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_secrets(docs: DataFrame, reach: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: counts, digest of the base spans, and all spans in code points.
 
     Scopes lie within a document, so the job is narrow: no shuffle. A null text counts as empty; repeated
@@ -147,7 +151,7 @@ def find_secrets(docs: DataFrame, reach: int = REACH, id_col: str = "doc_id", te
                        work, SCHEMA)
 
 
-def masked(text: str, reach: int = REACH) -> str:
+def masked(text: str, reach: int | None = None) -> str:
     """*text* with each run of overlapping spans replaced by the kind of its first, in brackets."""
     base = base_spans(text)
     out, at, end = [], 0, 0
@@ -159,7 +163,7 @@ def masked(text: str, reach: int = REACH) -> str:
     return "".join([*out, text[end:]])
 
 
-def redact(docs: DataFrame, reach: int = REACH, text_col: str = "text") -> DataFrame:
+def redact(docs: DataFrame, reach: int | None = None, text_col: str = "text") -> DataFrame:
     """*docs* with every span masked in *text_col*; all other columns and rows stay, a null text stays null."""
     docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     mask = F.pandas_udf(lambda texts: texts.map(lambda t: t if t is None else masked(t, reach)), "string")

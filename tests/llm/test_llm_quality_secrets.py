@@ -138,6 +138,17 @@ def test_linking_matches_all_pairs():
         assert secrets.linked(text, base, weak) == want
 
 
+def test_parts_meet_anywhere_in_their_scope(spark):
+    gap = "\n".join(f"setting_{k} = on" for k in range(400))
+    far = f"client_id = frontend-app\n{gap}\nvalue {BARE}"
+    apart = f"client_id = frontend-app\n{gap}\n\nvalue {BARE}"
+    df = spark.createDataFrame([(1, far), (2, apart)], "doc_id long, text string")
+    found = {r.doc_id: {s.kind for s in r.found} for r in secrets.find_secrets(df).collect()}
+    assert found == {1: {"identifier", "secret"}, 2: set()}
+    texts = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert texts == {1: f"[identifier]\n{gap}\nvalue [secret]", 2: apart}
+
+
 def test_redaction_keeps_rows_and_columns(spark):
     df = spark.createDataFrame([(1, "a token = abcdef123456 b", "x"), (1, "a token = abcdef123456 b", "x"), (2, None, "y"),
                                 (None, "clean", None)], "doc_id long, text string, spans string")
