@@ -26,6 +26,20 @@ def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return docs.join(ids, F.col("doc_id") == F.col("gone_id"), "left_anti").select(*COLUMNS)
 
 
+def with_number(docs: DataFrame) -> DataFrame:
+    """*docs* with a number made from the text alone, a 64-bit hash: ids may be null or stand for several texts.
+
+    Unlike a counter it is the same whenever the rows are read again. Rows of one text share it.
+    """
+    return docs.withColumn("number", F.xxhash64("text"))
+
+
+def without_numbers(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of *docs* whose number is not in *gone* (number); what goes is less than what stays, so it is matched."""
+    numbers = sized(stored(gone.select(F.col("number").alias("gone_number")).distinct()))
+    return docs.join(numbers, F.col("number") == F.col("gone_number"), "left_anti")
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return keep_by_rules(docs).select(*COLUMNS)
@@ -47,9 +61,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item."""
+    """Documents without a window of a benchmark item, judged by their own text whatever their ids."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return without_ids(docs, decontaminate(docs, benchmark).filter("contaminated"))
+    numbered = with_number(docs)
+    found = decontaminate(numbered, benchmark, id_col="number").filter("contaminated")
+    return without_numbers(numbered, found.withColumnRenamed("doc_id", "number")).select(*COLUMNS)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,12 +26,13 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 def build_index(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     """Postings (term, doc_id, pos) of *docs* (doc_id, text), stored in the shared folder.
 
-    With *terms* only their lists are kept: an index that serves a known set of queries needs no others.
+    With *terms* only their lists are kept: an index that serves a known set of queries needs no others. Rows that
+    repeat an id and a text add nothing.
     """
     postings = docs.select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "term"))
     if terms is not None:
         postings = postings.join(sized(terms), "term", "left_semi")
-    return stored(postings.select("term", "doc_id", "pos"))
+    return stored(postings.select("term", "doc_id", "pos").distinct())
 
 
 def rarest_terms(phrases: DataFrame, counts: DataFrame) -> DataFrame:

@@ -164,3 +164,13 @@ def test_stage_links_pairs_from_eighty_per_cent(spark):
     kept = {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()}
     assert kept == {i for i, _ in rows if i % 3 != 1}
     assert hyperminhash.near_duplicates(docs).filter("kept").count() == len(rows)
+
+
+def test_decontamination_stage_judges_every_row_by_its_text(spark, tmp_path):
+    item = " ".join(f"w{k}" for k in range(12))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, f"some {item} more"), (None, "clean without an id"), (5, f"other {item}"), (5, "clean with a shared id"),
+            (6, f"other {item}"), (7, None), (7, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    got = {(r.doc_id, r.text) for r in corpus_pipeline.decontamination_stage(spark, docs, str(tmp_path)).collect()}
+    assert got == {(None, "clean without an id"), (5, "clean with a shared id"), (7, None), (7, "")}
