@@ -20,12 +20,6 @@ NEAR = 80
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def without_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of *docs* whose id is not in *gone* (doc_id); what goes is less than what stays, so it is matched."""
-    ids = sized(stored(gone.select(F.col("doc_id").alias("gone_id")).distinct()))
-    return docs.join(ids, F.col("doc_id") == F.col("gone_id"), "left_anti").select(*COLUMNS)
-
-
 def with_number(docs: DataFrame) -> DataFrame:
     """*docs* with a number made from the text alone, a 64-bit hash: ids may be null or stand for several texts.
 
@@ -46,18 +40,30 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the least id, of each group of near-duplicates; of repeated rows one stays.
+    """One row of each group of near-duplicates: that of the least id, or any if none of the group has an id.
 
-    A document without an id that no other resembles stays. An id with several texts goes if none of them stays.
+    Rows with and without ids are compared alike, and those that share an id are judged apart. Texts without words
+    resemble nothing; of their rows that repeat an id and a text one stays.
     """
-    verdicts = stored(near_duplicates(docs, threshold=NEAR))
-    left = without_ids(docs, verdicts.groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter("NOT kept"))
-    repeated = stored(verdicts.filter("kept").groupBy("doc_id").count().filter("count > 1").select("doc_id"))
+    numbered = with_number(docs)
+    verdicts = near_duplicates(numbered, id_col="number", threshold=NEAR).filter("n_shingles > 0")
+    group = stored(verdicts.select(F.col("doc_id").alias("number"), F.col("component_id").alias("group")).distinct())
+    per_text = stored(numbered.groupBy("number").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
+    best = F.min(F.struct(F.col("least").isNull().alias("no_id"), "least", "number")).alias("best")
+    winners = stored(group.join(per_text, "number").groupBy("group").agg(best).select(
+        F.col("best.number").alias("number"), F.col("best.least").alias("least")))
+    left = without_numbers(numbered, group.join(winners, "number", "left_anti"))
+    # of rows with one text that stay, those of the least id remain, and of these one
+    same = per_text.filter("n > 1")
+    chosen = same.join(winners.select("number"), "number", "left_semi").select("number", "least", F.lit(True).alias("grouped"))
+    wordless = same.join(group, "number", "left_anti").select("number", "least", F.lit(False).alias("grouped"))
+    repeated = stored(chosen.unionByName(wordless))
     if repeated.isEmpty():
-        return left
-    again = repeated.select(F.col("doc_id").alias("again_id"))
-    some = left.join(again, F.col("doc_id").eqNullSafe(F.col("again_id")), "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(again, F.col("doc_id").eqNullSafe(F.col("again_id")), "left_anti").unionByName(some)
+        return left.select(*COLUMNS)
+    again = sized(repeated)
+    rows = left.join(again, "number").filter(~F.col("grouped") | F.col("doc_id").eqNullSafe(F.col("least")))
+    return (left.join(sized(repeated), "number", "left_anti").select(*COLUMNS)
+            .unionByName(rows.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -174,3 +174,17 @@ def test_decontamination_stage_judges_every_row_by_its_text(spark, tmp_path):
     docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
     got = {(r.doc_id, r.text) for r in corpus_pipeline.decontamination_stage(spark, docs, str(tmp_path)).collect()}
     assert got == {(None, "clean without an id"), (5, "clean with a shared id"), (7, None), (7, "")}
+
+
+def test_near_duplicate_stage_compares_rows_without_ids(spark):
+    text = lambda name, n=60: " ".join(f"{name}{k}" for k in range(n))
+    rows = [(None, text("a")), (None, text("a") + " end"), (None, text("a")),  # a group without ids
+            (9, text("b")), (None, text("b") + " end"), (4, text("b")), (4, text("b")),  # copies of a document with ids
+            (None, text("c")), (12, text("d")), (12, text("e")), (3, text("e") + " end"),  # an id with two texts
+            (None, ""), (None, ""), (20, None), (21, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    got = corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()
+    first = [r for r in got if r.text and r.text.startswith("a0")]
+    assert len(first) == 1 and first[0].doc_id is None
+    rest = sorted((r.doc_id or 0, r.text or "") for r in got if r not in first)
+    assert rest == sorted([(4, text("b")), (0, text("c")), (12, text("d")), (3, text("e") + " end"), (0, ""), (20, ""), (21, "")])
