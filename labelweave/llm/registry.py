@@ -12,11 +12,12 @@ from .bpe import encode_documents
 from .common import documents
 from .hyperdimensional import language_of_documents
 from .hyperminhash import near_duplicates
+from .merkle import merkle_report
 from .positional_index import decontaminate
 from .quality import quality_rules
 from .quotations import reply_order
 from .secrets import find_secrets
-from .sql import DECONTAMINATION_SQL, NEAR_DUPLICATES_SQL, QUOTATIONS_SQL
+from .sql import DECONTAMINATION_SQL, MERKLE_SQL, NEAR_DUPLICATES_SQL, QUOTATIONS_SQL
 from .token_transducer import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +81,8 @@ def op9_token_counts(spark: SparkSession, d: str) -> DataFrame:
 @query("op10_quotation_linking", QUOTATIONS_SQL)
 def op10_quotation_linking(spark: SparkSession, d: str) -> DataFrame:
     return reply_order(spark.read.parquet(f"{d}/conversations.parquet"))
+
+
+@query("op11_merkle_manifest", MERKLE_SQL)
+def op11_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return merkle_report(documents(spark, d))

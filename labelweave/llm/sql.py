@@ -68,3 +68,41 @@ SELECT c.conv_id, c.turn, c.role, p.parent, coalesce(t.root, c.turn) AS root, co
        trim(array_to_string([x FOR x IN string_split(c.text, chr(10)) IF NOT regexp_matches(x, '^[\x20\t]*>')], chr(10)), ' ' || chr(10)) AS text
 FROM conversations c LEFT JOIN parent p ON p.conv_id = c.conv_id AND p.turn = c.turn
 LEFT JOIN top t ON t.conv_id = c.conv_id AND t.turn = c.turn"""
+
+_CRC_STEPS = ("list_reduce(list_concat([4294967295::BIGINT], flatten([[unicode(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0] "
+              "FOR x IN string_split(doc_id::VARCHAR, '')])), "
+              "lambda c, e: xor(xor(c, e) >> 1, 3988292384::BIGINT * (xor(c, e) & 1)))")
+
+
+def _leaf_sql(text: str) -> str:
+    parts = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+MERKLE_SQL = f"""
+WITH RECURSIVE leaf AS (
+  SELECT doc_id, '=' || source AS s, {_leaf_sql('text')} AS leaf,
+         CASE WHEN xor({_CRC_STEPS}, 4294967295) & 1 = 0 THEN {_leaf_sql("replace(text, chr(10), '')")} ELSE {_leaf_sql('text')} END AS changed
+  FROM documents),
+numbered AS (SELECT *, coalesce(s, '') AS src, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaf),
+tree AS (SELECT src, 0 AS lv, i, leaf AS h, count(*) OVER (PARTITION BY src) AS n FROM numbered
+         UNION ALL SELECT src, lv + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM tree WHERE n > 1
+         GROUP BY src, lv, i // 3, n),
+sub AS (SELECT src, h, row_number() OVER (ORDER BY src) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1),
+top AS (SELECT 0 AS lv, i, h, n FROM sub
+        UNION ALL SELECT lv + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM top WHERE n > 1 GROUP BY lv, i // 3, n),
+height AS (SELECT src, max(lv) AS lv FROM tree GROUP BY src),
+node AS (SELECT src, lv, i, h, n FROM tree WHERE n > 1
+         UNION ALL SELECT s.src, t.lv + e.lv, t.i, t.h, t.n FROM top t, sub s JOIN height e USING (src) WHERE t.n > 1),
+run AS (SELECT src, lv, i // 3 AS up, list({{'i': i, 'h': h}} ORDER BY i) AS kids FROM node GROUP BY src, lv, i // 3),
+climb AS (SELECT a.src, a.doc_id, a.i AS leaf_i, 0 AS lv, a.i, a.changed AS folded, '' AS proof, e.lv AS height, s.i AS si
+          FROM numbered a JOIN height e USING (src) JOIN sub s USING (src)
+          UNION ALL SELECT c.src, c.doc_id, c.leaf_i, c.lv + 1, w.at // 3,
+                 sha256(array_to_string([CASE WHEN k.i = w.at THEN c.folded ELSE k.h END FOR k IN r.kids], '')),
+                 c.proof || array_to_string([k.h FOR k IN r.kids IF k.i <> w.at], ''), c.height, c.si
+          FROM climb c, LATERAL (SELECT CASE WHEN c.lv = c.height THEN c.si ELSE c.i END AS at) w
+          JOIN run r ON r.src = c.src AND r.lv = c.lv AND r.up = w.at // 3),
+last AS (SELECT src, leaf_i, arg_max(folded, lv) AS folded, arg_max(proof, lv) AS proof FROM climb GROUP BY src, leaf_i)
+SELECT a.doc_id, a.leaf, s.h AS subroot, (SELECT h FROM top WHERE n = 1) AS root, sha256(l.proof) AS proof_sha256,
+       l.folded AS folded_root, l.folded = (SELECT h FROM top WHERE n = 1) AS verified
+FROM numbered a JOIN sub s USING (src) JOIN last l ON l.src = a.src AND l.leaf_i = a.i"""
