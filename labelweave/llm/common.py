@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import sys
 import types
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from labelweave.session import cut_lineage
+from labelweave.session import _checkpoint_dir, cut_lineage
 
 #: Rows per Arrow batch: long texts must not add up to more than a worker can hold.
 BATCH_ROWS = 512
@@ -85,6 +86,13 @@ def stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """As stored(), but as a compressed Parquet table in that folder: for wide rows that are read several times."""
+    folder = f"{_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def sized(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """*df* (stored, short rows) hinted for broadcast if it has at most *rows* rows; else Spark's own choice."""
     return F.broadcast(df) if df.count() <= rows else df

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .alignment import align_tokenizers
 from .backoff_lm import language_model_scores
 from .boosted_trees import quality_scores
 from .bpe import encode_documents
@@ -86,3 +87,8 @@ def op10_quotation_linking(spark: SparkSession, d: str) -> DataFrame:
 @query("op11_merkle_manifest", MERKLE_SQL)
 def op11_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
     return merkle_report(documents(spark, d))
+
+
+@query("op12_tokenizer_alignment")
+def op12_tokenizer_alignment(spark: SparkSession, d: str) -> DataFrame:
+    return align_tokenizers(documents(spark, d))
