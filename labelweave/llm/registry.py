@@ -14,6 +14,7 @@ from .common import documents
 from .hyperdimensional import language_of_documents
 from .hyperminhash import near_duplicates
 from .merkle import merkle_report
+from .piecewise import edited_fingerprints
 from .positional_index import decontaminate
 from .quality import quality_rules
 from .quotations import reply_order
@@ -92,3 +93,8 @@ def op11_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
 @query("op12_tokenizer_alignment")
 def op12_tokenizer_alignment(spark: SparkSession, d: str) -> DataFrame:
     return align_tokenizers(documents(spark, d))
+
+
+@query("op13_piecewise_fingerprints")
+def op13_piecewise_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return edited_fingerprints(documents(spark, d))
