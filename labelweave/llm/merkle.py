@@ -24,18 +24,24 @@ from .common import sized, stored
 RUN = 3                # children of a node
 LEVEL_BITS = 7         # a node's key is its leftmost leaf's number and its level
 HEAVY_SHARE = 5_000    # a node above 1/HEAVY_SHARE of all leaves is broadcast: at most that many on a level
-NODES_PER_TASK = 1_000_000
+NODES_PER_TASK = 500_000  # small rows: more tasks would leave a shuffle with blocks of single rows
 
 COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
 class Manifest(NamedTuple):
-    """*leaves* (leaf_no, doc_id, leaf, changed), parent-linked *nodes* in two parts, and the root (None without rows)."""
+    """*leaves* (leaf_no, doc_id, leaf, changed), parent-linked *nodes* in two parts, the root (None without rows)
+    and the number of leaves."""
 
     leaves: DataFrame
     light: DataFrame
     heavy: DataFrame
     root: bytes | None
+    total: int
+
+
+def _tasks(df: DataFrame, rows: int) -> int:
+    return max(df.sparkSession.sparkContext.defaultParallelism, rows // NODES_PER_TASK)
 
 
 def _digest(text: Column) -> Column:
@@ -90,8 +96,8 @@ def _placed(numbered: DataFrame, number: str, of: str) -> DataFrame:
         "place", F.col(number) - F.col("start") + F.col("offset")).drop("part", "tree_of", "start", "offset")
 
 
-def _runs(nodes: DataFrame, level: int) -> DataFrame:
-    """The parents of *nodes* (tree, place, size, node, digest, weight, subroot), stored with their children."""
+def _runs(nodes: DataFrame, level: int, most: int) -> DataFrame:
+    """The parents of *nodes* (tree, place, size, node, digest, weight, subroot), stored with their children; at most *most* of them."""
     kid = F.struct("place", "node", "digest", "weight", "subroot")
     runs = nodes.groupBy("tree", F.expr(f"place DIV {RUN}").alias("up")).agg(
         F.sort_array(F.collect_list(kid)).alias("kids"), F.max("size").alias("size"), F.sum("weight").alias("weight"))
@@ -100,7 +106,8 @@ def _runs(nodes: DataFrame, level: int) -> DataFrame:
     return stored(runs.select(
         "tree", F.col("up").alias("place"), F.expr(f"(size + {RUN - 1}) DIV {RUN}").alias("size"),
         F.shiftleft(first, LEVEL_BITS).bitwiseOR(F.lit(level)).alias("node"), _digest(_hex(joined)).alias("digest"),
-        "weight", F.lit(None).cast("binary").alias("subroot"), "kids", joined.alias("joined")))
+        "weight", F.lit(None).cast("binary").alias("subroot"), "kids", joined.alias("joined"))
+        .coalesce(1 + most // NODES_PER_TASK if most < NODES_PER_TASK // 10 else _tasks(nodes, most)))
 
 
 def _links(runs: DataFrame) -> DataFrame:
@@ -129,7 +136,8 @@ def manifest(docs: DataFrame, changed: Column | None = None) -> Manifest:
         if largest <= 1:
             break
         level += 1
-        current = _runs(current.where("size > 1"), level)
+        # a run holds two nodes at least, but for one run of a tree
+        current = _runs(current.where("size > 1"), level, 2 * total // 2 ** level)
         links.append(_links(current))
         current = current.select(*level_columns)
         largest = -(-largest // RUN)
@@ -141,7 +149,7 @@ def manifest(docs: DataFrame, changed: Column | None = None) -> Manifest:
     largest = laid.count()
     while largest > 1:
         level += 1
-        current = _runs(current, level)
+        current = _runs(current, level, largest // 2)
         links.append(_links(current))
         current = current.select(*level_columns)
         largest = -(-largest // RUN)
@@ -151,10 +159,9 @@ def manifest(docs: DataFrame, changed: Column | None = None) -> Manifest:
     rows = reduce(DataFrame.unionByName, links, spark.createDataFrame([], schema)).select(
         "node", "parent", "before", "after", "subroot", (F.col("weight") > limit).alias("heavy"),
         (F.col("parent_weight") > limit).alias("to_heavy"))
-    tasks = max(spark.sparkContext.defaultParallelism, 3 * total // (2 * NODES_PER_TASK))
     # laid out once as every step of the climb joins it
-    light = stored(rows.where("NOT heavy").repartition(tasks, "node").sortWithinPartitions("node"))
-    return Manifest(leaves, light, stored(rows.where("heavy")), root and bytes(root[0]))
+    light = stored(rows.where("NOT heavy").repartition(_tasks(leaves, 3 * total // 2), "node").sortWithinPartitions("node"))
+    return Manifest(leaves, light, stored(rows.where("heavy").coalesce(1)), root and bytes(root[0]), total)
 
 
 _CLIMB = """
@@ -178,9 +185,10 @@ def climb(built: Manifest) -> DataFrame:
     start = built.leaves.select(
         "leaf_no", F.lit(0).alias("step"), F.shiftleft("leaf_no", LEVEL_BITS).alias("node"), F.lit(False).alias("heavy"),
         F.col("changed").alias("folded"), F.lit(b"").alias("siblings"), F.lit(None).cast("binary").alias("subroot"))
-    low = stored(spark.sql(_CLIMB % "MERGE(n)", start=start, nodes=built.light))
-    high = spark.sql(_CLIMB % "BROADCAST(n)", start=low.where("heavy"), nodes=built.heavy)
-    return low.where("NOT heavy").unionByName(high)
+    tasks = _tasks(built.leaves, built.total)
+    low = stored(spark.sql(_CLIMB % f"COALESCE({tasks}), MERGE(n)", start=start, nodes=built.light).coalesce(4 * tasks))
+    high = spark.sql(_CLIMB % f"COALESCE({tasks}), BROADCAST(n)", start=low.where("heavy").coalesce(tasks), nodes=built.heavy)
+    return low.where("NOT heavy").unionByName(high).coalesce(4 * tasks)
 
 
 def proofs(built: Manifest) -> DataFrame:
