@@ -26,6 +26,18 @@ CHUNK_CELLS = 4_000_000  # score-matrix cells held at a time inside a group
 MAX_PARTITIONS = 50_000  # groups are dealt to so many partitions in turn
 
 
+def unit_vectors(lists: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """The vectors of a column as rows of length one; a zero vector stays zero."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    if lists.null_count:
+        raise ValueError(f"{lists.null_count} rows have a text and no vector; check that ids are aligned")
+    if len(pc.unique(pc.list_value_length(lists))) > 1:
+        raise ValueError("vectors differ in length")
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    raw = flat.reshape(len(lists), -1) if len(lists) else np.zeros((0, 1))
+    return raw / np.maximum(np.linalg.norm(raw.astype(np.float64), axis=1, keepdims=True), 1e-12)
+
+
 class Side:
     """One block inside a group: ids, texts, unit vectors and a group code."""
 
@@ -33,15 +45,7 @@ class Side:
         self.ids = table.column("id").to_numpy()
         self.text = np.array(table.column("text").to_pylist(), dtype=object)
         self.group = np.array(table.column("grp").to_pylist(), dtype=object)
-        lists = table.column("vec").combine_chunks()
-        if lists.null_count:
-            raise ValueError(f"{lists.null_count} rows have a text and no vector; check that ids are aligned")
-        if len(pc.unique(pc.list_value_length(lists))) > 1:
-            raise ValueError("vectors differ in length")
-        flat = lists.flatten().to_numpy(zero_copy_only=False)
-        raw = flat.reshape(len(self.ids), -1) if len(self.ids) else np.zeros((0, 1))
-        norms = np.linalg.norm(raw.astype(np.float64), axis=1, keepdims=True)
-        self.unit = raw / np.maximum(norms, 1e-12)
+        self.unit = unit_vectors(table.column("vec"))
 
     def __len__(self):
         return len(self.ids)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from labelweave.functions.similarity import jaro_winkler, jaro_winkler_arrays, lexical_bound
 from labelweave.functions.text import normalize_text
 from labelweave.operators.blocks import BLOCK_ROWS, Side, block_self_join
+from labelweave.operators.cells import cell_self_join
 from labelweave.operators.keyed import HOT_ROWS, lookup_unique, top_n_per_group
 
 # Rule thresholds, neighbour cap and rule names.
@@ -126,11 +127,12 @@ def similar_pairs(labels: DataFrame, emb: DataFrame | None = None, cos_min: floa
     """Every pair with cosine and Jaro-Winkler at or above the thresholds.
 
     The larger id merges into the smaller. *labels* may carry ``embedding``
-    itself, or it is joined from *emb*. The cosine cut runs first and the
-    lexical check only sees its survivors, in the same task.
+    itself, or it is joined from *emb*. Rows meet in the cells of a metric index,
+    which skips what cannot reach the cosine; the lexical check only sees its
+    survivors, in the same task.
     """
-    return block_self_join(_block_input(labels, emb, label), _both_rules(cos_min, jw_min),
-                           _PAIR_SCHEMA, block_rows=block_rows)
+    return cell_self_join(_block_input(labels, emb, label), _both_rules(cos_min, jw_min),
+                          _PAIR_SCHEMA, cos_min, block_rows=block_rows)
 
 
 def representatives(labels: DataFrame, label: str = "label") -> DataFrame:
@@ -146,6 +148,34 @@ def representatives(labels: DataFrame, label: str = "label") -> DataFrame:
             .select("row_id", label, "embedding", "copies"))
 
 
+def class_table(labels: DataFrame, label: str = "label", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(row_id, representative, copies, zero): the class of every row, that is of its (label, vector).
+
+    *zero* tells that the vector is all zeros, which is similar to nothing, not even to its copies.
+    """
+    # floats print so that they read back alike, so equal texts are equal vectors
+    vector = F.col("embedding").cast("string")
+    keyed = labels.where(F.col(label).isNotNull()).select(
+        "row_id", F.sha2(F.concat(F.octet_length(label).cast("string"), F.lit(":"), F.col(label), vector), 256).alias("_class"),
+        F.forall("embedding", lambda x: x == 0).alias("zero"))
+    groups = keyed.groupBy("_class").agg(F.min("row_id").alias("_first"), F.count(F.lit(1)).alias("copies"))
+    several = groups.where("copies > 1").withColumn("_of", F.struct("_first", "copies"))
+    found = lookup_unique(keyed, several.select("_class", "copies", "_of"), "_class", "copies", "_of", hot_rows)
+    return found.select("row_id", F.coalesce("_of._first", "row_id").alias("representative"),
+                        F.coalesce("_of.copies", F.lit(1)).cast("bigint").alias("copies"), "zero")
+
+
+def similar_classes(labels: DataFrame, classes: DataFrame | None = None, cos_min: float = COSINE_MIN,
+                    jw_min: float = LEXICAL_MIN, label: str = "label", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """As :func:`similar_pairs`, with every link and no expanded copies: the pairs of representatives, and each copy
+    with its representative. Two rows are similar exactly when their classes are one or linked."""
+    classes = class_table(labels, label) if classes is None else classes
+    between = similar_pairs(representatives(labels, label), cos_min=cos_min, jw_min=jw_min, label=label, block_rows=block_rows)
+    copies = classes.where("row_id > representative AND NOT zero").select(
+        F.col("row_id").alias("source_id"), F.col("representative").alias("target_id"), F.lit(1.0).alias("jw"), F.lit(1.0).alias("cos"))
+    return between.unionByName(copies)
+
+
 def similar_pairs_topk(labels: DataFrame, emb: DataFrame | None = None, k: int = NEIGHBOURS,
                        cos_min: float = COSINE_MIN, jw_min: float = LEXICAL_MIN, label: str = "label",
                        block_rows: int = BLOCK_ROWS) -> DataFrame:

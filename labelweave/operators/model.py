@@ -35,10 +35,28 @@ def unordered(pairs: DataFrame, a: str = "source_id", b: str = "target_id") -> D
     return pairs.select(F.least(a, b).alias("i"), F.greatest(a, b).alias("j")).where("i < j").distinct()
 
 
-def negative_candidates(candidates: DataFrame, positives: DataFrame) -> DataFrame:
-    """Candidate (i, j) pairs that are no positive, whichever way round."""
+def no_merges(pairs: DataFrame, positives: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """Rows of *pairs* (i, j, ...) that are no positive, whichever way round.
+
+    With *classes* (row_id, representative, zero) a pair is judged by its classes: copies of one row are a merge, and so
+    are copies of the two rows of a positive pair.
+    """
+    merges = unordered(positives).select(F.col("i").alias("_i"), F.col("j").alias("_j"))
+    if classes is None:
+        return pairs.join(merges, (F.col("i") == F.col("_i")) & (F.col("j") == F.col("_j")), "left_anti")
+    left = classes.select(F.col("row_id").alias("i"), F.col("representative").alias("_a"), F.col("zero").alias("_zero"))
+    right = classes.select(F.col("row_id").alias("j"), F.col("representative").alias("_b"))
+    judged = pairs.join(left, "i", "left").join(right, "j", "left").withColumns(
+        {"_a": F.coalesce("_a", "i"), "_b": F.coalesce("_b", "j")})
+    apart = judged.where((F.col("_a") != F.col("_b")) | F.coalesce("_zero", F.lit(False)))
+    met = (F.least("_a", "_b") == F.col("_i")) & (F.greatest("_a", "_b") == F.col("_j"))
+    return apart.join(merges, met, "left_anti").select(*pairs.columns)
+
+
+def negative_candidates(candidates: DataFrame, positives: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """Candidate (i, j) pairs that are no positive, whichever way round; see :func:`no_merges`."""
     pairs = candidates.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
-    return pairs.where("i < j").join(unordered(positives), ["i", "j"], "left_anti")
+    return no_merges(pairs.where("i < j"), positives, classes)
 
 
 def _positions(labels: DataFrame) -> DataFrame:
@@ -92,8 +110,10 @@ def _drawn_pairs(spark: SparkSession, start: int, stop: int, total: int, seed: i
         "draw", (k - below(F.col("pj")).cast("bigint")).alias("pi"), "pj")
 
 
-def sample_negatives(labels: DataFrame, positives: DataFrame, n: int = NEGATIVE_SAMPLE, seed: int = 42) -> DataFrame:
-    """min(n, available) random non-positive pairs, i < j: the first of a seeded permutation of all pairs.
+def sample_negatives(labels: DataFrame, positives: DataFrame, n: int = NEGATIVE_SAMPLE, seed: int = 42,
+                     classes: DataFrame | None = None) -> DataFrame:
+    """min(n, available) random non-positive pairs, i < j: the first of a seeded permutation of all pairs. *classes*
+    tells which rows are copies, as in :func:`no_merges`.
 
     Draws are taken in growing runs until n pairs are left that are no positive, or all are drawn; how long the
     runs are changes the work and never the sample. The work grows with n and the positives only.
@@ -108,7 +128,7 @@ def sample_negatives(labels: DataFrame, positives: DataFrame, n: int = NEGATIVE_
     stop = min(domain, 2 * n * math.ceil(domain / total))
     while True:
         drawn = _to_row_ids(_drawn_pairs(spark, 0, stop, total, seed), positions)
-        free = drawn.join(unordered(positives), ["i", "j"], "left_anti")
+        free = no_merges(drawn, positives, classes)
         if stop == domain or free.count() >= n:
             return free.orderBy("draw").limit(n).select("i", "j")
         stop = min(domain, 4 * stop)

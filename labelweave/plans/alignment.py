@@ -11,7 +11,7 @@ from labelweave.functions.text import hierarchy_label
 from labelweave.operators.embed import Encoder, embed_text
 from labelweave.operators.matching import (
     COSINE_MIN, LEXICAL_MIN, exact_duplicates, export_aligned, filter_labels, merge_metrics,
-    representatives, similar_pairs, sort_pairs, union_rules)
+    similar_classes, similar_pairs, sort_pairs, union_rules)
 
 
 @dataclass
@@ -40,12 +40,13 @@ def align(labels: DataFrame, cos_min: float = COSINE_MIN, jw_min: float = LEXICA
           every_pair: bool = False) -> Alignment:
     """Both rules over (row_id, label, embedding).
 
-    By default similarity runs over one representative per copy group: the
-    sources that merge, the metrics of reduction and the export are the same,
-    and no copy group is expanded into all of its pairs. ``every_pair`` lists
-    those pairs as well.
+    By default similarity runs over one representative per copy group, and each
+    copy is paired with its representative: the sources that merge, the metrics of
+    reduction and the export are the same, no link is lost, and no copy group is
+    expanded into all of its pairs. ``every_pair`` lists those pairs as well.
     """
     exact = exact_duplicates(labels)
-    similar = similar_pairs(labels if every_pair else representatives(labels), cos_min=cos_min, jw_min=jw_min)
+    find = similar_pairs if every_pair else similar_classes
+    similar = find(labels, cos_min=cos_min, jw_min=jw_min)
     pairs = sort_pairs(union_rules(exact, similar))
     return Alignment(pairs, merge_metrics(labels, pairs), export_aligned(labels, pairs))

@@ -24,15 +24,18 @@ class Trained:
 
 
 def build_features(labels: DataFrame, positives: DataFrame, negatives: int = NEGATIVE_SAMPLE,
-                   seed: int = 42) -> DataFrame:
+                   seed: int = 42, classes: DataFrame | None = None) -> DataFrame:
     """Features of all positives and a sample of non-merges, with their split."""
-    examples = union_examples(positives, sample_negatives(labels, positives, negatives, seed), seed, shuffled=False)
+    drawn = sample_negatives(labels, positives, negatives, seed, classes)
+    examples = union_examples(positives, drawn, seed, shuffled=False)
     return stratified_split(pair_features(examples, labels), TEST_FRACTION, seed)
 
 
-def train(labels: DataFrame, positives: DataFrame, negatives: int = NEGATIVE_SAMPLE, seed: int = 42) -> Trained:
+def train(labels: DataFrame, positives: DataFrame, negatives: int = NEGATIVE_SAMPLE, seed: int = 42,
+          classes: DataFrame | None = None) -> Trained:
+    """*positives* of representatives need *classes* (see class_table), or their copies would count as negatives."""
     # the split is read by training, metrics and AUC
-    features = build_features(labels, positives, negatives, seed).persist()
+    features = build_features(labels, positives, negatives, seed, classes).persist()
     try:
         pipeline = train_merge_classifier(features.where(~F.col("is_test")))
         model = coefficients(pipeline)

@@ -20,22 +20,26 @@ NEGATIVES = 1000
 
 
 def positives(spark, d):
-    """The merge pairs, kept by the executors as the jobs below read them several times."""
-    found = m.similar_pairs(distinct_labels(spark, d), cos_min=COS_MIN, jw_min=JW_MIN)
-    return found.select("source_id", "target_id").persist()
+    """The merge pairs: of representatives, and of each copy with its representative."""
+    return m.similar_classes(vectors(spark, d), cos_min=COS_MIN, jw_min=JW_MIN).select("source_id", "target_id")
 
 
 # --- examples ---------------------------------------------------------------
 
+# the rule itself, on any two rows
+_MERGE = (f"({COS.format(a='a.embedding', b='b.embedding')} >= {COS_MIN} "
+          f"AND jaro_winkler_similarity(a.label, b.label) >= {JW_MIN})")
+
+
 @query("negative_candidates", f"""WITH {PAIRS_SQL},
 c AS (SELECT row_id AS i, row_id + 1 AS j FROM v WHERE row_id + 1 IN (SELECT row_id FROM v)
       UNION SELECT row_id, row_id + 10 FROM v WHERE row_id + 10 IN (SELECT row_id FROM v))
-SELECT i, j FROM c WHERE NOT EXISTS (SELECT 1 FROM sim WHERE target_id = i AND source_id = j)""")
+SELECT i, j FROM c JOIN v a ON a.row_id = i JOIN v b ON b.row_id = j WHERE NOT {_MERGE}""")
 def _(spark, d):
     ids = vectors(spark, d).select(F.col("row_id").alias("i"))
     near = ids.select("i", F.explode(F.array(F.col("i") + 1, F.col("i") + 10)).alias("j"))
     known = near.join(ids.select(F.col("i").alias("j")), "j", "left_semi")
-    return mo.negative_candidates(known, positives(spark, d)).select("i", "j")
+    return mo.negative_candidates(known, positives(spark, d), m.class_table(vectors(spark, d))).select("i", "j")
 
 
 def _round_sql(turn: int) -> str:
@@ -54,13 +58,13 @@ n_j AS (SELECT draw, k, floor((1 + sqrt(1 + 8 * k::DOUBLE)) / 2)::BIGINT AS pj F
 n_pos AS (SELECT row_id, row_number() OVER (ORDER BY row_id) - 1 AS p FROM v),
 n_all AS (SELECT draw, a.row_id AS i, b.row_id AS j FROM n_j JOIN n_pos a ON a.p = k - pj * (pj - 1) // 2
           JOIN n_pos b ON b.p = pj),
-neg AS (SELECT i, j FROM n_all WHERE NOT EXISTS (SELECT 1 FROM sim WHERE target_id = i AND source_id = j)
-        ORDER BY draw LIMIT {NEGATIVES}),
+neg AS (SELECT i, j FROM (SELECT * FROM n_all WHERE draw < 8 * {NEGATIVES}) JOIN v a ON a.row_id = i JOIN v b ON b.row_id = j
+        WHERE NOT {_MERGE} ORDER BY draw LIMIT {NEGATIVES}),
 ex AS (SELECT source_id AS i, target_id AS j, 1 AS label FROM sim UNION ALL SELECT i, j, 0 FROM neg)"""
 
 
 def sampled(spark, d, pos):
-    return mo.sample_negatives(vectors(spark, d), pos, NEGATIVES)
+    return mo.sample_negatives(vectors(spark, d), pos, NEGATIVES, classes=m.class_table(vectors(spark, d)))
 
 
 def examples(spark, d):
@@ -107,7 +111,7 @@ def _(spark, d):
 @query("train_merge_classifier")
 def _(spark, d):
     v = vectors(spark, d)
-    trained = train(v, positives(spark, d), NEGATIVES)
+    trained = train(v, positives(spark, d), NEGATIVES, classes=m.class_table(v))
     c = trained.model
     return spark.createDataFrame([(c.intercept, c.lexical, c.cosine, trained.auc)],
                                  "intercept double, lexical double, cosine double, auc double")
@@ -219,13 +223,14 @@ def _(spark, d):
 @query("classify_all_groups", f"""WITH {PAIRS_SQL}, s AS (
 SELECT a.row_id AS seed_id, a.label AS seed_label, b.row_id AS member_id, b.label AS member_label,
        jaro_winkler_similarity(a.label, b.label) AS lex, {COS.format(a='a.embedding', b='b.embedding')} AS cos
-FROM v a JOIN v b ON a.row_id IN (SELECT target_id FROM sim))
+FROM v a JOIN v b ON a.row_id IN (SELECT target_id FROM rsim))
 SELECT seed_id, seed_label, member_id, member_label, round(lex, 6) AS lexical_similarity,
        round(cos, 6) AS cosine_similarity, round({probability_sql('lex', 'cos')}, 6) AS merge_probability
 FROM s WHERE {probability_sql('lex', 'cos')} >= 0.6""")
 def _(spark, d):
     v = vectors(spark, d)
-    out = g.classify_all_groups(v, positives(spark, d), MODEL, 0.6)
+    seeds = m.similar_pairs(distinct_labels(spark, d), cos_min=COS_MIN, jw_min=JW_MIN)
+    out = g.classify_all_groups(v, seeds, MODEL, 0.6)
     return out.select("seed_id", "seed_label", "member_id", "member_label", r6("lexical_similarity"),
                       r6("cosine_similarity"), r6("merge_probability"))
 

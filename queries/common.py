@@ -129,7 +129,10 @@ reps AS (SELECT min(row_id) AS row_id, label, embedding FROM v GROUP BY label, e
 scored AS (SELECT b.row_id AS source_id, a.row_id AS target_id, jaro_winkler_similarity(a.label, b.label) AS jw,
                   {COS.format(a='a.embedding', b='b.embedding')} AS cos
            FROM reps a JOIN reps b ON a.row_id < b.row_id),
-sim AS (SELECT * FROM scored WHERE cos >= {COS_MIN} AND jw >= {JW_MIN}),
+rsim AS (SELECT * FROM scored WHERE cos >= {COS_MIN} AND jw >= {JW_MIN}),
+sim AS (SELECT * FROM rsim UNION ALL
+        SELECT v.row_id, r.row_id, jaro_winkler_similarity(v.label, r.label), {COS.format(a='v.embedding', b='r.embedding')}
+        FROM v JOIN reps r ON v.label = r.label AND v.embedding = r.embedding AND v.row_id > r.row_id),
 keyed AS (SELECT row_id AS source_id, {norm('label')} AS norm_key,
                  min(row_id) OVER (PARTITION BY {norm('label')}) AS target_id FROM v),
 dup AS (SELECT source_id, target_id, norm_key FROM keyed WHERE source_id > target_id),

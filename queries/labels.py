@@ -159,13 +159,13 @@ def _(spark, d):
 
 def pairs_of(spark, d):
     v = vectors(spark, d)
-    return m.union_rules(m.exact_duplicates(v), m.similar_pairs(m.representatives(v), cos_min=COS_MIN, jw_min=JW_MIN))
+    return m.union_rules(m.exact_duplicates(v), m.similar_classes(v, cos_min=COS_MIN, jw_min=JW_MIN))
 
 
 @query("similar_pairs", f"""WITH {PAIRS_SQL}
 SELECT source_id, target_id, round(jw, 6) AS jw, round(cos, 6) AS cos FROM sim""")
 def _(spark, d):
-    out = m.similar_pairs(distinct_labels(spark, d), cos_min=COS_MIN, jw_min=JW_MIN)
+    out = m.similar_classes(vectors(spark, d), cos_min=COS_MIN, jw_min=JW_MIN)
     return out.select("source_id", "target_id", r6("jw"), r6("cos"))
 
 
@@ -213,7 +213,7 @@ SELECT source_id, target_id, s.label AS source_label, t.label AS target_label
 FROM sim JOIN v s ON s.row_id = source_id JOIN v t ON t.row_id = target_id""")
 def _(spark, d):
     v = vectors(spark, d)
-    sim = m.similar_pairs(m.representatives(v), cos_min=COS_MIN, jw_min=JW_MIN).select("source_id", "target_id")
+    sim = m.similar_classes(v, cos_min=COS_MIN, jw_min=JW_MIN).select("source_id", "target_id")
     return m.label_pairs(sim, v)
 
 
@@ -236,7 +236,7 @@ SELECT source_id, target_id, 'Should ''' || s.label || ''' be merged into ''' ||
 FROM sim JOIN v s ON s.row_id = source_id JOIN v t ON t.row_id = target_id""")
 def _(spark, d):
     v = vectors(spark, d)
-    return m.merge_prompts(m.similar_pairs(m.representatives(v), cos_min=COS_MIN, jw_min=JW_MIN), v)
+    return m.merge_prompts(m.similar_classes(v, cos_min=COS_MIN, jw_min=JW_MIN), v)
 
 
 _YES = "starts_with(lower(ltrim(text, chr(10) || chr(9) || chr(13) || ' ')), 'yes')"
