@@ -15,7 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from labelweave.session import parallelism
@@ -87,11 +87,15 @@ def _run(keyed: DataFrame, groups: int, scorer: Scorer, schema: str, same: Calla
         for part in scorer(left, right, diagonal):
             yield pa.RecordBatch.from_pydict(part, schema=arrow)
 
-    # Groups are compute-heavy but small in bytes, so partitions must not be merged by size: each group has
-    # its own, or, with very many groups, they are dealt to the partitions in turn.
+    return dealt(keyed, groups).applyInArrow(score, schema=schema)
+
+
+def dealt(keyed: DataFrame, groups: int) -> GroupedData:
+    """*keyed* grouped by ``pair``. Groups are compute-heavy but small in bytes, so partitions must not be merged by size:
+    each group has its own, or, with very many groups, they are dealt to the partitions in turn."""
     slots = min(groups, MAX_PARTITIONS)
     spread = keyed.withColumn("slot", F.pmod("pair", F.lit(slots)).cast("int")).repartitionById(slots, "slot")
-    return spread.groupBy("slot", "pair").applyInArrow(score, schema=schema)
+    return spread.groupBy("slot", "pair")
 
 
 def _arrow_schema(ddl: str) -> pa.Schema:

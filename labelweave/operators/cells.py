@@ -14,6 +14,7 @@ each.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelweave.operators.blocks import BLOCK_ROWS, Scorer, _blocks, _run, unit_vectors
+from labelweave.operators.blocks import BLOCK_ROWS, CHUNK_CELLS, Scorer, _blocks, _run, dealt, unit_vectors
 from labelweave.session import cut_lineage, parallelism
 
 MAX_CELLS = 4096
@@ -30,6 +31,15 @@ SLACK = 1e-5          # of angles, against rounding
 SLICE_ROWS = 20_000   # rows a task sends out at a time
 
 
+_SPLIT, _SHIFT = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
+def _dealt(ids: np.ndarray, salt: np.uint64) -> np.ndarray:
+    mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(31)
+    return (mixed * salt >> np.uint64(33)).astype(np.int64)
+
+
 def angles_to(unit: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     if len(unit) and unit.shape[1] != pivots.shape[1]:
         raise ValueError("vectors differ in length")
@@ -71,6 +81,9 @@ class CellPlan:
         near &= self.home > 0
         return np.nonzero(near)
 
+    def split(self, ids: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        return _dealt(ids, _SPLIT) % self.splits[cell]
+
     @property
     def splits(self) -> np.ndarray:
         return np.ceil(self.home / self.block_rows).astype(np.int64)
@@ -89,11 +102,7 @@ class CellPlan:
         """(row, group, side) of all copies of some rows. The first group of a split compares its rows with each other,
         the others compare them (side 1) with a block of visitors (side 0)."""
         splits, shifts, first = self.splits, self.shifts, self.first_group
-        mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        mixed ^= mixed >> np.uint64(31)
-        dealt = (mixed * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(33)).astype(np.int64)
-        split = dealt % splits[cell]
-        other = (mixed * np.uint64(0x94D049BB133111EB) >> np.uint64(33)).astype(np.int64)
+        split, other = self.split(ids, cell), _dealt(ids, _SHIFT)
         rows = np.arange(len(ids))
         base = first[cell] + split * (1 + shifts[cell])
         yield rows, base, np.zeros(len(rows), dtype=np.int64)
@@ -203,3 +212,140 @@ def cell_self_join(df: DataFrame, scorer: Scorer, schema: str, cos_min: float, b
 
     groups = max(1, int(plan.first_group[-1]))
     return _run(rows.mapInArrow(send, keyed), groups, scorer, schema, plan.among_themselves)
+
+
+# --- nearest rows -------------------------------------------------------------
+#
+# A row first meets the rows of its own cell. The similarity at which they fill its k places is a floor: what lies below
+# can not come in any more. With the floor as its reach it then visits the cells that can hold better ones.
+
+_NEAR_ROW = "pair bigint, side int, id bigint, weight bigint, floor double, vec array<float>"
+_NEAR_KINDS = pa.schema([("pair", pa.int64()), ("side", pa.int32()), ("id", pa.int64()), ("weight", pa.int64()),
+                         ("floor", pa.float64()), ("vec", pa.list_(pa.float32()))])
+FLOOR_SLACK = 1e-9
+
+
+def _sent(batch: pa.RecordBatch, at, pair, side, floor) -> pa.RecordBatch:
+    taken = batch.take(pa.array(at))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(pair, pa.int64()), pa.array(np.full(len(at), side), pa.int32()), taken.column("id"), taken.column("weight"),
+         pa.array(floor[at], pa.float64()), taken.column("vec").cast(_NEAR_KINDS.field("vec").type)], schema=_NEAR_KINDS)
+
+
+def _arrays(table: pa.Table):
+    return (table.column("id").to_numpy(), table.column("weight").to_numpy(), table.column("floor").to_numpy(),
+            unit_vectors(table.column("vec")))
+
+
+def _floors(k: int, cos_min: float):
+    """Per row of a group, the similarity at which the others of the group fill its *k* places."""
+    def score(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        ids, weight, _, unit = _arrays(table)
+        floor = np.full(len(ids), cos_min)
+        step = max(1, CHUNK_CELLS // max(len(ids), 1))
+        for start in range(0, len(ids), step):
+            rows = np.arange(start, min(start + step, len(ids)))
+            cos = unit[rows] @ unit.T
+            cos[np.arange(len(rows)), rows] = -2.0  # not itself
+            most = min(k, len(ids))
+            best = np.argpartition(-cos, most - 1, axis=1)[:, :most]
+            value = np.take_along_axis(cos, best, axis=1)
+            order = np.argsort(-value, axis=1, kind="stable")
+            value, best = np.take_along_axis(value, order, axis=1), np.take_along_axis(best, order, axis=1)
+            filled = np.cumsum(np.where(value > -2.0, weight[best], 0), axis=1) >= k
+            full = filled.any(axis=1)
+            floor[rows[full]] = np.maximum(cos_min, value[full, filled[full].argmax(axis=1)])
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(floor - FLOOR_SLACK)], names=["id", "floor"])
+    return score
+
+
+def _nearest(k: int, cos_min: float):
+    """(row, other, cos) of the visitors' best rows in a group, until they weigh *k*; ties of the last are kept."""
+    kinds = pa.schema([("row", pa.int64()), ("other", pa.int64()), ("cos", pa.float64())])
+
+    def score(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        side = table.column("side").to_numpy()
+        visitor = _arrays(table.filter(pa.array(side == 0)))
+        ids, weight, _, unit = _arrays(table.filter(pa.array(side == 1)))
+        if len(ids) == 0 or len(visitor[0]) == 0:
+            return
+        step = max(1, CHUNK_CELLS // len(ids))
+        for start in range(0, len(visitor[0]), step):
+            own, floor, mine = visitor[0][start:start + step], visitor[2][start:start + step], visitor[3][start:start + step]
+            cos = mine @ unit.T
+            i, j = np.nonzero((cos >= np.maximum(floor, cos_min)[:, None]) & (own[:, None] != ids))
+            value = np.round(cos[i, j], 12)
+            order = np.lexsort((-value, i))
+            i, j, value = i[order], j[order], value[order]
+            if len(i) == 0:
+                continue
+            before = np.cumsum(weight[j]) - weight[j]
+            first = np.r_[True, i[1:] != i[:-1]]
+            level = first | np.r_[True, value[1:] != value[:-1]]
+            before -= np.repeat(before[first], np.diff(np.r_[np.flatnonzero(first), len(i)]))
+            better = np.repeat(before[level], np.diff(np.r_[np.flatnonzero(level), len(i)]))
+            keep = better < k
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own[i[keep]]), pa.array(ids[j[keep]]), pa.array(cos[i, j][keep])], schema=kinds)
+    return score
+
+
+def nearest_in_cells(df: DataFrame, k: int, cos_min: float, block_rows: int = BLOCK_ROWS,
+                     cells: int | None = None) -> DataFrame:
+    """(row, other, cos): for every row of *df* (id, vec, weight) at least those others at or above *cos_min* that come
+    before *k* rows are reached, an other counting as many rows as its weight. Exact for any cells."""
+    rows = cut_lineage(df.select(F.col("id").cast("bigint").alias("id"), F.col("weight").cast("bigint").alias("weight"),
+                                 F.lit(cos_min).alias("floor"), F.col("vec").cast("array<float>").alias("vec")))
+    plan = plan_cells(rows, cos_min, block_rows, cells)
+    first = np.r_[0, np.cumsum(plan.splits)]
+
+    def own(batches):
+        for batch in batches:
+            if batch.num_rows:
+                ids = batch.column("id").to_numpy()
+                cell, _ = plan.place(unit_vectors(batch.column("vec")))
+                yield _sent(batch, np.arange(len(ids)), first[cell] + plan.split(ids, cell), 0, batch.column("floor").to_numpy())
+
+    groups = max(1, int(first[-1]))
+    floors = dealt(rows.mapInArrow(own, _NEAR_ROW), groups).applyInArrow(_floors(k, cos_min), "id bigint, floor double")
+    floored = cut_lineage(rows.drop("floor").join(floors, "id").select("id", "weight", "floor", "vec"))
+
+    def visited(batch):
+        """(row, cell) of the cells that can hold something better than the floor."""
+        floor = batch.column("floor").to_numpy()
+        cell, angles = plan.place(unit_vectors(batch.column("vec")))
+        reach = np.arccos(np.clip(np.maximum(floor, cos_min), -1.0, 1.0))
+        near = (angles <= plan.radii + reach[:, None] + SLACK) & (plan.home > 0)
+        return cell, floor, *np.nonzero(near)
+
+    def arrivals(batches):
+        for batch in batches:
+            if batch.num_rows:
+                n = np.bincount(visited(batch)[3], minlength=len(plan.home))
+                seen = np.flatnonzero(n)
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(n[seen], pa.int64())], names=["cell", "n"])
+
+    coming = np.zeros(len(plan.home), dtype=np.int64)
+    for at, n in floored.mapInArrow(arrivals, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n")).collect():
+        coming[at] = n
+    shifts = np.maximum(1, np.ceil(coming / block_rows).astype(np.int64))
+    start = np.r_[0, np.cumsum(plan.splits * shifts)]
+
+    def send(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch.column("id").to_numpy()
+            cell, floor, row, target = visited(batch)
+            at, step = _expanded(shifts[cell])  # where it lives, once for each block of visitors
+            pair = start[cell[at]] + plan.split(ids, cell)[at] * shifts[cell[at]] + step
+            yield from (_sent(batch, at[s:s + SLICE_ROWS], pair[s:s + SLICE_ROWS], 1, floor) for s in range(0, len(at), SLICE_ROWS))
+            copy, step = _expanded(plan.splits[target])
+            row, target = row[copy], target[copy]
+            pair = start[target] + step * shifts[target] + _dealt(ids, _SHIFT)[row] % shifts[target]
+            yield from (_sent(batch, row[s:s + SLICE_ROWS], pair[s:s + SLICE_ROWS], 0, floor) for s in range(0, len(row), SLICE_ROWS))
+
+    keyed = floored.mapInArrow(send, _NEAR_ROW)
+    return dealt(keyed, max(1, int(start[-1]))).applyInArrow(_nearest(k, cos_min), "row bigint, other bigint, cos double")

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from labelweave.functions.similarity import jaro_winkler, jaro_winkler_arrays, lexical_bound
 from labelweave.functions.text import normalize_text
-from labelweave.operators.blocks import BLOCK_ROWS, Side, block_self_join
-from labelweave.operators.cells import cell_self_join
+from labelweave.operators.blocks import BLOCK_ROWS, Side
+from labelweave.operators.cells import cell_self_join, nearest_in_cells
 from labelweave.operators.keyed import HOT_ROWS, lookup_unique, top_n_per_group
+from labelweave.session import cut_lineage
 
 # Rule thresholds, neighbour cap and rule names.
 LEXICAL_MIN = 0.80
@@ -178,48 +179,35 @@ def similar_classes(labels: DataFrame, classes: DataFrame | None = None, cos_min
 
 def similar_pairs_topk(labels: DataFrame, emb: DataFrame | None = None, k: int = NEIGHBOURS,
                        cos_min: float = COSINE_MIN, jw_min: float = LEXICAL_MIN, label: str = "label",
-                       block_rows: int = BLOCK_ROWS) -> DataFrame:
+                       block_rows: int = BLOCK_ROWS, cells: int | None = None) -> DataFrame:
     """As :func:`similar_pairs`, but a pair (i, j>i) counts only when j is among
     the *k* nearest of i (i itself takes the first place).
 
-    Neighbours under the cosine threshold can never push out one above it, so
-    only those above are ranked; each block keeps k - 1 per row before the
-    final ranking.
+    Copies count as rows. The search runs over one row per class, weighted by its copies; classes near enough are then
+    read as rows, of which a class gives at most its first k. Labels are joined for the classes that are left.
     """
-    def score(left: Side, right: Side, diagonal: bool):
-        l32, r32 = left.unit.astype(np.float32), right.unit.astype(np.float32)
-        both = [(left, right, l32, r32)] if diagonal else [(left, right, l32, r32), (right, left, r32, l32)]
-        for a, b, a32, b32 in both:
-            for rows in a.chunks(b):
-                keep = a32[rows] @ b32.T >= cos_min - _SLACK
-                keep &= b.ids[None, :] != a.ids[rows][:, None]
-                i, j = np.nonzero(keep)
-                if len(i) == 0:
-                    continue
-                i += rows.start
-                cos = np.concatenate([
-                    np.einsum("ij,ij->i", a.unit[i[at:at + 200_000]], b.unit[j[at:at + 200_000]])
-                    for at in range(0, len(i), 200_000)])
-                hit = cos >= cos_min
-                i, j, cos = i[hit], j[hit], cos[hit]
-                order = np.lexsort((b.ids[j], -np.round(cos, 12), i))
-                i, j, cos = i[order], j[order], cos[order]
-                starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]]) if len(i) else np.zeros(0, int)
-                rank = np.arange(len(i)) - np.repeat(starts, np.diff(np.r_[starts, len(i)]))
-                top = rank < k - 1
-                if top.any():
-                    i, j = i[top], j[top]
-                    yield {"row": a.ids[i], "other": b.ids[j], "row_text": a.text[i],
-                           "other_text": b.text[j], "cos": cos[top]}
-
-    near = block_self_join(
-        _block_input(labels, emb, label), score,
-        "row bigint, other bigint, row_text string, other_text string, cos double", block_rows=block_rows)
-    nearest = top_n_per_group(near, ["row"], [F.round("cos", 12).desc(), F.col("other")], k - 1)
-    return (nearest.where(F.col("other") > F.col("row"))
-            .withColumn("jw", jaro_winkler("row_text", "other_text"))
-            .where(F.col("jw") >= jw_min)
-            .select(F.col("other").alias("source_id"), F.col("row").alias("target_id"), "jw", "cos"))
+    labels = labels if emb is None else labels.join(emb.select("row_id", "embedding"), "row_id", "left")
+    labels = labels.where(F.col(label).isNotNull())
+    classes = cut_lineage(class_table(labels, label))
+    reps = labels.join(classes.where("row_id = representative").select("row_id", "copies"), "row_id").select(
+        F.col("row_id").alias("id"), F.col(label).alias("text"), F.col("embedding").alias("vec"), F.col("copies").alias("weight"))
+    own = classes.where("row_id = representative").select(
+        F.col("row_id").alias("row"), F.col("row_id").alias("other"), F.when(F.col("zero"), 0.0).otherwise(1.0).alias("cos"))
+    near = nearest_in_cells(reps, k, cos_min, block_rows, cells).unionByName(own).where(F.col("cos") >= cos_min)
+    members = top_n_per_group(classes.select("representative", F.col("row_id").alias("j")), ["representative"], [F.col("j")], k)
+    order = [F.round("cos", 12).desc(), F.col("j")]
+    # the k first rows as all rows of a class see them, itself among them
+    listed = cut_lineage(top_n_per_group(
+        near.join(members.withColumnRenamed("representative", "other"), "other"), ["row"], order, k))
+    texts = reps.select("id", "text")
+    alike = (listed.select("row", "other").distinct()
+             .join(texts.select(F.col("id").alias("row"), F.col("text").alias("_a")), "row")
+             .join(texts.select(F.col("id").alias("other"), F.col("text").alias("_b")), "other")
+             .select("row", "other", jaro_winkler("_a", "_b").alias("jw")).where(F.col("jw") >= jw_min))
+    seen = classes.select(F.col("row_id").alias("i"), F.col("representative").alias("row")).join(listed, "row").where("i <> j")
+    nearest = top_n_per_group(seen, ["i"], order, k - 1).where(F.col("j") > F.col("i"))
+    return nearest.join(alike, ["row", "other"]).select(
+        F.col("j").alias("source_id"), F.col("i").alias("target_id"), "jw", "cos")
 
 
 # --- pair sets --------------------------------------------------------------

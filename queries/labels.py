@@ -169,14 +169,14 @@ def _(spark, d):
     return out.select("source_id", "target_id", r6("jw"), r6("cos"))
 
 
-@query("similar_pairs_topk", f"""WITH {PAIRS_SQL},
-both_ways AS (SELECT target_id AS a, source_id AS b, jw, cos FROM scored WHERE cos >= {COS_MIN}
-              UNION ALL SELECT source_id, target_id, jw, cos FROM scored WHERE cos >= {COS_MIN}),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(cos, 12) DESC, b) AS r FROM both_ways)
-SELECT b AS source_id, a AS target_id, round(jw, 6) AS jw, round(cos, 6) AS cos FROM ranked
-WHERE r <= 7 AND b > a AND jw >= {JW_MIN}""")
-def _(spark, d):
-    out = m.similar_pairs_topk(distinct_labels(spark, d), k=8, cos_min=COS_MIN, jw_min=JW_MIN)
+@query("similar_pairs_topk", f"""WITH {V_SQL},
+near AS (SELECT a.row_id AS a, b.row_id AS b, a.label AS la, b.label AS lb, {COS.format(a='a.embedding', b='b.embedding')} AS cos
+         FROM v a JOIN v b ON a.row_id <> b.row_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(cos, 12) DESC, b) AS r FROM near WHERE cos >= {COS_MIN}),
+top AS (SELECT *, jaro_winkler_similarity(la, lb) AS jw FROM ranked WHERE r <= 7 AND b > a)
+SELECT b AS source_id, a AS target_id, round(jw, 6) AS jw, round(cos, 6) AS cos FROM top WHERE jw >= {JW_MIN}""")
+def _(spark, d):
+    out = m.similar_pairs_topk(vectors(spark, d), k=8, cos_min=COS_MIN, jw_min=JW_MIN)
     return out.select("source_id", "target_id", r6("jw"), r6("cos"))
 
 
