@@ -48,20 +48,22 @@ def first_occurrence(df: DataFrame, key: str, order: str = "row_id") -> DataFram
     return df.join(first, met, "left_semi")
 
 
-def exact_duplicates(labels: DataFrame, label: str = "label", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(source_id, target_id, norm_key) for every repeat of an earlier label.
+def exact_duplicates(labels: DataFrame, label: str = "label", hot_rows: int = HOT_ROWS, with_key: bool = True) -> DataFrame:
+    """(source_id, target_id[, norm_key]) for every repeat of an earlier label.
 
-    The first row per key comes from a pre-aggregated minimum; repeats then
-    look it up, hot keys map-side. Only digests travel; the normalised text is
-    taken afterwards, for the rows that repeat.
+    Every text is normalised once, to a stored digest. The first row per key comes
+    from a pre-aggregated minimum; repeats then look it up, hot keys map-side. The
+    normalised text is taken afterwards, *with_key* only, for the rows that repeat.
     """
     known = labels.where(F.col(label).isNotNull())
-    keyed = known.select(F.col("row_id").alias("source_id"), match_key(normalize_text(label)).alias("_key_of"))
+    keyed = cut_lineage(known.select(F.col("row_id").alias("source_id"), match_key(normalize_text(label)).alias("_key_of")))
     groups = (keyed.groupBy("_key_of")
               .agg(F.min("source_id").alias("target_id"), F.count(F.lit(1)).alias("_rows"))
               .where(F.col("_rows") > 1))
     found = lookup_unique(keyed, groups, "_key_of", "_rows", "target_id", hot_rows)
     found = found.where(F.col("source_id") > F.col("target_id")).select("source_id", "target_id")
+    if not with_key:
+        return found
     texts = known.select(F.col("row_id").alias("source_id"), F.col(label).alias("_text"))
     return found.join(texts, "source_id").select("source_id", "target_id", normalize_text("_text").alias("norm_key"))
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from labelweave.functions.similarity import cosine, jaro_winkler
 from labelweave.functions.text import pin
+from labelweave.session import cut_lineage
 
 # Training defaults.
 NEGATIVE_SAMPLE = 10_000
@@ -60,17 +61,17 @@ def negative_candidates(candidates: DataFrame, positives: DataFrame, classes: Da
 
 
 def _positions(labels: DataFrame) -> DataFrame:
-    """Dense position to row id, for ids with gaps: by rank within ranges of ids and the sizes of the ranges before."""
+    """Dense position to row id, for ids with gaps. Ids are range-partitioned by sampled splitters, so outlying ids make no
+    range longer, sorted, and numbered where they lie: by the sizes of the ranges before and the place in their own."""
     ids = labels.select("row_id").where(F.col("row_id").isNotNull()).distinct()
-    low, high, size = ids.agg(F.min("row_id"), F.max("row_id"), F.count(F.lit(1))).first()
-    width = max(1, math.ceil((high - low + 1) / max(1, math.ceil(size / 4096))))
-    ranged = ids.withColumn("_range", F.expr(f"(row_id - {low}L) DIV {width}L"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range of ids
-    offsets = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
-        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy("row_id"))
-    return ranged.withColumn("_rank", rank).join(offsets, "_range").select(
-        (F.col("_offset") + F.col("_rank") - 1).alias("position"), "row_id")
+    laid = cut_lineage(ids.repartitionByRange("row_id").sortWithinPartitions("row_id").select(
+        "row_id", F.monotonically_increasing_id().alias("_at")))
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = laid.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return laid.join(F.broadcast(offsets), part == F.col("_part")).select(
+        (F.col("_offset") + place).alias("position"), "row_id")
 
 
 def _to_row_ids(pairs: DataFrame, positions: DataFrame | None) -> DataFrame:
@@ -153,25 +154,51 @@ def pair_features(examples: DataFrame, labels: DataFrame, label: str = "label")
         "i", "j", jaro_winkler("_a", "_b").alias("lex"), cosine("_u", "_v").alias("cos"), "label")
 
 
+def _cuts(hashed: DataFrame, fraction: float, label: str, small: int) -> list[tuple]:
+    """Per class (class, prefix, wanted): all rows below *prefix* of the hash are test rows, and of those that begin with
+    it the first *wanted*. The prefix grows until at most *small* rows of the class begin with it."""
+    spark = hashed.sparkSession
+    sizes = hashed.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.round(F.count(F.lit(1)) * F.lit(fraction)).cast("bigint").alias("w"))
+    open_, done = [(row[0], "", row["w"], row["n"]) for row in sizes.collect()], []  # one row per class
+    while open_:
+        done += [cut[:3] for cut in open_ if cut[3] <= small or len(cut[1]) >= 32]
+        open_ = [cut for cut in open_ if cut[3] > small and len(cut[1]) < 32]
+        if not open_:
+            break
+        wide = len(open_[0][1]) + 2
+        kind = hashed.select(F.col(label).alias("_class"), F.lit("").alias("_prefix")).schema
+        cuts = F.broadcast(spark.createDataFrame([cut[:2] for cut in open_], kind))
+        inside = hashed.join(cuts, F.col(label).eqNullSafe(F.col("_class")) & F.startswith("_h", "_prefix"))
+        counts = {}
+        for value, prefix, n in inside.groupBy(label, F.substring("_h", 1, wide)).agg(F.count(F.lit(1))).collect():
+            counts.setdefault(value, []).append((prefix, n))  # 256 rows per class
+        deeper = []
+        for value, _, wanted, _ in open_:
+            for prefix, n in sorted(counts[value]):
+                if wanted <= n:
+                    deeper.append((value, prefix, wanted, n))
+                    break
+                wanted -= n
+        open_ = deeper
+    return done
+
+
 def stratified_split(df: DataFrame, fraction: float = TEST_FRACTION, seed: int = 42,
-                     label: str = "label", ids: tuple[str, ...] = ("i", "j")) -> DataFrame:
-    """Add ``is_test``: exactly round(fraction x class size) rows of each class.
+                     label: str = "label", ids: tuple[str, ...] = ("i", "j"), small: int = 100_000) -> DataFrame:
+    """Add ``is_test``: exactly round(fraction x class size) rows of each class, those first by a seeded hash.
 
-    Rows rank by a seeded hash. The hash prefix spreads each class over 4096
-    buckets, so no task ranks a whole class; the bucket totals are a table of
-    4096 rows per class.
+    The last test row is found by selection: a histogram of hash ranges is refined around it until at most *small* rows
+    of a class are left, and only these are ranked. However large a class is, no task ranks more.
     """
-    hashed = df.withColumn("_h", _hash(seed, *ids)).withColumn("_b", F.substring("_h", 1, 3))
-    sizes = hashed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    by_bucket = Window.partitionBy(label).orderBy("_b")
-    totals = sizes.select(
-        label, "_b", F.coalesce(F.sum("_n").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)),
-                                F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy(label)).alias("_class"))
-    inside = F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", *ids))
-    ranked = hashed.withColumn("_pos", inside).join(totals, [label, "_b"])
-    return ranked.select(*df.columns, (
-        F.col("_before") + F.col("_pos") <= F.round(F.col("_class") * F.lit(fraction))).alias("is_test"))
+    hashed = df.withColumn("_h", _hash(seed, *ids))
+    kind = hashed.select(F.col(label).alias("_class"), F.lit("").alias("_prefix"), F.lit(0).cast("bigint").alias("_wanted")).schema
+    cuts = df.sparkSession.createDataFrame(_cuts(hashed, fraction, label, small), kind)
+    placed = hashed.join(F.broadcast(cuts), F.col(label).eqNullSafe(F.col("_class")), "left")  # one row per class
+    low = F.col("_h") < F.col("_prefix")
+    at_cut = F.startswith("_h", "_prefix")
+    ranked = placed.where(at_cut).withColumn("_pos", F.row_number().over(Window.partitionBy(label).orderBy("_h", *ids)))
+    return placed.where(~at_cut).select(*df.columns, low.alias("is_test")).unionByName(
+        ranked.select(*df.columns, (F.col("_pos") <= F.col("_wanted")).alias("is_test")))
 
 
 @dataclass(frozen=True)

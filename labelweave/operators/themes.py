@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from labelweave.functions.text import capitalize, normalize_text, words
 from labelweave.operators.matching import first_occurrence
 from labelweave.operators.keyed import top_n_per_group
+from labelweave.session import cut_lineage
 
 # Clustering and naming defaults.
 THEMES = 12
@@ -19,12 +20,22 @@ MIN_WORD_CHARS = 4
 EXAMPLES = 3
 
 
+def theme_points(labels: DataFrame) -> DataFrame:
+    """*labels* with their vectors as points, stored, as the fit reads them again and again. A row without a vector stops
+    the job: ids are not aligned then."""
+    aligned = F.when(F.col("embedding").isNull(), F.raise_error(F.lit("a row has no vector; check that ids are aligned"))).otherwise(
+        F.col("embedding").cast("array<double>"))
+    return cut_lineage(labels.withColumn("_features", array_to_vector(aligned)))
+
+
+def fit_themes(points: DataFrame, k: int = THEMES, seed: int = SEED) -> KMeansModel:
+    return KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="cluster").fit(points)
+
+
 def cluster_themes(labels: DataFrame, k: int = THEMES, seed: int = SEED) -> DataFrame:
     """K-means cluster per label, on the vectors as given."""
-    points = labels.where(F.col("embedding").isNotNull()).withColumn(
-        "_features", array_to_vector(F.col("embedding").cast("array<double>")))
-    model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="cluster").fit(points)
-    return model.transform(points).drop("_features")
+    points = theme_points(labels)
+    return fit_themes(points, k, seed).transform(points).drop("_features")
 
 
 def cluster_keywords(clustered: DataFrame, n: int = NAME_WORDS, label: str = "label") -> DataFrame:

@@ -32,7 +32,7 @@ def prepare_labels(taxonomy: DataFrame, mode: str = "joined", pattern: str | Non
 
 def duplicate_report(labels: DataFrame, label: str = "label") -> Alignment:
     """Exact-duplicate merges only."""
-    pairs = exact_duplicates(labels, label)
+    pairs = exact_duplicates(labels, label, with_key=False)
     return Alignment(pairs, merge_metrics(labels, pairs), export_aligned(labels, pairs))
 
 

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelweave.functions.text import sheet_key
 from labelweave.operators.matching import merge_audit
+from labelweave.session import broadcast_if_small
 
 MAX_FILE_ROWS = 5_000_000
+SHEET_NAME_CHARS = 31
+SUFFIX_CHARS = 8
 
 
 def write_taxonomy(df: DataFrame, path: str, columns: list[str] | None = None, levels: str = "levels",
@@ -27,6 +30,21 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "error") ->
     df.write.csv(path, header=True, sep=sep, quote='"', escape='"', mode=mode)
 
 
+def sheet_names(df: DataFrame, name: str, fallback: Column) -> DataFrame:
+    """(_name, sheet_key): a sheet name of its own for every name, within the length that sheets allow.
+
+    Of names with one key the first keeps it. The others share it up to a suffix behind ~, which no key holds
+    otherwise, numbered among all that begin alike, so that shortened keys do not meet either.
+    """
+    keyed = df.select(F.col(name)).distinct().select(F.col(name).alias("_name"), sheet_key(name, fallback).alias("_key"))
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy("_name"))
+    ranked = keyed.withColumn("_nth", nth)
+    more = ranked.where("_nth > 1").withColumn("_head", F.substring("_key", 1, SHEET_NAME_CHARS - SUFFIX_CHARS))
+    suffix = F.row_number().over(Window.partitionBy("_head").orderBy("_key", "_nth"))
+    return ranked.where("_nth = 1").select("_name", F.col("_key").alias("sheet_key")).unionByName(
+        more.select("_name", F.concat("_head", F.lit("~"), suffix.cast("string")).alias("sheet_key")))
+
+
 def write_sheets(df: DataFrame, path: str, name: str, order: list, summary: DataFrame | None = None,
                  fallback: str | Column = "Sheet", mode: str = "error") -> None:
     """One partition per sheet, rows in *order* inside a file, plus a summary.
@@ -37,7 +55,8 @@ def write_sheets(df: DataFrame, path: str, name: str, order: list, summary: Data
     """
     if isinstance(fallback, str):
         fallback = F.concat(F.lit(f"{fallback}_"), F.hex(F.hash(name)))
-    keyed = df.withColumn("sheet_key", sheet_key(name, fallback))
+    names = broadcast_if_small(sheet_names(df, name, fallback))
+    keyed = df.join(names, F.col(name).eqNullSafe(F.col("_name"))).drop("_name")
     # ranges of (sheet, order): a sheet lies in few neighbouring tasks, however many tasks there are
     (keyed.repartitionByRange("sheet_key", *order).sortWithinPartitions("sheet_key", *order).write.mode(mode)
      .option("maxRecordsPerFile", MAX_FILE_ROWS).partitionBy("sheet_key").parquet(f"{path}/sheets"))

@@ -11,17 +11,19 @@ from labelweave.operators.embed import embed_text
 from labelweave.operators.keyed import argmax_per_group, top_n_per_group
 from labelweave.functions.text import normalize_text
 from labelweave.plans.classifier import train
-from labelweave.session import table
+from labelweave.session import cut_lineage, table
 from queries.common import (
-    COS, COS_MIN, JW_MIN, LABEL_SQL, MODEL, PAIRS_SQL, TITLE_SQL, V_SQL, distinct_labels, logit_sql, norm, probability_sql, query, r6,
-    taxonomy, titles, trigram_sql, vectors)
+    COS, COS_MIN, JW_MIN, LABEL_SQL, MODEL, PAIRS_SQL, TITLE_SQL, V_SQL, logit_sql, norm, probability_sql, query, r6,
+    stored_vectors, taxonomy, titles, trigram_sql, vectors)
 
 NEGATIVES = 1000
 
 
-def positives(spark, d):
-    """The merge pairs: of representatives, and of each copy with its representative."""
-    return m.similar_classes(vectors(spark, d), cos_min=COS_MIN, jw_min=JW_MIN).select("source_id", "target_id")
+def merges(v):
+    """(the merge pairs: of representatives, and of each copy with its representative; the class of every row), stored."""
+    classes = cut_lineage(m.class_table(v))
+    pairs = m.similar_classes(v, classes, cos_min=COS_MIN, jw_min=JW_MIN).select("source_id", "target_id")
+    return cut_lineage(pairs), classes
 
 
 # --- examples ---------------------------------------------------------------
@@ -36,10 +38,11 @@ c AS (SELECT row_id AS i, row_id + 1 AS j FROM v WHERE row_id + 1 IN (SELECT row
       UNION SELECT row_id, row_id + 10 FROM v WHERE row_id + 10 IN (SELECT row_id FROM v))
 SELECT i, j FROM c JOIN v a ON a.row_id = i JOIN v b ON b.row_id = j WHERE NOT {_MERGE}""")
 def _(spark, d):
-    ids = vectors(spark, d).select(F.col("row_id").alias("i"))
+    v = stored_vectors(spark, d)
+    ids = v.select(F.col("row_id").alias("i"))
     near = ids.select("i", F.explode(F.array(F.col("i") + 1, F.col("i") + 10)).alias("j"))
     known = near.join(ids.select(F.col("i").alias("j")), "j", "left_semi")
-    return mo.negative_candidates(known, positives(spark, d), m.class_table(vectors(spark, d))).select("i", "j")
+    return mo.negative_candidates(known, *merges(v)).select("i", "j")
 
 
 def _round_sql(turn: int) -> str:
@@ -63,23 +66,23 @@ neg AS (SELECT i, j FROM (SELECT * FROM n_all WHERE draw < 8 * {NEGATIVES}) JOIN
 ex AS (SELECT source_id AS i, target_id AS j, 1 AS label FROM sim UNION ALL SELECT i, j, 0 FROM neg)"""
 
 
-def sampled(spark, d, pos):
-    return mo.sample_negatives(vectors(spark, d), pos, NEGATIVES, classes=m.class_table(vectors(spark, d)))
+def sampled(v):
+    pairs, classes = merges(v)
+    return pairs, mo.sample_negatives(v, pairs, NEGATIVES, classes=classes)
 
 
-def examples(spark, d):
-    pos = positives(spark, d)
-    return mo.union_examples(pos, sampled(spark, d, pos))
+def examples(v):
+    return mo.union_examples(*sampled(v))
 
 
 @query("sample_negatives", f"WITH {PAIRS_SQL}, {_NEG} SELECT i, j FROM neg")
 def _(spark, d):
-    return sampled(spark, d, positives(spark, d))
+    return sampled(stored_vectors(spark, d))[1]
 
 
 @query("union_examples", f"WITH {PAIRS_SQL}, {_NEG} SELECT i, j, label FROM ex")
 def _(spark, d):
-    return examples(spark, d)
+    return examples(stored_vectors(spark, d))
 
 
 _FEATURES = f"""{PAIRS_SQL}, {_NEG},
@@ -90,7 +93,8 @@ f AS (SELECT i, j, jaro_winkler_similarity(a.label, b.label) AS lex,
 
 @query("pair_features", f"WITH {_FEATURES} SELECT i, j, round(lex, 6) AS lex, round(cos, 6) AS cos, label FROM f")
 def _(spark, d):
-    return mo.pair_features(examples(spark, d), vectors(spark, d)).select("i", "j", r6("lex"), r6("cos"), "label")
+    v = stored_vectors(spark, d)
+    return mo.pair_features(examples(v), v).select("i", "j", r6("lex"), r6("cos"), "label")
 
 
 @query("stratified_split", f"""WITH {PAIRS_SQL}, {_NEG}, r AS (
@@ -98,20 +102,22 @@ SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || i || ':' |
        count(*) OVER (PARTITION BY label) AS n FROM ex)
 SELECT i, j, label, pos <= round(n * 0.2) AS is_test FROM r""")
 def _(spark, d):
-    return mo.stratified_split(examples(spark, d))
+    return mo.stratified_split(examples(stored_vectors(spark, d)))
 
 
 @query("merge_probability", f"""WITH {_FEATURES}
 SELECT i, j, round({probability_sql('lex', 'cos')}, 6) AS merge_probability FROM f""")
 def _(spark, d):
-    f = mo.pair_features(examples(spark, d), vectors(spark, d))
+    v = stored_vectors(spark, d)
+    f = mo.pair_features(examples(v), v)
     return mo.merge_probability(f, MODEL).select("i", "j", r6("merge_probability"))
 
 
 @query("train_merge_classifier")
 def _(spark, d):
-    v = vectors(spark, d)
-    trained = train(v, positives(spark, d), NEGATIVES, classes=m.class_table(v))
+    v = stored_vectors(spark, d)
+    pairs, classes = merges(v)
+    trained = train(v, pairs, NEGATIVES, classes=classes)
     c = trained.model
     return spark.createDataFrame([(c.intercept, c.lexical, c.cosine, trained.auc)],
                                  "intercept double, lexical double, cosine double, auc double")
@@ -121,7 +127,8 @@ def _(spark, d):
 SELECT count(*) AS examples, 0.0::DOUBLE AS by_intercept, 0.0::DOUBLE AS by_lexical, 0.0::DOUBLE AS by_cosine FROM ex""")
 def _(spark, d):
     """The gradient of the penalised loss at the fitted coefficients, to four digits."""
-    features = mo.pair_features(examples(spark, d), vectors(spark, d)).persist()
+    v = stored_vectors(spark, d)
+    features = cut_lineage(mo.pair_features(examples(v), v))
     c = mo.coefficients(mo.train_merge_classifier(features))
     miss = mo.merge_probability(features, c, out="p").withColumn("miss", F.col("p") - F.col("label"))
     n = F.count(F.lit(1))
@@ -228,8 +235,8 @@ SELECT seed_id, seed_label, member_id, member_label, round(lex, 6) AS lexical_si
        round(cos, 6) AS cosine_similarity, round({probability_sql('lex', 'cos')}, 6) AS merge_probability
 FROM s WHERE {probability_sql('lex', 'cos')} >= 0.6""")
 def _(spark, d):
-    v = vectors(spark, d)
-    seeds = m.similar_pairs(distinct_labels(spark, d), cos_min=COS_MIN, jw_min=JW_MIN)
+    v = stored_vectors(spark, d)
+    seeds = m.similar_pairs(m.representatives(v), cos_min=COS_MIN, jw_min=JW_MIN)
     out = g.classify_all_groups(v, seeds, MODEL, 0.6)
     return out.select("seed_id", "seed_label", "member_id", "member_label", r6("lexical_similarity"),
                       r6("cosine_similarity"), r6("merge_probability"))

@@ -11,7 +11,7 @@ from labelweave.functions.text import hierarchy_label, normalize_text
 from labelweave.operators.embed import DEFAULT_DIM, TRIGRAM_MODULUS, TRIGRAM_WEIGHTS, embed
 from labelweave.operators.matching import representatives
 from labelweave.operators.model import MergeModel
-from labelweave.session import spread, table
+from labelweave.session import cut_lineage, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,6 +60,11 @@ def vectors(spark, d) -> DataFrame:
         F.coalesce("cluster", (F.col("row_id") % 10).cast("int")).alias("cluster"))
 
 
+def stored_vectors(spark, d) -> DataFrame:
+    """vectors() encoded once, for queries that read them several times."""
+    return cut_lineage(vectors(spark, d))
+
+
 def distinct_labels(spark, d) -> DataFrame:
     """vectors() without copies, as similarity is computed."""
     return representatives(vectors(spark, d))

@@ -16,7 +16,7 @@ from labelweave.session import table
 from labelweave.sources.readers import union_sources
 from queries.common import (
     COS, COS_MIN, JW_MIN, LABEL_SQL, NEIGHBOURS_SQL, PAIRS_SQL, TITLE_SQL, V_SQL, distinct_labels, documents, neighbours, norm, query,
-    r6, taxonomy, titles, trigram_sql, vectors)
+    r6, stored_vectors, taxonomy, titles, trigram_sql, vectors)
 
 
 @query("normalize_text", f"SELECT doc_id, {norm('text')} AS norm FROM documents")
@@ -122,7 +122,7 @@ p AS (SELECT row_id AS source_id, first_id AS target_id FROM w WHERE row_id > fi
 
 @query("exact_duplicates", f"WITH {_DOCS} SELECT source_id, target_id FROM p")
 def _(spark, d):
-    return m.exact_duplicates(documents(spark, d)).select("source_id", "target_id")
+    return m.exact_duplicates(documents(spark, d), with_key=False)
 
 
 @query("first_occurrence", f"WITH {_DOCS} SELECT row_id, text FROM w WHERE row_id = first_id")
@@ -145,27 +145,27 @@ SELECT original, pairs, u AS unique_sources, original - u AS aligned, u AS reduc
        round(u * 100.0 / original, 6) AS reduction_pct FROM a, b""")
 def _(spark, d):
     docs = documents(spark, d)
-    out = m.merge_metrics(docs, m.exact_duplicates(docs))
+    out = m.merge_metrics(docs, m.exact_duplicates(docs, with_key=False))
     return out.withColumn("reduction_pct", F.round("reduction_pct", 6))
 
 
 @query("export_aligned", f"WITH {_DOCS} SELECT row_id, text FROM d WHERE row_id NOT IN (SELECT source_id FROM p)")
 def _(spark, d):
     docs = documents(spark, d)
-    return m.export_aligned(docs, m.exact_duplicates(docs)).select("row_id", F.col("label").alias("text"))
+    return m.export_aligned(docs, m.exact_duplicates(docs, with_key=False)).select("row_id", F.col("label").alias("text"))
 
 
 # --- similar labels with the provided vectors ------------------------------
 
 def pairs_of(spark, d):
-    v = vectors(spark, d)
+    v = stored_vectors(spark, d)
     return m.union_rules(m.exact_duplicates(v), m.similar_classes(v, cos_min=COS_MIN, jw_min=JW_MIN))
 
 
 @query("similar_pairs", f"""WITH {PAIRS_SQL}
 SELECT source_id, target_id, round(jw, 6) AS jw, round(cos, 6) AS cos FROM sim""")
 def _(spark, d):
-    out = m.similar_classes(vectors(spark, d), cos_min=COS_MIN, jw_min=JW_MIN)
+    out = m.similar_classes(stored_vectors(spark, d), cos_min=COS_MIN, jw_min=JW_MIN)
     return out.select("source_id", "target_id", r6("jw"), r6("cos"))
 
 
@@ -176,7 +176,7 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY round(cos, 12) D
 top AS (SELECT *, jaro_winkler_similarity(la, lb) AS jw FROM ranked WHERE r <= 7 AND b > a)
 SELECT b AS source_id, a AS target_id, round(jw, 6) AS jw, round(cos, 6) AS cos FROM top WHERE jw >= {JW_MIN}""")
 def _(spark, d):
-    out = m.similar_pairs_topk(vectors(spark, d), k=8, cos_min=COS_MIN, jw_min=JW_MIN)
+    out = m.similar_pairs_topk(stored_vectors(spark, d), k=8, cos_min=COS_MIN, jw_min=JW_MIN)
     return out.select("source_id", "target_id", r6("jw"), r6("cos"))
 
 
@@ -212,7 +212,7 @@ def _(spark, d):
 SELECT source_id, target_id, s.label AS source_label, t.label AS target_label
 FROM sim JOIN v s ON s.row_id = source_id JOIN v t ON t.row_id = target_id""")
 def _(spark, d):
-    v = vectors(spark, d)
+    v = stored_vectors(spark, d)
     sim = m.similar_classes(v, cos_min=COS_MIN, jw_min=JW_MIN).select("source_id", "target_id")
     return m.label_pairs(sim, v)
 
@@ -235,7 +235,7 @@ SELECT source_id, target_id, 'Should ''' || s.label || ''' be merged into ''' ||
        '''? Answer ''Yes'' or ''No''.' AS prompt
 FROM sim JOIN v s ON s.row_id = source_id JOIN v t ON t.row_id = target_id""")
 def _(spark, d):
-    v = vectors(spark, d)
+    v = stored_vectors(spark, d)
     return m.merge_prompts(m.similar_classes(v, cos_min=COS_MIN, jw_min=JW_MIN), v)
 
 

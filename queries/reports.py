@@ -218,23 +218,21 @@ def _(spark, d):
 
 
 @query("cluster_themes_check", f"""WITH {V_SQL}
-SELECT count(*) AS rows_covered, 0::BIGINT AS nearer_elsewhere, count(*) AS in_themes FROM v""")
+SELECT count(*) AS rows_covered, 0::BIGINT AS nearer_elsewhere, {th.THEMES}::BIGINT AS themes, count(*) AS in_themes FROM v""")
 def _(spark, d):
-    """What any right clustering fulfils: all rows covered, none nearer to another mean, theme sizes that add up."""
-    clustered = th.cluster_themes(vectors(spark, d).drop("cluster")).persist()
-    means = (clustered.select("cluster", F.posexplode("embedding").alias("pos", "x")).groupBy("cluster", "pos")
-             .agg(F.avg(F.col("x").cast("double")).alias("m"))
-             .groupBy("cluster").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "m"))), lambda e: e["m"]).alias("mean")))
-    all_means = means.agg(F.collect_list(F.struct("cluster", "mean")).alias("means"))  # as many as there are clusters
+    """What any right clustering fulfils: all rows covered, none nearer to another fitted centre, as many themes as asked
+    for, theme sizes that add up."""
+    points = th.theme_points(vectors(spark, d).drop("cluster"))
+    model = th.fit_themes(points)
+    clustered = model.transform(points).drop("_features")
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in centre]) for centre in model.clusterCenters()])
 
     def distance(mean):
         return F.aggregate(F.zip_with("embedding", mean, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
-    own = F.col("own")["mean"]
-    placed = clustered.crossJoin(F.broadcast(all_means)).withColumn(
-        "own", F.filter("means", lambda m: m["cluster"] == F.col("cluster"))[0])
-    nearest = F.array_min(F.transform("means", lambda m: distance(m["mean"])))
-    checked = placed.agg(F.count(F.lit(1)).alias("rows_covered"),
-                         F.count(F.when(distance(own) > nearest + 0.02, 1)).alias("nearer_elsewhere"))
+    away = clustered.withColumn("away", F.transform(centres, distance))
+    checked = away.agg(F.count(F.lit(1)).alias("rows_covered"),
+                       F.count(F.when(F.get("away", "cluster") > F.array_min("away") + 1e-6, 1)).alias("nearer_elsewhere"),
+                       F.countDistinct("cluster").alias("themes"))
     sizes = th.theme_summary(th.theme_assignment(clustered)).agg(F.sum("Count").alias("in_themes"))
     return checked.crossJoin(F.broadcast(sizes))
 
