@@ -264,6 +264,7 @@ v AS (SELECT page_id AS row_id, {TITLE_SQL} AS label, vec FROM pages JOIN e ON i
 w AS (SELECT *, min(row_id) OVER (PARTITION BY label) AS first_id FROM v),
 reps AS (SELECT * FROM w WHERE row_id = first_id),
 p AS (SELECT row_id AS source_id, first_id AS target_id FROM w WHERE row_id > first_id
+      UNION ALL SELECT row_id, first_id FROM w WHERE row_id > first_id AND list_max(vec) > 0  -- copies, by similarity
       UNION ALL SELECT b.row_id, a.row_id FROM reps a JOIN reps b ON a.row_id < b.row_id
       WHERE list_cosine_similarity(a.vec, b.vec) >= 0.85 AND jaro_winkler_similarity(a.label, b.label) >= 0.80)"""
 
