@@ -157,7 +157,7 @@ def class_table(labels: DataFrame, label: str = "label", hot_rows: int = HOT_ROW
     *zero* tells that the vector is all zeros, which is similar to nothing, not even to its copies.
     """
     # floats print so that they read back alike, so equal texts are equal vectors
-    vector = F.col("embedding").cast("string")
+    vector = F.transform("embedding", lambda x: x + F.lit(0.0)).cast("string")  # -0.0 is 0.0
     keyed = labels.where(F.col(label).isNotNull()).select(
         "row_id", F.sha2(F.concat(F.octet_length(label).cast("string"), F.lit(":"), F.col(label), vector), 256).alias("_class"),
         F.forall("embedding", lambda x: x == 0).alias("zero"))

@@ -56,7 +56,7 @@ def vectors(spark, d) -> DataFrame:
     emb = table(spark, d, "embeddings").select(
         F.col("vec_id").alias("row_id"), "embedding", F.col("label").alias("cluster"))
     return part.join(emb, "row_id", "left").select(
-        "row_id", "label", F.coalesce("embedding", embed("label")).alias("embedding"),
+        "row_id", "label", F.coalesce("embedding", embed(F.when(F.col("embedding").isNull(), F.col("label")))).alias("embedding"),
         F.coalesce("cluster", (F.col("row_id") % 10).cast("int")).alias("cluster"))
 
 
