@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelweave.operators.ids import dense_row_ids
+from labelweave.sources.quoted import read_quoted
 
 _SPLIT = ["source_ord", "_file", "_start"]
 RULE_TAG = "cursorRule"  # fixed value: element name of a rule in a catalogue file
@@ -54,11 +55,13 @@ def read_taxonomy(spark: SparkSession, paths: list[str], header: bool = False) -
 def read_records(spark: SparkSession, path: str, multi_line: bool = True, row_ids: bool = True) -> DataFrame:
     """Delimited records with a header, every column a string, quoted fields honoured.
 
-    ``multi_line`` allows line breaks inside quotes; it makes a file one input
-    split, so large inputs should come as many files (or switch it off).
+    ``multi_line`` allows line breaks inside quotes; such files are read in splits like any others
+    (:mod:`labelweave.sources.quoted`).
     """
-    raw = spark.read.csv(path, sep=sniff_delimiter(spark, path), header=True, inferSchema=False,
-                         quote='"', escape='"', multiLine=multi_line)
+    sep = sniff_delimiter(spark, path)
+    if multi_line:
+        return read_quoted(spark, path, sep, row_ids)
+    raw = spark.read.csv(path, sep=sep, header=True, inferSchema=False, quote='"', escape='"')
     if not row_ids:
         return raw
     numbered = dense_row_ids(_located(raw, 0), _SPLIT)
