@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from labelweave.functions.similarity import blend, one_to_many
 from labelweave.functions.text import (
     ANY_SPACE, LEVEL_SEPARATOR, blanks, let, normalize_text, pin, sheet_key, strip, words)
-from labelweave.operators.blocks import Side, block_join
+from labelweave.operators.blocks import BLOCK_ROWS, Side, block_join, parts_of_groups
 from labelweave.operators.embed import Encoder, embed_blend
 from labelweave.operators.keyed import top_n_per_group
 from labelweave.operators.records import plain_name
@@ -231,17 +231,22 @@ def similarity_stats(articles: DataFrame, entries: DataFrame) -> DataFrame:
     return article_entry_similarity(bare, entries, lexical=False)
 
 
-def article_entry_similarity(articles: DataFrame, entries: DataFrame, lexical: bool = True) -> DataFrame:
+_PARTIAL = ("article_id bigint, grp string, category string, total double, n bigint, max_similarity double, "
+            "scores array<double>, ords array<bigint>, entries array<string>, shown array<string>")
+
+
+def article_entry_similarity(articles: DataFrame, entries: DataFrame, lexical: bool = True,
+                             block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Mean, maximum and the best entries per (article, category), and the lexical similarity of the
     article's keywords to the category name, reduced where the product is made.
 
-    *entries* hold a bounded sample per category, so a category stays in one
-    block and one row per (article, category) leaves the task. Equal similarities show the lowest position
-    first. Articles without a vector have no row.
+    One row per article and part of a category leaves a task: sum, count, maximum and the best entries with their
+    positions. A category of more than ``block_rows`` entries has several parts, which are merged; without such a category
+    nothing is shuffled again. Equal similarities show the lowest position first. Articles without a vector have no row.
     """
     def score(left: Side, right: Side, diagonal: bool):
         order = np.lexsort((right.ids, right.group))
-        group, entry, unit = right.group[order], right.text[order], right.unit[order]
+        group, entry, unit, ids = right.group[order], right.text[order], right.unit[order], right.ids[order]
         edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True])
         names = [json.loads(group[a]) for a in edge[:-1]]
         for rows in left.chunks(right):
@@ -250,24 +255,42 @@ def article_entry_similarity(articles: DataFrame, entries: DataFrame, lexical: b
             for (category, name), a, b in zip(names, edge[:-1], edge[1:]):
                 part = sims[:, a:b]
                 top = np.argsort(-np.round(part, 12), axis=1, kind="stable")[:, :TOP_ENTRIES]
-                best = np.take_along_axis(part, top, axis=1)
-                n = len(part)
+                best = np.take_along_axis(part, top, axis=1).ravel()
+                n, at = len(part), a + top.ravel()
+                ends = pa.array(np.arange(n + 1, dtype=np.int32) * top.shape[1])
                 out = {
-                    "article_id": left.ids[rows], "category": pa.array([category] * n),
-                    "avg_similarity": part.mean(axis=1), "max_similarity": part.max(axis=1),
-                    "top_entries": [", ".join(entry[a + t]) for t in top],
-                    "top_scores": [", ".join(f"{s:.3f}" for s in row) for row in best]}
+                    "article_id": left.ids[rows], "grp": pa.array([group[a]] * n), "category": pa.array([category] * n, pa.string()),
+                    "total": part.sum(axis=1), "n": np.full(n, b - a), "max_similarity": part.max(axis=1),
+                    "scores": pa.ListArray.from_arrays(ends, pa.array(np.round(best, 12))),
+                    "ords": pa.ListArray.from_arrays(ends, pa.array(ids[at], pa.int64())),
+                    "entries": pa.ListArray.from_arrays(ends, pa.array(entry[at], pa.string())),
+                    "shown": pa.ListArray.from_arrays(ends, pa.array([f"{s:.3f}" for s in best], pa.string()))}
                 if lexical:
                     out["keyword_similarity"] = one_to_many(name or "", texts)[which]
                 yield out
     lhs = articles.where(F.col("embedding").isNotNull()).select(
         F.col("article_id").alias("id"), F.array_join("keywords", " ").alias("text"), F.col("embedding").alias("vec"))
     key = F.to_json(F.array(F.col("category"), normalize_text("name")), {"ignoreNullFields": "false"})
-    rhs = entries.select(F.col("ord").alias("id"), F.col("entry").alias("text"), F.col("embedding").alias("vec"),
-                         key.alias("grp"))
-    return block_join(lhs, rhs, score, (
-        "article_id bigint, category string, avg_similarity double, max_similarity double, "
-        "top_entries string, top_scores string" + (", keyword_similarity double" if lexical else "")), whole_groups=True)
+    rhs, parts = parts_of_groups(entries.select(F.col("ord").alias("id"), F.col("entry").alias("text"),
+                                                F.col("embedding").alias("vec"), key.alias("grp")), block_rows)
+    found = block_join(lhs, rhs, score, _PARTIAL + (", keyword_similarity double" if lexical else ""),
+                       block_rows=block_rows, whole_groups=True)
+    best = {"entries": F.col("entries"), "shown": F.col("shown")}
+    if parts > 1:
+        ranked = F.transform(
+            F.arrays_zip("scores", "ords", "entries", "shown"),
+            lambda e: F.struct((-e["scores"]).alias("below"), e["ords"].alias("ord"), e["entries"].alias("entries"), e["shown"].alias("shown")))
+        # as many partials as a category has parts, of TOP_ENTRIES entries each
+        first = F.slice(F.array_sort(F.flatten(F.collect_list(ranked))), 1, TOP_ENTRIES)
+        found = found.groupBy("article_id", "grp").agg(
+            F.first("category").alias("category"), F.sum("total").alias("total"), F.sum("n").alias("n"),
+            F.max("max_similarity").alias("max_similarity"), first.alias("best"),
+            *([F.first("keyword_similarity").alias("keyword_similarity")] if lexical else []))
+        best = F.col("best")
+    return found.select(
+        "article_id", "category", (F.col("total") / F.col("n")).alias("avg_similarity"), "max_similarity",
+        F.array_join(best["entries"], ", ").alias("top_entries"), F.array_join(best["shown"], ", ").alias("top_scores"),
+        *(["keyword_similarity"] if lexical else []))
 
 
 def combined_score(avg: Column | str, top: Column | str, kw: Column | str,

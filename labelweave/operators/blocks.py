@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
-from labelweave.session import parallelism
+from labelweave.session import broadcast_if_small, parallelism
 
 BLOCK_ROWS = 8192       # most rows in one block
 SMALL_BLOCK_ROWS = 128  # below this a block is not worth its own group
@@ -66,10 +66,11 @@ def _blocks(rows: int, at_least: int, block_rows: int) -> int:
 
 def _shape(df: DataFrame, side: int, salt: int, blocks: int) -> DataFrame:
     grp = F.col("grp") if "grp" in df.columns else F.lit(None).cast("string")
+    part = F.col("part") if "part" in df.columns else F.lit(0)
     # a row without a text has nothing to compare
     return df.where(F.col("text").isNotNull()).select(
         F.lit(side).alias("side"), F.col("id").cast("bigint").alias("id"), F.col("text"), grp.alias("grp"),
-        F.col("vec").cast("array<float>").alias("vec"),
+        F.col("vec").cast("array<float>").alias("vec"), part.alias("part"),
         F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(blocks)).alias("blk"))
 
 
@@ -100,7 +101,8 @@ def dealt(keyed: DataFrame, groups: int) -> GroupedData:
 
 def _arrow_schema(ddl: str) -> pa.Schema:
     kinds = {"bigint": pa.int64(), "double": pa.float64(), "string": pa.string(),
-             "int": pa.int32(), "array<double>": pa.list_(pa.float64())}
+             "int": pa.int32(),
+             **{f"array<{k}>": pa.list_(v) for k, v in (("double", pa.float64()), ("bigint", pa.int64()), ("string", pa.string()))}}
     fields = [f.strip().split(" ") for f in ddl.split(",")]
     return pa.schema([pa.field(name, kinds[kind]) for name, kind in fields])
 
@@ -119,14 +121,25 @@ def block_self_join(df: DataFrame, scorer: Scorer, schema: str, rows: int | None
     return _run(keyed, b * (b + 1) // 2, scorer, schema, lambda pair: pair // b == pair % b)
 
 
+def parts_of_groups(df: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, int]:
+    """*df* (id, grp, ...) with a ``part`` by id, so that a part of a group holds about *block_rows* rows, and the most parts
+    of a group."""
+    sizes = df.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("bigint").alias("_parts"))
+    most = sizes.agg(F.max("_parts")).first()[0] or 1
+    if most == 1:
+        return df.withColumn("part", F.lit(0)), 1
+    large = broadcast_if_small(sizes.where("_parts > 1"))
+    part = F.coalesce(F.pmod(F.xxhash64("id", F.lit(3)), F.col("_parts")), F.lit(0))
+    return df.join(large, "grp", "left").withColumn("part", part).drop("_parts"), most
+
+
 def block_join(left: DataFrame, right: DataFrame, scorer: Scorer, schema: str,
                left_rows: int | None = None, right_rows: int | None = None,
                block_rows: int = BLOCK_ROWS, whole_groups: bool = False) -> DataFrame:
-    """Score every (left, right) pair of rows of two (id, text, vec[, grp]) sides.
+    """Score every (left, right) pair of rows of two (id, text, vec[, grp, part]) sides.
 
-    With *whole_groups* the right side is blocked by ``grp`` so that all rows
-    of a group meet a left row in one place; groups must then be of bounded
-    size.
+    With *whole_groups* the right side is blocked by ``grp`` and ``part`` so that all rows
+    of a part of a group meet a left row in one place; :func:`parts_of_groups` bounds the parts.
     """
     left_rows = left.count() if left_rows is None else left_rows
     right_rows = right.count() if right_rows is None else right_rows
@@ -136,7 +149,7 @@ def block_join(left: DataFrame, right: DataFrame, scorer: Scorer, schema: str,
     lhs = _shape(left, 0, 1, nl).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(nr - 1))))
     rhs = _shape(right, 1, 2, nr)
     if whole_groups:
-        rhs = rhs.withColumn("blk", F.pmod(F.xxhash64("grp"), F.lit(nr)))
+        rhs = rhs.withColumn("blk", F.pmod(F.xxhash64("grp", "part"), F.lit(nr)))
     rhs = rhs.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(nl - 1))))
     cols = ["side", "id", "text", "grp", "vec"]
     keyed = lhs.select((F.col("blk") * nr + F.col("other")).alias("pair"), *cols).unionByName(

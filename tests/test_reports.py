@@ -53,6 +53,22 @@ def test_category_statistics_agree(spark):
         assert r.keyword_similarity == 1.0
 
 
+def test_categories_over_many_blocks_give_the_same(spark):
+    v = vectors(spark, SF)
+    art = v.where("row_id < 12").select(F.col("row_id").alias("article_id"), "embedding", F.array(F.lit("hot"), F.lit("ring")).alias("keywords"))
+    # one category with most rows, copies among them, and a small one
+    entries = v.select(F.when(F.col("row_id") % 20 == 0, "small").otherwise("large").alias("category"), F.lit("hot").alias("name"),
+                       F.col("row_id").alias("ord"), F.col("label").alias("entry"), "embedding").cache()
+    entries = entries.unionByName(entries.where("ord < 60").withColumn("ord", F.col("ord") + 100_000))
+    def got(n):
+        return sorted((r.article_id, r.category, round(r.avg_similarity, 9), round(r.max_similarity, 9), r.top_entries, r.top_scores,
+                       round(r.keyword_similarity, 9)) for r in a.article_entry_similarity(art, entries, block_rows=n).collect())
+    want = got(8192)
+    assert len(want) == 24 and got(64) == want and got(7) == want
+    bare = a.similarity_stats(art, entries).collect()
+    assert sorted((r.article_id, r.category, round(r.avg_similarity, 9)) for r in bare) == [w[:3] for w in want]
+
+
 def test_articles_with_control_characters_repeats_and_no_text(spark):
     df = spark.createDataFrame([
         (1, "word " * 200_000), (2, "alpha\u0001beta gamma alpha\u0001beta gamma gamma"), (3, ""), (4, None),
