@@ -16,7 +16,9 @@ BOOST_ABOVE = 0.7
 NORM_FLOOR = 1e-12
 
 _CHUNK = 16_384      # pairs compared per numpy step
-_LONG = 64           # longer strings are matched one pair at a time, on bit sets
+_LONG = 128          # longer strings are matched on words of 64 places
+_HUGE = 1024         # still longer ones fill a numpy step alone: one integer of any width is faster
+LONG_CELLS = 1_000_000  # characters of long strings compared per numpy step
 
 
 def _codes_by_position(strings: list[str], width: int) -> np.ndarray:
@@ -65,6 +67,13 @@ def _jaro_winkler_chunk(a: list[str], b: list[str], la: np.ndarray, lb: np.ndarr
             open_ ^= ok
             hit_a[i] |= ok
             hit_b[j] |= ok
+    return _scored(A, B, hit_a, hit_b, la, lb)
+
+
+def _scored(A: np.ndarray, B: np.ndarray, hit_a: np.ndarray, hit_b: np.ndarray, la: np.ndarray, lb: np.ndarray) -> np.ndarray:
+    """Jaro-Winkler from the matched characters of pairs side by side."""
+    n, wa, wb = len(la), len(A), len(B)
+    out = np.zeros(n)
     m = hit_a.sum(axis=0)
     depth = int(m.max())
     if depth:
@@ -83,6 +92,57 @@ def _jaro_winkler_chunk(a: list[str], b: list[str], la: np.ndarray, lb: np.ndarr
     return out
 
 
+def _letter_masks(A: np.ndarray, B: np.ndarray, la: np.ndarray, lb: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(masks, which): per pair and distinct character of its left string, the bit set of its places; and the mask that each
+    character of the right string asks for, the last one (empty) if the left string has none of it."""
+    n, wa, wb = len(la), len(A), len(B)
+    pair = np.repeat(np.arange(n), wa).reshape(n, wa)
+    inside = np.arange(wa) < la[:, None]
+    key = (pair.astype(np.int64) << 32 | A.T.astype(np.int64))[inside]
+    known, of = np.unique(key, return_inverse=True)
+    start = np.searchsorted(known, np.arange(n, dtype=np.int64) << 32)
+    rank = of - start[pair[inside]]
+    most = int(np.diff(np.r_[start, len(known)]).max()) if n else 0
+    masks = np.zeros((n, most + 1, words), dtype=np.uint64)
+    place = np.broadcast_to(np.arange(wa), (n, wa))[inside]
+    np.bitwise_or.at(masks, (pair[inside], rank, place // 64), np.uint64(1) << (place % 64).astype(np.uint64))
+    asked = np.arange(n, dtype=np.int64)[:, None] << 32 | B.T.astype(np.int64)
+    at = np.minimum(np.searchsorted(known, asked), max(len(known) - 1, 0))
+    there = (known[at] == asked) & (np.arange(wb) < lb[:, None]) if len(known) else np.zeros((n, wb), dtype=bool)
+    return masks, np.where(there, at - start[:, None], most)
+
+
+def _jaro_winkler_words(a: list[str], b: list[str], la: np.ndarray, lb: np.ndarray) -> np.ndarray:
+    """As the chunk above for long strings: the places of a character are bits of 64-bit words, so that a step matches one
+    character of every right string with all places of its left string."""
+    n, wa, wb = len(a), int(la.max()), int(lb.max())
+    if wa == 0 or wb == 0:
+        return np.where((la == 0) & (lb == 0), 1.0, 0.0)
+    A, B = (_codes_by_position(x, w).astype(np.uint32) for x, w in ((a, wa), (b, wb)))
+    words = -(-wa // 64)
+    masks, which = _letter_masks(A, B, la, lb, words)
+    reach = np.maximum(np.maximum(la, lb) // 2 - 1, 0)[:, None]
+    full, one, base = np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(1), np.arange(words) * 64
+    free = np.full((n, words), full)
+    hit_a, hit_b = np.zeros((wa, n), dtype=bool), np.zeros((wb, n), dtype=bool)
+    rows = np.arange(n)
+    for j in range(wb):
+        low, high = np.clip(j - reach - base, 0, 64), np.clip(j + reach + 1 - base, 0, 64)
+        above = np.where(low < 64, full << np.minimum(low, 63).astype(np.uint64), np.uint64(0))
+        below = np.where(high > 0, full >> np.minimum(64 - high, 63).astype(np.uint64), np.uint64(0))
+        near = masks[rows, which[:, j]] & free & above & below
+        word = (near != 0).argmax(axis=1)
+        bits = near[rows, word]
+        found = np.flatnonzero(bits)
+        if len(found) == 0:
+            continue
+        first = bits[found] & (~bits[found] + one)
+        free[found, word[found]] ^= first
+        hit_a[word[found] * 64 + np.log2(first.astype(np.float64)).astype(np.int64), found] = True
+        hit_b[j, found] = True
+    return _scored(A, B, hit_a, hit_b, la, lb)
+
+
 def _jaro_winkler_long(a: str, b: str) -> float:
     """One pair of long strings; positions of a character form one integer bit set."""
     if not a or not b:
@@ -117,6 +177,27 @@ def _jaro_winkler_long(a: str, b: str) -> float:
     return jaro + PREFIX_WEIGHT * prefix * (1.0 - jaro)
 
 
+def _coded(strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of distinct strings. (A hash table of C strings would stop at a null character.)"""
+    seen: dict[str, int] = {}
+    codes = np.fromiter((seen.setdefault(s, len(seen)) for s in strings), dtype=np.int64, count=len(strings))
+    distinct = np.empty(len(seen), dtype=object)
+    distinct[:] = list(seen)
+    return codes, distinct
+
+
+def _by_cells(order: np.ndarray, size: np.ndarray):
+    """Runs of *order* whose strings, padded to the longest, stay within LONG_CELLS characters (one pair at least)."""
+    start, widest = 0, 0
+    for at, row in enumerate(order):
+        widest = max(widest, int(size[row]))
+        if at > start and widest * (at + 1 - start) > LONG_CELLS:
+            yield order[start:at]
+            start, widest = at, int(size[row])
+    if start < len(order):
+        yield order[start:]
+
+
 def jaro_winkler_arrays(a, b) -> np.ndarray:
     """Jaro-Winkler of aligned string sequences, vectorised over pairs.
 
@@ -126,16 +207,20 @@ def jaro_winkler_arrays(a, b) -> np.ndarray:
     a, b = np.asarray(a, dtype=object), np.asarray(b, dtype=object)
     if len(a) == 0:
         return np.zeros(0)
-    code_a, uniq_a = pd.factorize(a)
-    code_b, uniq_b = pd.factorize(b)
-    pair, inverse = np.unique(code_a.astype(np.int64) * len(uniq_b) + code_b, return_inverse=True)
+    (code_a, uniq_a), (code_b, uniq_b) = _coded(a), _coded(b)
+    pair, inverse = np.unique(code_a * len(uniq_b) + code_b, return_inverse=True)
     sa, sb = uniq_a[pair // len(uniq_b)], uniq_b[pair % len(uniq_b)]
     la = np.fromiter((len(s) for s in sa), dtype=np.int64, count=len(sa))
     lb = np.fromiter((len(s) for s in sb), dtype=np.int64, count=len(sb))
     scores = np.empty(len(pair))
     long = np.maximum(la, lb) > _LONG
-    for at in np.flatnonzero(long):
+    huge = np.maximum(la, lb) > _HUGE
+    for at in np.flatnonzero(huge):
         scores[at] = _jaro_winkler_long(sa[at], sb[at])
+    order = np.flatnonzero(long & ~huge)
+    order = order[np.lexsort((la[order], lb[order]))]
+    for part in _by_cells(order, np.maximum(la, lb)):
+        scores[part] = _jaro_winkler_words(list(sa[part]), list(sb[part]), la[part], lb[part])
     order = np.flatnonzero(~long)
     order = order[np.lexsort((la[order], lb[order]))]
     for start in range(0, len(order), _CHUNK):

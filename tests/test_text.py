@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -47,6 +49,35 @@ def test_jaro_winkler(spark):
     assert got == [(0.9611,), (None,)]
 
 
+def plain_jaro_winkler(a, b):
+    if not a or not b:
+        return float(a == b)
+    reach, taken, hits = max(max(len(a), len(b)) // 2 - 1, 0), [False] * len(a), []
+    for j, c in enumerate(b):
+        for i in range(max(0, j - reach), min(len(a), j + reach + 1)):
+            if not taken[i] and a[i] == c:
+                taken[i] = True
+                hits.append(c)
+                break
+    if not hits:
+        return 0.0
+    m, mine = len(hits), [c for c, t in zip(a, taken) if t]
+    jaro = (m / len(a) + m / len(b) + (m - sum(x != y for x, y in zip(mine, hits)) // 2) / m) / 3
+    prefix = next((k for k in range(4) if a[k:k + 1] != b[k:k + 1] or not a[k:k + 1]), 4)
+    return jaro + 0.1 * prefix * (1 - jaro) if jaro > 0.7 else jaro
+
+
+def test_jaro_winkler_at_every_length():
+    rng, pairs = random.Random(4), []
+    for size in [0, 1, 2, 63, 64, 65, 127, 128, 129, 191, 192, 193, 300, 1024, 1025, 1500] * 6:
+        letters = rng.choice(["ab", "abcdefgh ", "aé漢😀z\0"])
+        a = "".join(rng.choice(letters) for _ in range(size))
+        other = "".join(rng.choice(letters) for _ in range(rng.choice([0, 64, 130, 400])))
+        pairs += [(a, "".join(c for c in a if rng.random() < 0.9)), (a, other), (other, a), (a, a)]
+    got = jaro_winkler_arrays([p[0] for p in pairs], [p[1] for p in pairs])
+    assert [round(x, 12) for x in got] == [round(plain_jaro_winkler(*p), 12) for p in pairs]
+
+
 def test_char_overlap_and_cosine(spark):
     df = spark.createDataFrame([("abc", "bcd", [0.0, 0.0], [1.0, 0.0])], "a string, b string, u array<double>, v array<double>")
     got = rows(df.select(t.char_overlap("a", "b"), cosine("u", "v"), cosine("v", "v")))
