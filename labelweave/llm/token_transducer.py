@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import regex
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from .common import Batch, kept_in_worker, map_batches, vocabulary_bytes
 
 LIMIT = 2048
-#: Code points of a chunk, and what a worker keeps before it starts anew.
+#: Code points of a chunk, and what a worker keeps before the oldest goes.
 CHUNK, KEPT_STATES, KEPT_RUNS = 1 << 16, 300_000, 500_000
 #: Unicode white space, which ends every piece and is dropped.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -29,31 +30,71 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+#: Where a later token can begin: its place in the text, the token before it ('' at the start of the piece) and how many
+#: tokens the symbols after it have added.
+Start = tuple[int, str, int]
+
+
+class State:
+    """*text*: the longest end of what was read that a token can go on from. *starts*: the places in it from which a token
+    can go on, the last one behind it. Transitions and last symbols are filled in on use; *used* tells when."""
+
+    __slots__ = ("text", "starts", "steps", "ends", "used")
+
+    def __init__(self, text: str, starts: tuple[Start, ...]):
+        self.text, self.starts = text, starts
+        self.steps: dict[str, tuple[State, int]] = {}
+        self.ends: dict[str, int] = {}
+        self.used = 0
+
+
+EMPTY_PIECE = "", ((0, "", 0),)
+
+
+def forget_oldest(kept: dict, most: int) -> None:
+    """Drop the older half of what is beyond *most* entries."""
+    if len(kept) > most:
+        for key in list(islice(kept, len(kept) // 2)):
+            del kept[key]
+
+
 class PieceTransducer:
     """BPE of one piece, read symbol by symbol.
 
-    A state stands for what the tokens of a prefix can still mean: for each of its last positions, twice as many
-    as the longest token has symbols, the size of the last token of the encoding up to there and how many tokens
-    its symbol added. A token can follow another if the two encode to themselves, and exactly one token ending at
-    a position follows the encoding before it. So a symbol leads to one state and adds a fixed number of
-    tokens (negative where earlier ones melt). The last symbol of a piece carries the end mark. Transitions
-    are compiled when first used.
+    A token can follow another if the two encode to themselves, and exactly one token ending at a position follows the
+    encoding before it. A later token can only begin where what was read goes on into it, so prefixes that agree in the
+    longest end from which a token can go on, and in the tokens before the places where one can, can not be told apart by
+    what follows: they are one state. A symbol leads to one state and adds a fixed number of
+    tokens (negative where earlier ones melt). The last symbol of a piece carries the end mark. The vocabulary's prefixes
+    are laid out once, transitions are compiled when first used, and those not used for longest go first.
     """
 
     def __init__(self, merges: list[tuple[str, str]], end: str):
         self.rank = {pair: i for i, pair in enumerate(merges)}
         self.end = end
         self.made = {a + b for a, b in merges}
-        self.longest = max((len(t.removesuffix(end)) for t in self.made), default=1)
+        #: texts from which some token goes on
+        self.goes_on = {""}
+        for token in self.made:
+            bare = token.removesuffix(end)
+            self.goes_on.update(bare[:n] for n in range(1, len(bare)))
         self.fits: dict[tuple[str, str], bool] = {}
         self.clear()
 
     def clear(self) -> None:
-        # state: (symbols, sizes of the last tokens, tokens added), newest last
-        self.states: list[tuple[str, tuple[int, ...], tuple[int, ...]]] = [("", (), ())]
-        self.number = {self.states[0]: 0}
-        self.steps: dict[tuple[int, str], tuple[int, int]] = {}
-        self.ends: dict[tuple[int, str], int] = {}
+        self.start = State(*EMPTY_PIECE)
+        self.states = {EMPTY_PIECE: self.start}
+        self.now = 0
+
+    def forget(self) -> None:
+        """Keep the states used since the last time, and the links between them."""
+        kept = {key: state for key, state in self.states.items() if state.used >= self.now or state is self.start}
+        if len(kept) > KEPT_STATES // 2:
+            kept = dict(islice(reversed(kept.items()), KEPT_STATES // 2)) | {EMPTY_PIECE: self.start}
+        alive = {id(state) for state in kept.values()}
+        for state in kept.values():
+            state.steps = {letter: to for letter, to in state.steps.items() if id(to[0]) in alive}
+        self.states, self.now = kept, self.now + 1
 
     def symbols(self, token: str) -> list[str]:
         if token.endswith(self.end):
@@ -82,59 +123,45 @@ class PieceTransducer:
         """Whether *token* stands after *before* ('' at the start) in an encoding."""
         key = before, token
         if key not in self.fits:
-            if len(self.fits) > KEPT_STATES:
-                self.fits.clear()
+            forget_oldest(self.fits, KEPT_STATES)
             alone = [before, token] if before else [token]
             self.fits[key] = self.encode([*self.symbols(before), *self.symbols(token)]) == alone
         return self.fits[key]
 
-    def last_token(self, state: int, symbol: str) -> tuple[int, int]:
-        """(size of the last token after *symbol*, tokens that the symbol adds)."""
-        text, sizes, added = self.states[state]
-        n, made = len(sizes), self.made
-        whole = text + symbol
-        for size in range(min(n + 1, self.longest), 0, -1):
-            at = n - size + 1  # positions before the token
+    def last_token(self, state: State, symbol: str) -> tuple[str, int]:
+        """(last token after *symbol*, tokens that the symbol adds)."""
+        whole, made = state.text + symbol, self.made
+        for at, before, since in state.starts:
             token = whole[at:]
-            if size > 1 and token not in made:
-                continue
-            before = text[at - sizes[at - 1]:at] if at else ""
-            if self.follows(before, token):
-                if at:
-                    return size, 1 - sum(added[at:])
-                return size, 1 - sum(added)  # a short prefix is held in full
+            if (token in made or token == symbol) and self.follows(before, token):
+                return token, 1 - since
         raise ValueError(f"no token ends with {symbol!r}")
 
-    def step(self, state: int, letter: str) -> tuple[int, int]:
-        found = self.steps.get((state, letter))
-        if found is None:
-            size, adds = self.last_token(state, letter)
-            text, sizes, added = self.states[state]
-            new = text + letter, (*sizes, size), (*added, adds)
-            if len(text) >= 2 * self.longest:
-                new = new[0][1:], new[1][1:], new[2][1:]
-            to = self.number.get(new)
-            if to is None:
-                to = self.number[new] = len(self.states)
-                self.states.append(new)
-            found = self.steps[state, letter] = to, adds
-        return found
-
-    def finish(self, state: int, letter: str) -> int:
-        """Tokens that the last letter adds."""
-        found = self.ends.get((state, letter))
-        if found is None:
-            found = self.ends[state, letter] = self.last_token(state, letter + self.end)[1]
-        return found
+    def step(self, state: State, letter: str) -> tuple[State, int]:
+        token, adds = self.last_token(state, letter)
+        whole = state.text + letter
+        open_ = [start for start in state.starts if whole[start[0]:] in self.goes_on]
+        cut = open_[0][0] if open_ else len(whole)
+        key = whole[cut:], (*((at - cut, before, since + adds) for at, before, since in open_), (len(whole) - cut, token, 0))
+        to = self.states.get(key)
+        if to is None:
+            to = self.states[key] = State(*key)
+        state.steps[letter] = to, adds
+        return to, adds
 
     def count(self, piece: str) -> int:
         if len(self.states) > KEPT_STATES:
-            self.clear()
-        state, n = 0, 0
+            self.forget()
+        state, n, now = self.start, 0, self.now
         for letter in piece[:-1]:
-            state, added = self.step(state, letter)
+            state, added = state.steps.get(letter) or self.step(state, letter)
+            state.used = now
             n += added
-        return n + self.finish(state, piece[-1])
+        last = piece[-1]
+        added = state.ends.get(last)
+        if added is None:
+            added = state.ends[last] = self.last_token(state, last + self.end)[1]
+        return n + added
 
 
 class ChunkMap(NamedTuple):
@@ -223,10 +250,8 @@ class TokenCounter:
         return maps[0] if maps else EMPTY
 
     def count(self, text: str, chunk: int = CHUNK) -> int:
-        if len(self.runs) > KEPT_RUNS:
-            self.runs.clear()
-        if len(self.pieces) > KEPT_RUNS:
-            self.pieces.clear()
+        forget_oldest(self.runs, KEPT_RUNS)
+        forget_oldest(self.pieces, KEPT_RUNS)
         total = 0
         for i, part in enumerate(self.special.split(text) if self.special else [text]):
             if i % 2:

@@ -91,6 +91,29 @@ def test_composition_is_associative(counter):
         assert counter.compose(token_transducer.EMPTY, a) == a == counter.compose(a, token_transducer.EMPTY)
 
 
+def test_counts_stand_when_old_states_and_runs_go(monkeypatch):
+    data = vocabulary_bytes("word_bpe_49k.json")
+    library, counter = Tokenizer.from_str(data.decode()), token_transducer.TokenCounter(data)
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("aeinorstlé漢") for _ in range(rng.randint(1, 14))) for _ in range(12)) for _ in range(150)]
+    monkeypatch.setattr(token_transducer, "KEPT_STATES", 200)
+    monkeypatch.setattr(token_transducer, "KEPT_RUNS", 50)
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert [counter.count(t) for t in texts] == want
+    assert len(counter.pieces.transducer.states) < 400 and counter.pieces.transducer.now > 5
+
+
+def test_prefixes_alike_in_what_follows_are_one_state():
+    data = vocabulary_bytes("word_bpe_49k.json")
+    counter, rng = token_transducer.TokenCounter(data), random.Random(9)
+    ends = ["".join(rng.choice("etaoinshrdlu") for _ in range(9)) for _ in range(20)]
+    words = {"".join(rng.choice("etaoinshrdlu") for _ in range(5)) + rng.choice(ends) for _ in range(3000)}
+    prefixes = {w[:n] for w in words for n in range(14)}
+    for word in words:
+        counter.count(word)
+    assert len(counter.pieces.transducer.states) < 0.5 * len(prefixes)
+
+
 def test_states_stay_few_on_long_pieces(counter):
     counter.pieces.transducer.clear()
     counter.count("ha" * 50_000)
