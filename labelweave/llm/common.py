@@ -96,3 +96,26 @@ def written(df: DataFrame) -> DataFrame:
 def sized(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """*df* (stored, short rows) hinted for broadcast if it has at most *rows* rows; else Spark's own choice."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def with_row(docs: DataFrame) -> DataFrame:
+    """(row, all), stored: the rows of *docs* as structs, each under a number of its own, which stays the same when read again."""
+    return written(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("all")))
+
+
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, doc_id, text), stored: ids may be null or shared, the number of a row is not."""
+    return written(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
+                               F.col(text_col).alias("text")))
+
+
+def looked_up_by(rows: DataFrame, table: DataFrame, key: str, hot: int = 500) -> DataFrame:
+    """*rows* with the other columns of *table* (key, times, ...), which has one row for every key and is stored.
+
+    Keys of *hot* rows and more, by *times*, are at most rows / hot many; they are matched apart, by a broadcast up to
+    the size that sized() allows, so that no task has to hold the rows of one key.
+    """
+    frequent = sized(stored(table.filter(F.col("times") >= hot).drop("times")))
+    rest = rows.join(frequent.select(key), key, "left_anti")
+    return (rows.join(frequent, key)
+            .unionByName(rest.join(table.filter(F.col("times") < hot).drop("times"), key)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower_column, sized, stored
+from .common import ascii_lower_column, numbered, sized, stored, with_row
 
 WINDOW = 10
 #: Fixed by the contract: words are runs of ASCII letters and digits and of anything beyond ASCII.
@@ -26,13 +26,13 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 def build_index(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
     """Postings (term, doc_id, pos) of *docs* (doc_id, text), stored in the shared folder.
 
-    With *terms* only their lists are kept: an index that serves a known set of queries needs no others. Rows that
-    repeat an id and a text add nothing.
+    With *terms* only their lists are kept: an index that serves a known set of queries needs no others. An id stands
+    for one row.
     """
     postings = docs.select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "term"))
     if terms is not None:
         postings = postings.join(sized(terms), "term", "left_semi")
-    return stored(postings.select("term", "doc_id", "pos").distinct())
+    return stored(postings.select("term", "doc_id", "pos"))
 
 
 def rarest_terms(phrases: DataFrame, counts: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def phrase_matches(docs: DataFrame, phrases: DataFrame) -> DataFrame:
 
     hits is an array of (start, n, phrase_id), one array per document with a match. Counts of the phrases' terms
     choose the two rarest of each; only their postings are indexed and intersected; what is left is compared
-    word by word with the documents concerned. Rows that share an id are looked up apart.
+    word by word with the documents concerned. An id stands for one row.
     """
     terms = stored(phrases.select(F.explode("terms").alias("term")).distinct())
     rarest = stored(rarest_terms(phrases, stored(term_counts(docs, terms))))
@@ -123,33 +123,52 @@ def covered(hits: Column) -> Column:
         F.greatest(acc["end"], s["end"]).alias("end")), lambda acc: acc["hit"])
 
 
+def item_matches(rows: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(row, hits) of stored *rows* (row, text) with a window of *items* (item_id, text), and (phrase_id, item_id).
+
+    Equal windows of different items are searched for once.
+    """
+    owned = stored(windows(items).distinct())
+    phrases = stored(owned.select("terms").distinct().select(F.monotonically_increasing_id().alias("phrase_id"), "terms"))
+    found = phrase_matches(rows.select(F.col("row").alias("doc_id"), "text"), phrases)
+    return (stored(found.select(F.col("doc_id").alias("row"), "hits")),
+            owned.join(phrases, "terms").select("phrase_id", "item_id"))
+
+
+def benchmark_items(benchmark: DataFrame, item_col: str, item_text_col: str) -> DataFrame:
+    return benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated), one row per input row.
 
-    Equal windows of different items are searched for once. Null and empty texts have no words. A row without
-    an id counts its words and has no hits. Rows that share an id share the union of their items and the largest
-    n_hit. An item without an id hits words but is not counted. Other columns are ignored.
+    Rows are numbered as they are stored, and each is judged by its own text, whether its id is null, shared or
+    neither. Null and empty texts have no words. An item without an id hits words but is not counted. Other
+    columns are ignored.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    items = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
-    owned = stored(windows(items).distinct())
-    phrases = stored(owned.select("terms").distinct().select(F.monotonically_increasing_id().alias("phrase_id"), "terms"))
-    owners = owned.join(phrases, "terms").select("phrase_id", "item_id")
-    found = stored(phrase_matches(texts.filter("doc_id IS NOT NULL"), phrases))
-    hit = found.select("doc_id", covered(F.col("hits")).alias("n_hit")).groupBy("doc_id").agg(F.max("n_hit").alias("n_hit"))
-    which = (found.select("doc_id", F.explode(F.array_distinct(F.transform("hits", lambda h: h["phrase_id"])))
+    rows = numbered(docs, id_col, text_col)
+    found, owners = item_matches(rows, benchmark_items(benchmark, item_col, item_text_col))
+    which = (found.select("row", F.explode(F.array_distinct(F.transform("hits", lambda h: h["phrase_id"])))
                           .alias("phrase_id"))
-             .join(owners, "phrase_id").filter("item_id IS NOT NULL").groupBy("doc_id")
+             .join(owners, "phrase_id").filter("item_id IS NOT NULL").groupBy("row")
              .agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
-    result = hit.join(which, "doc_id", "left").select(
-        "doc_id", "n_hit", F.coalesce("items", F.array().cast("array<string>")).alias("items"))
     none = F.array().cast("array<string>")
-    return (texts.select("doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
-            .join(sized(stored(result.select("doc_id", "n_hit", F.size("items").cast("long").alias("n_items"),
-                                             F.sha2(F.array_join("items", ","), 256).alias("items_sha256")))),
-                  "doc_id", "left")
+    result = found.select("row", covered(F.col("hits")).alias("n_hit")).join(which, "row", "left").select(
+        "row", "n_hit", F.size(F.coalesce("items", none)).cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.coalesce("items", none), ","), 256).alias("items_sha256"))
+    return (rows.select("row", "doc_id", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+            .join(sized(stored(result)), "row", "left")
             .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                     F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
                     F.coalesce("items_sha256", F.sha2(F.array_join(none, ",").cast("binary"), 256)).alias("items_sha256"),
                     (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                         item_text_col: str = "text") -> DataFrame:
+    """The rows of *docs*, with all their columns, that have no window of a benchmark item, whatever their ids."""
+    rows = with_row(docs)
+    found, _ = item_matches(rows.select("row", F.col("all")[text_col].alias("text")),
+                            benchmark_items(benchmark, item_col, item_text_col))
+    return rows.join(sized(stored(found.select("row"))), "row", "left_anti").select("all.*")

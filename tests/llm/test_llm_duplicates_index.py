@@ -76,9 +76,8 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     one, two = "a b c d e f g h", "q r s t u v w x"
     df = spark.createDataFrame([(5, one, "", ""), (5, one, "", ""), (3, one.upper(), "", ""), (None, one, "", ""),
                                 (None, two, "", ""), (9, None, "", "")], DOCS)
-    got = sorted((r.doc_id or -1, r.component_id, r.kept) for r in hyperminhash.near_duplicates(df).collect()
-                 if r.component_id is not None)
-    assert got == [(-1, 3, True), (3, 3, True), (5, 3, False), (5, 3, False), (9, 9, True)]
+    got = sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in hyperminhash.near_duplicates(df).collect())
+    assert got == [(-1, -1, True), (-1, 3, False), (3, 3, True), (5, 3, False), (5, 3, False), (9, 9, True)]
     assert hyperminhash.near_duplicates(df.limit(0)).count() == 0
 
 
@@ -162,7 +161,7 @@ def test_decontamination_of_nulls_repeats_and_empty_tables(spark):
     docs = spark.createDataFrame([(None, words, "", ""), (1, words, "", ""), (1, words, "", ""), (2, None, "", "")], DOCS)
     items = spark.createDataFrame([(None, words), (7, words), (7, words)], "item_id long, text string")
     got = sorted((r.doc_id or 0, r.n_words, r.n_hit, r.n_items) for r in positional_index.decontaminate(docs, items).collect())
-    assert got == [(0, 12, 0, 0), (1, 12, 12, 1), (1, 12, 12, 1), (2, 0, 0, 0)]
+    assert got == [(0, 12, 12, 1), (1, 12, 12, 1), (1, 12, 12, 1), (2, 0, 0, 0)]
     assert positional_index.decontaminate(docs, items.limit(0)).filter("contaminated OR n_items > 0").count() == 0
     assert positional_index.decontaminate(docs.limit(0), items).count() == 0
 
@@ -182,9 +181,70 @@ def test_phrases_and_proximity(spark):
     assert near(1) == [(0, 1, 1)] and near(2) == [(0, 1, 1), (0, 2, 1), (1, 1, 6)]
 
 
-def test_an_id_with_several_texts_links_by_any(spark):
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark):
     words = [f"w{k}" for k in range(60)]
     one, near, other = " ".join(words), " ".join(words[:-1]), " ".join(reversed(words))
     df = spark.createDataFrame([(4, one, "", ""), (4, other, "", ""), (2, near, "", ""), (7, other + " x", "", "")], DOCS)
-    got = {(r.doc_id, r.component_id) for r in hyperminhash.near_duplicates(df).collect()}
-    assert got == {(4, 2), (2, 2), (7, 2)}
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in hyperminhash.near_duplicates(df).collect())
+    assert got == [(2, 2, True), (4, 2, False), (4, 4, True), (7, 4, False)]
+    items = spark.createDataFrame([(1, " ".join(words[5:15]))], "item_id long, text string")
+    got = sorted((r.doc_id, r.n_words, r.n_hit) for r in positional_index.decontaminate(df, items).collect())
+    assert got == [(2, 59, 10), (4, 60, 0), (4, 60, 10), (7, 61, 0)]
+
+
+def test_near_copies_without_ids_are_compared(spark):
+    words = [f"w{k}" for k in range(80)]
+    df = spark.createDataFrame([(None, " ".join(words[:n]), "", "") for n in (78, 79, 80)], DOCS)
+    got = hyperminhash.near_duplicates(df).collect()
+    assert {r.component_id for r in got} == {None} and sorted(r.kept for r in got) == [False, False, True]
+
+
+def crowd(n, edits=3):
+    draw = random.Random(n)
+    base = [f"b{k}" for k in range(120)]
+    rows = []
+    for i in range(n):
+        now = list(base)
+        for at in draw.sample(range(0, 120, 6), edits):  # each takes five shingles away and adds five
+            now[at] = f"m{i}e{at}"
+        rows.append((i, " ".join(now)))
+    return rows
+
+
+def test_a_crowd_below_the_threshold_costs_no_pairs(spark, monkeypatch):
+    looked_at = []
+    plain = hyperminhash.confirmed
+
+    def counted(pairs, sets, threshold):
+        looked_at.append(pairs.count())
+        return plain(pairs, sets, threshold)
+
+    monkeypatch.setattr(hyperminhash, "confirmed", counted)
+    most = {}
+    for n in (200, 400):
+        looked_at.clear()
+        rows = crowd(n)
+        got = hyperminhash.near_duplicates(spark.createDataFrame([(i, t, "", "") for i, t in rows], DOCS)).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
+        most[n] = sum(looked_at)
+    assert most[400] < 3 * most[200] and most[400] < 400 * 399 / 2 / 5
+
+
+@pytest.mark.parametrize("block_bytes", [100, 4_000_000])
+def test_pairs_in_buckets_lose_no_link(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(hyperminhash, "BLOCK_BYTES", block_bytes)
+    import numpy as np
+    draw = np.random.default_rng(3)
+    sets = []
+    for n in (1, 3, 100, 130, 140, 500, 560):
+        base = draw.integers(0, 2 ** 63, n).astype(np.uint64)
+        for _ in range(6):
+            s = base[draw.random(n) > draw.choice([0, .05, .1, .15])]
+            sets.append(np.unique(np.concatenate([s, draw.integers(0, 2 ** 63, draw.integers(1, 2 + n // 20)).astype(np.uint64)])))
+    stored = spark.createDataFrame([(i, len(s), s.tobytes()) for i, s in enumerate(sets)], "node long, n_shingles long, hashes binary")
+    left = stored.selectExpr("explode(array(7L, 9L)) AS key", "node", "node AS label", "n_shingles AS size")
+    found = [tuple(r) for r in hyperminhash.pairs_in_buckets(left, stored, 80).collect()]
+    want = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets))
+            if 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))}
+    assert len(found) == len(set(found)) and want and want <= set(found)
+    assert len(found) < 3 * len(want)
