@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelweave.llm.bpe import encode_documents
-from labelweave.llm.common import sized, stored
-from labelweave.llm.hyperminhash import near_duplicates
-from labelweave.llm.positional_index import decontaminate
+from labelweave.llm.common import stored
+from labelweave.llm.hyperminhash import one_of_each
+from labelweave.llm.positional_index import without_contaminated
 from labelweave.llm.quality import keep_by_rules
 from labelweave.llm.secrets import redact
 
@@ -20,69 +20,40 @@ NEAR = 80
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def with_number(docs: DataFrame) -> DataFrame:
-    """*docs* with a number made from the text alone, a 64-bit hash: ids may be null or stand for several texts.
-
-    Unlike a counter it is the same whenever the rows are read again. Rows of one text share it.
-    """
-    return docs.withColumn("number", F.xxhash64("text"))
-
-
-def without_numbers(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of *docs* whose number is not in *gone* (number); what goes is less than what stays, so it is matched."""
-    numbers = sized(stored(gone.select(F.col("number").alias("gone_number")).distinct()))
-    return docs.join(numbers, F.col("number") == F.col("gone_number"), "left_anti")
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return keep_by_rules(docs).select(*COLUMNS)
+    """Documents that the quality rules keep. Only the columns of documents are returned."""
+    return keep_by_rules(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates: that of the least id, or any if none of the group has an id.
 
-    Rows with and without ids are compared alike, and those that share an id are judged apart. Texts without words
-    resemble nothing; of their rows that repeat an id and a text one stays.
+    Rows are judged by their own texts, with ids or without. Texts without words resemble nothing; of their rows
+    that repeat an id and a text one stays. Only the columns of documents are returned.
     """
-    numbered = with_number(docs)
-    verdicts = near_duplicates(numbered, id_col="number", threshold=NEAR).filter("n_shingles > 0")
-    group = stored(verdicts.select(F.col("doc_id").alias("number"), F.col("component_id").alias("group")).distinct())
-    per_text = stored(numbered.groupBy("number").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
-    best = F.min(F.struct(F.col("least").isNull().alias("no_id"), "least", "number")).alias("best")
-    winners = stored(group.join(per_text, "number").groupBy("group").agg(best).select(
-        F.col("best.number").alias("number"), F.col("best.least").alias("least")))
-    left = without_numbers(numbered, group.join(winners, "number", "left_anti"))
-    # of rows with one text that stay, those of the least id remain, and of these one
-    same = per_text.filter("n > 1")
-    chosen = same.join(winners.select("number"), "number", "left_semi").select("number", "least", F.lit(True).alias("grouped"))
-    wordless = same.join(group, "number", "left_anti").select("number", "least", F.lit(False).alias("grouped"))
-    repeated = stored(chosen.unionByName(wordless))
-    if repeated.isEmpty():
-        return left.select(*COLUMNS)
-    again = sized(repeated)
-    rows = left.join(again, "number").filter(~F.col("grouped") | F.col("doc_id").eqNullSafe(F.col("least")))
-    return (left.join(sized(repeated), "number", "left_anti").select(*COLUMNS)
-            .unionByName(rows.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)))
+    return one_of_each(docs.select(*COLUMNS), threshold=NEAR)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item, judged by their own text whatever their ids."""
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    numbered = with_number(docs)
-    found = decontaminate(numbered, benchmark, id_col="number").filter("contaminated")
-    return without_numbers(numbered, found.withColumnRenamed("doc_id", "number")).select(*COLUMNS)
+    """Documents without a window of a benchmark item, judged by their own text whatever their ids.
+
+    Only the columns of documents are returned.
+    """
+    return without_contaminated(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with every secret's span replaced by its kind in brackets and n_chars counted anew."""
-    return (redact(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
+    """All documents, with every secret's span replaced by its kind in brackets and n_chars counted anew.
+
+    Only the columns of documents are returned.
+    """
+    return (redact(docs.select(*COLUMNS)).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")))
             .select(*COLUMNS))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, with digests of the ids and of what they decode to."""
-    return encode_documents(docs, with_ids=True)
+    return encode_documents(docs.select(*COLUMNS), with_ids=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
