@@ -106,7 +106,7 @@ def test_every_stage_against_its_operator(spark, corpus, folder):
         if name == "quality_rules":
             assert ids(after) == ids(quality.quality_rules(docs).filter("kept"))
         elif name == "near_duplicates":
-            assert ids(after) == sorted(set(ids(hyperminhash.near_duplicates(docs).filter("kept"))))
+            assert ids(after) == ids(hyperminhash.near_duplicates(docs.dropDuplicates(["doc_id", "text"])).filter("kept"))
             assert {1, 2, 3} & {r.doc_id for r in after.collect()} == {1}
             assert [r.doc_id for r in after.collect()].count(0) == 1
         elif name == "decontamination":
