@@ -122,23 +122,27 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH) ->
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, features) of docs (doc_id, text)."""
+    """(doc_id, label, features) of docs (doc_id, label, text)."""
     def work(batches: Iterator[Batch]) -> Iterator[Batch]:
         for batch in batches:
-            yield {"doc_id": batch["doc_id"], "features": [statistics(t) for t in batch["text"]]}
+            yield {"doc_id": batch["doc_id"], "label": batch["label"], "features": [statistics(t) for t in batch["text"]]}
 
-    return map_batches(docs.select("doc_id", "text"), work, "doc_id long, features array<double>")
+    return map_batches(docs.select("doc_id", "label", "text"), work, "doc_id long, label int, features array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Trees:
-    """Trees for labels (doc_id, label) of docs (doc_id, text), on at most *fit_rows* labelled rows.
+    """Trees for labels (doc_id, label) of docs (doc_id, text), on at most *fit_rows* rows.
 
-    Null ids and labels are left out; of several labels of an id the largest counts.
+    Null ids and labels are left out; of several labels of an id the largest counts. Rows that share an id and a text
+    are one row. The bound is on rows, drawn after they have met their labels, by a hash of the id.
     """
-    drawn = (labels.dropna().groupBy("doc_id").agg(F.max("label").alias("label"))
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
-    drawn = sized(stored(drawn))
-    rows = with_statistics(docs.join(drawn, "doc_id", "left_semi")).join(drawn, "doc_id").toPandas()
+    known = labels.dropna().groupBy("doc_id").agg(F.max("label").alias("label"))
+    keys = (docs.join(known, "doc_id").select("doc_id", "label", F.sha2(F.coalesce("text", F.lit("")), 256).alias("of_text"))
+            .distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "of_text").limit(fit_rows))
+    drawn = sized(stored(keys))
+    chosen = docs.withColumn("of_text", F.sha2(F.coalesce("text", F.lit("")), 256)).join(drawn, ["doc_id", "of_text"])
+    one_each = chosen.dropDuplicates(["doc_id", "of_text"])
+    rows = with_statistics(one_each).toPandas()
     x = np.array(rows["features"].tolist(), dtype=np.float64).reshape(-1, len(FEATURES))
     order = np.lexsort((*x.T, rows["doc_id"].to_numpy()))  # the same trees however the rows arrive
     return fit(x[order], rows["label"].to_numpy(dtype=np.float64)[order])

@@ -180,3 +180,39 @@ def test_language_edge_rows(spark):
         (0, "y"), (1, "und"), (2, "und"), (3, "x"), (3, "x")]
     assert {r.lang_pred for r in hyperdimensional.languages(df, learn.limit(0)).collect()} == {"und"}
     assert hyperdimensional.languages(df.limit(0), learn).count() == 0
+
+
+def test_the_fit_is_bounded_by_rows(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(boosted_trees, "fit", lambda x, y: seen.append((len(x), sorted(set(y)))) or boosted_trees.Trees)
+    docs = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id") % 2000).alias("text"))
+    more = spark.createDataFrame([(2, "another"), (2, "another"), (None, "no id"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (3, 0)], "doc_id long, label int")
+    boosted_trees.train(docs.unionByName(more), labels, fit_rows=100)
+    boosted_trees.train(docs.unionByName(more), labels, fit_rows=5000)
+    assert seen[0][0] == 100 and seen[1] == (2002, [0.0, 1.0])
+
+
+def best_split(x, y):
+    """The split of least squared error of a binary target over all features and cuts, by trying every one."""
+    best = (0.0, None, None)
+    whole = ((y - y.mean()) ** 2).sum()
+    for f in range(x.shape[1]):
+        for cut in np.unique(x[:, f])[:-1]:
+            low, high = y[x[:, f] <= cut], y[x[:, f] > cut]
+            gain = whole - ((low - low.mean()) ** 2).sum() - ((high - high.mean()) ** 2).sum()
+            if gain > best[0] + 1e-9:
+                best = (gain, f, cut)
+    return best
+
+
+def test_one_split_separates_as_the_best_by_trial(spark):
+    draw = np.random.default_rng(2)
+    x = np.zeros((400, len(boosted_trees.FEATURES)))
+    x[:, :6] = draw.integers(0, 12, (400, 6))
+    y = ((x[:, 3] > 6) ^ (draw.random(400) < .1)).astype(float)
+    _, feature, cut = best_split(x, y)
+    trees = boosted_trees.fit(x, y, trees=1, depth=1)
+    p = trees.probability(x)
+    side = x[:, feature] <= cut
+    assert len(set(p[side])) == 1 and len(set(p[~side])) == 1 and p[side][0] < p[~side][0]
