@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from labelweave.functions.similarity import jaro_winkler_arrays
+from labelweave.operators import grouping as g
 from labelweave.operators import matching as m
 from labelweave.operators import model as mo
 
@@ -56,3 +57,16 @@ def test_compartments_read_their_pairs_once(spark, labels):
     got = m.compartments(pairs, labels)
     assert [(r.canonical_id, r.member_id) for r in got.collect()] == [(0, 0), (0, 1), (0, 2), (4, 4), (4, 5)]
     assert seen.value == 4
+
+
+def test_groups_of_representatives_and_their_copies_are_all_groups(spark, labels):
+    model = mo.MergeModel(intercept=-6.0, lexical=7.0, cosine=5.0)
+    pairs = spark.createDataFrame([(9, 2), (102, 100), (201, 200)], "source_id long, target_id long")  # 100 is a copy of 0
+    want = sorted((r.seed_id, r.member_id) for r in g.classify_all_groups(labels, pairs, model, 0.6).collect())
+    found = g.classify_all_groups(labels, pairs, model, 0.6, every_copy=False).collect()
+    of = {r.row_id: r.representative for r in m.class_table(labels).collect()}
+    groups = [(r.seed_id, r.member_id) for r in found if r.relation == "group"]
+    assert len(groups) == len(set(groups)) and {x for pair in groups for x in pair} <= set(of.values())
+    assert {r.member_id: r.seed_id for r in found if r.relation == "copy"} == {i: r for i, r in of.items() if i != r}
+    expanded = sorted((s, i) for s in (2, 100, 200) for i in of if (of[s], of[i]) in set(groups))
+    assert expanded == want and len(found) < len(want) + len(of)
