@@ -1,9 +1,11 @@
 import collections
+import glob
 import math
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +115,34 @@ def test_language_model_without_training_text_and_edge_rows(spark):
     assert backoff_lm.score(df.limit(0), df).count() == 0
 
 
+def test_numbers_of_tokens_tell_words_apart_and_texts_too(monkeypatch):
+    monkeypatch.setattr(backoff_lm, "CHUNK_BYTES", 500)
+    draw = random.Random(1)
+    texts = [None, "", " ", "Hello hello HELLO", "x" * 300, "x" * 299 + " " + "y" * 256 + "\t" + "z" * 257, "é É\x0b日本 \x1f a\x00b"]
+    texts += ["".join(draw.choices("aAbé \n\x00日", k=draw.randint(0, 60))) for _ in range(300)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(["cut off", *texts])}).slice(1)
+    number, word, seen = {}, {}, 0
+    for i, j, data, offsets in backoff_lm.texts_in_chunks(batch):
+        found, text = backoff_lm.token_hashes(data, offsets)
+        want = [(k, w) for k in range(i, j) for w in backoff_lm.tokens(texts[k])]
+        assert [k - i for k, _ in want] == text.tolist()
+        for (_, w), h in zip(want, found.tolist(), strict=True):
+            assert number.setdefault(w, h) == h and word.setdefault(h, w) == w
+        seen += j - i
+    assert seen == len(texts)
+
+
+def test_language_model_leaves_no_shuffled_data_behind(spark):
+    def shuffled():
+        return set(glob.glob(f"{spark.conf.get('spark.local.dir', '/tmp')}/**/blockmgr-*/*/shuffle_*.data", recursive=True))
+
+    df = spark.createDataFrame([(i, "a b c d " * 20 + str(i), "", "") for i in range(40)], SCHEMA).repartition(4)
+    before = shuffled()
+    scores = backoff_lm.score(df, df)
+    assert not shuffled() - before
+    assert scores.count() == 40
+
+
 def test_flat_trees_equal_a_walk_node_by_node():
     draw = np.random.default_rng(2)
     x = draw.normal(size=(600, len(boosted_trees.FEATURES)))
