@@ -205,7 +205,7 @@ def gram_counts(docs: DataFrame, size: int, part: int, rounds: int, buckets: int
         if size == 3:
             w = pair_keys(w[:-1], w[1:])
         # n-grams do not reach into the next text
-        taken = (text[size - 1:] == text[:len(text) - size + 1]) & (w[:-1] % np.uint64(rounds) == np.uint64(part))
+        taken = (text[size - 1:] == text[:len(text) - size + 1]) & (w[:-1].view(np.int64) % np.int64(rounds) == part)
         return w[:-1][taken], w[1:][taken]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +312,7 @@ class Model:
         """(a, k, n, b3, add) of the 3-grams k = (a, b) of a round."""
         triples = gram_counts(docs, 3, part, ROUNDS, bucket_count(docs.sparkSession, self.n_all / ROUNDS), least)
         last = two.select(F.col("k").alias("b"), F.col("p").alias("lower"))
-        first = two.select(F.col("k").alias("a"), F.col("n").alias("times"))
+        first = two.filter(F.pmod("k", F.lit(ROUNDS)) == part).select(F.col("k").alias("a"), F.col("n").alias("times"))
         q = (F.col("n") - DISCOUNT) / F.col("times")
         found = triples.join(last, "b").join(first, "a").select("a", "k", "n", q.alias("q"), "lower")
         after = found.groupBy("a").agg(F.sum("q").alias("_kept"), F.sum("lower").alias("_lower")).select(
@@ -337,12 +337,39 @@ def _all(tables: Iterator[DataFrame]) -> DataFrame:
     return found
 
 
-def _places(keys: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the keys stand in a sorted table, and whether they do."""
-    if len(table) == 0:
-        return np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=bool)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-    return at, table[at] == keys
+class Places:
+    """Where hashes stand in an array of distinct ones: open addressing, as a search by halves misses the cache at each step."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, size = keys, 1 << max(4, (4 * len(keys)).bit_length())
+        self.mask, self.slots = np.int64(size - 1), np.full(size, -1, dtype=np.int32)
+        left = np.arange(len(keys), dtype=np.int32)
+        slot = self._slot(keys)
+        while len(left):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = left[free]
+            lost = self.slots[slot] != left
+            left, slot = left[lost], slot[lost] + 1 & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return keys >> np.int64(20) & self.mask
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions in *keys*, places) of those that are there."""
+        slot = self._slot(keys)
+        place = self.slots[slot]
+        if len(self.keys):
+            other = np.flatnonzero((place >= 0) & (self.keys[place] != keys))  # -1 reads the last one, to no effect
+            place[other] = -1
+            slot = slot[other] + 1 & self.mask
+            while len(other):
+                at = self.slots[slot]
+                same = (at >= 0) & (self.keys[at] == keys[other])
+                place[other[same]] = at[same]
+                on = (at >= 0) & ~same
+                other, slot = other[on], slot[on] + 1 & self.mask
+        found = np.flatnonzero(place >= 0)
+        return found, place[found]
 
 
 def _of_round(keys: np.ndarray, part: int) -> np.ndarray:
@@ -382,13 +409,14 @@ def score(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col: s
         scores = "row long, doc_id long, n_tokens long, n_known long, base double, score double"
 
         def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table, of_words, base, add = frequent.value
+            keys, of_words, base, add = frequent.value
+            table = Places(keys)
             for batch in batches:
                 sums = [np.zeros(batch.num_rows) for _ in range(4)]
                 for i, j, data, offsets in texts_in_chunks(batch):
                     for order, (keys, text) in enumerate(_grams(data, offsets)):
-                        at, there = _places(keys, table)
-                        at, known = at[there], text[there]
+                        there, at = table.find(keys)
+                        known = text[there]
                         if order == 0:
                             sums[0][i:j] = np.bincount(text, minlength=j - i)
                         for total, values in zip(sums[1:], (of_words, base, add)):
@@ -422,14 +450,15 @@ def score(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col: s
 
         def open_grams(part: int):
             def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                table, held = frequent.value[0], []
+                table, held = Places(frequent.value[0]), []
                 for batch in batches:
                     row = batch.column("row").to_numpy()
                     for i, j, data, offsets in texts_in_chunks(batch):
                         for keys, text in _grams(data, offsets):
                             taken = _of_round(keys, part)
                             keys, text = keys[taken], text[taken]
-                            rest = ~_places(keys, table)[1]
+                            rest = np.ones(len(keys), dtype=bool)
+                            rest[table.find(keys)[0]] = False
                             held.append((keys[rest], row[i:j][text[rest]]))
                     if sum(len(k) for k, _ in held) >= HELD // 2:
                         k, rows = (np.concatenate(x) for x in zip(*held))
@@ -451,11 +480,10 @@ def score(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col: s
                         if not held:
                             continue
                         table = [np.concatenate(x) for x in zip(*held)]
-                        order = np.argsort(table[0])
-                        table = [x[order] for x in table]
+                        places = Places(table[0])
                     keys, rows = columns_of(block, "i8", "i8")
-                    at, there = _places(keys, table[0])
-                    at, rows = at[there], rows[there]
+                    there, at = places.find(keys)
+                    rows = rows[there]
                     if len(rows):
                         starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
                         base = table[1][at]

@@ -132,6 +132,15 @@ def test_numbers_of_tokens_tell_words_apart_and_texts_too(monkeypatch):
     assert seen == len(texts)
 
 
+def test_places_of_hashes():
+    draw = np.random.default_rng(1)
+    for n in (0, 1, 5, 3000):
+        keys = np.unique(draw.integers(-2 ** 63, 2 ** 63 - 1, n))
+        asked = draw.permutation(np.r_[keys, keys[:n // 2], draw.integers(-2 ** 63, 2 ** 63 - 1, 500)])
+        found, places = backoff_lm.Places(keys).find(asked)
+        assert (keys[places] == asked[found]).all() and found.tolist() == np.flatnonzero(np.isin(asked, keys)).tolist()
+
+
 def test_language_model_leaves_no_shuffled_data_behind(spark):
     def shuffled():
         return set(glob.glob(f"{spark.conf.get('spark.local.dir', '/tmp')}/**/blockmgr-*/*/shuffle_*.data", recursive=True))
