@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
+from labelweave.operators import grouping as g
+from labelweave.operators.model import MergeModel
 
 
 def vector(seed):
@@ -30,3 +32,40 @@ def test_groups_hold_every_copy(spark, tables):
                            "merge_probability"]
     rows = [(r.seed_id, r.seed_label, r.member_id, r.member_label) for r in got.collect()]
     assert sorted(rows) == [(0, "hot gear", i, names[i]) for i in (0, 1, 2, 4, 5)]  # 0 is the one target of a merge
+
+
+def test_groups_are_scored_once_and_ordered(spark, monkeypatch):
+    """Hits are told once for a list of copies, and come by target, falling probability and member, level ones of several
+    labels among them; copies of a target are targets of their own."""
+    names = ["hot gear", "hot gears", "bolt"]
+    near, far = vector(1), vector(2)
+    rows = [(i, names[i * 7 % 3], far if i % 5 == 0 else near) for i in range(300)]
+    df = spark.createDataFrame(rows, "row_id long, label string, embedding array<float>")
+    targets = [2, 5, 8, 11, 299]
+    pairs = spark.createDataFrame([(300, t) for t in targets], "source_id long, target_id long")
+    model = MergeModel(intercept=-0.5, lexical=0.0, cosine=1.0)  # all labels of a vector are level
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, _, v in rows}
+    want = [(t, m) for t in targets for _, m in sorted((-round(float(unit[t] @ unit[m]), 9), m) for m in unit) if unit[t] @ unit[m] >= 0.5]
+    seen, scorer = spark.sparkContext.accumulator(0), g._probable
+
+    def counted(*args):
+        inner = scorer(*args)
+
+        def score(left, right):
+            for part in inner(left, right):
+                seen.add(len(part["seed_id"]))
+                yield part
+        return score
+    monkeypatch.setattr(g, "_probable", counted)
+    monkeypatch.setattr(g, "LIST_ROWS", 20, raising=False)
+    got = [(r.seed_id, r.member_id) for r in g.classify_all_groups(df, pairs, model, 0.5).collect()]
+    assert got == want
+    assert len(targets) * 3 <= seen.value < len(want) / 3
+
+
+def test_a_label_without_a_vector_stops_the_groups(spark):
+    df = spark.createDataFrame([(0, "hot gear", vector(1)), (1, "hot gear", vector(1)), (2, "hot", None)],
+                               "row_id long, label string, embedding array<float>")
+    pairs = spark.createDataFrame([(1, 0)], "source_id long, target_id long")
+    with pytest.raises(Exception, match="no vector"):
+        g.classify_all_groups(df, pairs, MergeModel(-6.0, 7.0, 5.0)).collect()
