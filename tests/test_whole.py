@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from labelweave.operators import grouping as g
+from labelweave.operators import matching as m
 from labelweave.operators.model import MergeModel
 
 
@@ -69,3 +70,26 @@ def test_a_label_without_a_vector_stops_the_groups(spark):
     pairs = spark.createDataFrame([(1, 0)], "source_id long, target_id long")
     with pytest.raises(Exception, match="no vector"):
         g.classify_all_groups(df, pairs, MergeModel(-6.0, 7.0, 5.0)).collect()
+
+
+def test_negatives_are_all_pairs_that_are_no_merge(spark, tables):
+    names = ["hot gear", "cold plate", "hot gears", "hot gear", None, "new rod"]
+    got = entry.queries()["negative_candidates"](spark, tables(names, [(3, vector(1), 0), (5, vector(2), 1)]))
+    every = {(i, j) for i in range(6) for j in range(i + 1, 6)}
+    # 0 and 2 are alike in label and default vector; 3 has a vector of its own, 4 has nothing to compare
+    assert sorted((r.i, r.j) for r in got.collect()) == sorted(every - {(0, 2)})
+
+
+@pytest.mark.parametrize("block_rows", [8192, 40])
+def test_pairs_apart_are_the_rest_of_the_merges(spark, block_rows):
+    rng = np.random.default_rng(3)
+    rows = [(int(i), ["bcab", "abca", "hot gear", "hot gears"][i % 4], vector(i % 3)) for i in rng.permutation(150)]
+    rows += [(200, "hot gear", [0.0] * 64), (201, "hot gear", [0.0] * 64), (202, "bcab", None), (202, "abca", vector(0))]
+    df = spark.createDataFrame(rows, "row_id long, label string, embedding array<float>").cache()
+    whole = df.where("embedding IS NOT NULL")
+    merges = sorted((r.target_id, r.source_id) for r in m.similar_pairs(whole, cos_min=0.25, jw_min=0.8).collect())
+    got = sorted((r.i, r.j) for r in m.unlinked_pairs(df, 0.25, 0.8, block_rows=block_rows).collect())
+    ids = [r[0] for r in rows]
+    every = sorted((min(a, b), max(a, b)) for n, a in enumerate(ids) for b in ids[:n] if a != b)
+    assert sorted(got + merges) == every and len(merges) > 100
+    assert spark.createDataFrame([], df.schema).transform(m.unlinked_pairs).count() == 0
