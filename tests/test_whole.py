@@ -2,8 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from labelweave.operators import articles as art
 from labelweave.operators import grouping as g
 from labelweave.operators import matching as m
 from labelweave.operators.model import MergeModel
@@ -93,3 +95,37 @@ def test_pairs_apart_are_the_rest_of_the_merges(spark, block_rows):
     every = sorted((min(a, b), max(a, b)) for n, a in enumerate(ids) for b in ids[:n] if a != b)
     assert sorted(got + merges) == every and len(merges) > 100
     assert spark.createDataFrame([], df.schema).transform(m.unlinked_pairs).count() == 0
+
+
+def test_statistics_are_over_every_entry(spark, tables):
+    """The entry that is most like the article is the last of 70 in label order."""
+    stored = [(i, vector(i), 0) for i in range(70)]
+    where = tables(["zinc rod"] + [f"hot gear {i:02d}" for i in range(1, 70)], stored, ["hot gear"])
+    unit = np.array([v for _, v, _ in stored], dtype=np.float64)
+    cos = (unit / np.linalg.norm(unit, axis=1, keepdims=True)) @ (unit[0] / np.linalg.norm(unit[0]))
+    row, = entry.queries()["similarity_stats"](spark, where).collect()
+    assert (row.max_similarity, row.avg_similarity) == (1.0, round(cos.mean(), 6))
+    assert row.top_entries.split(", ")[0] == "zinc rod" and row.top_scores == ", ".join(f"{c:.3f}" for c in sorted(cos)[:-4:-1])
+
+
+def test_best_entries_are_those_of_all_similarities(spark):
+    """Copies, level entries, zero vectors on both sides and parts of a category, against every similarity."""
+    rng = np.random.default_rng(2)
+    base = [[float(x) for x in np.round(rng.normal(size=8), 1).astype(np.float32)] for _ in range(40)] + [[0.0] * 8]
+    rows = [("ab"[i % 7 == 0], i * 3, f"e{i}", base[int(rng.integers(41))]) for i in range(200)] + [("c", 1, "one", base[0])]
+    entries = spark.createDataFrame([(c, c, o, e, v) for c, o, e, v in rows],
+                                    "category string, name string, ord long, entry string, embedding array<float>")
+    texts = [base[i] for i in (0, 3, 40)] + [vector(9)[:8]]
+    articles = spark.createDataFrame(list(enumerate(texts)), "article_id long, embedding array<float>")
+
+    def cos(x, y):
+        x, y = np.array(x, dtype=np.float64), np.array(y, dtype=np.float64)
+        return float(x @ y / np.sqrt((x @ x) * (y @ y))) if x.any() and y.any() else 0.0
+    found = art.article_entry_similarity(articles.withColumn("keywords", F.array(F.lit("a"))), entries, False, 30)
+    for got in (found, art.similarity_stats(articles, entries)):
+        got = {(r.article_id, r.category): r for r in got.collect()}
+        assert len(got) == 12
+        for (i, category), r in got.items():
+            sims = sorted((-round(cos(texts[i], v), 12), o, e) for c, o, e, v in rows if c == category)
+            assert r.top_entries == ", ".join(s[2] for s in sims[:3]) and r.max_similarity == pytest.approx(-sims[0][0])
+            assert r.avg_similarity == pytest.approx(-np.mean([s[0] for s in sims]), abs=1e-12)
